@@ -26,24 +26,30 @@ def reconcile_schema(source: DataFrame, target: DataFrame) -> DataFrame:
     """Columns that are missing, extra or of another type in the target.
 
     Both sides are column catalogs; names and types are compared lower-cased.
+    Equal columns cancel out before anything is compared by name.
     """
     names = ["table_schema", "table_name", "column_name"]
 
-    def lowered(columns: DataFrame, kind: str) -> DataFrame:
+    def lowered(columns: DataFrame, in_source: bool) -> DataFrame:
         return columns.select(
-            *[F.lower(n).alias(n) for n in names], F.lower("data_type").alias(kind)
-        ).distinct()
+            *[F.lower(n).alias(n) for n in names],
+            F.lower("data_type").alias("kind"),
+            F.lit(in_source).alias("in_source"),
+        )
 
-    joined = lowered(source, "source_type").join(
-        lowered(target, "target_type"), names, "full_outer"
+    both = lowered(source, True).unionByName(lowered(target, False))
+    one_sided = (
+        both.groupBy(*names, "kind")
+        .agg(F.max("in_source").alias("in_source"), F.min("in_source").alias("everywhere"))
+        .where(F.col("in_source") == F.col("everywhere"))
     )
+    left = F.max(F.when(F.col("in_source"), F.col("kind")))
+    right = F.max(F.when(~F.col("in_source"), F.col("kind")))
     problem = (
-        F.when(F.col("target_type").isNull(), "missing")
-        .when(F.col("source_type").isNull(), "extra")
-        .when(F.col("source_type") != F.col("target_type"), "type")
+        F.when(right.isNull(), "missing").when(left.isNull(), "extra").otherwise("type")
     )
-    return joined.select(*names, "source_type", "target_type", problem.alias("diff")).where(
-        "diff is not null"
+    return one_sided.groupBy(*names).agg(
+        left.alias("source_type"), right.alias("target_type"), problem.alias("diff")
     )
 
 

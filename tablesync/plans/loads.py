@@ -13,6 +13,7 @@ from tablesync.operators.catalog import missing_tables
 from tablesync.operators.cdc import DELETED
 from tablesync.operators.control import FAILED, OK, clear_flags, full_load_plan
 from tablesync.operators.reconcile import reconcile_counts
+from tablesync.session import folder_exists, reliable
 from tablesync.sinks.target import TargetTable
 from tablesync.sources.frames import empty_frame
 
@@ -49,9 +50,11 @@ def load_tables(
     their columns and the tenants do not. Afterwards the counts of both sides
     are compared per tenant. A name that fails is logged and the others go on.
     """
+    # Fixed before the first write, which may change the catalog it comes from.
+    plan = reliable(plan.select(TENANT, "table_name").distinct())
     for row in plan.select("table_name").distinct().toLocalIterator():
         name = row["table_name"]
-        tenants = plan.where(F.col("table_name") == name).select(TENANT).distinct()
+        tenants = plan.where(F.col("table_name") == name).select(TENANT)
         try:
             log = _load_one(spark, source, name, tenants, target_of(name))
             log.write.mode("overwrite").parquet(f"{log_path}/table={name}")
@@ -59,6 +62,8 @@ def load_tables(
             _failed(tenants, name, str(error)).write.mode("overwrite").parquet(
                 f"{log_path}/table={name}"
             )
+    if not folder_exists(spark, log_path):
+        return empty_frame(spark, RUN_LOG)
     return spark.read.schema(RUN_LOG).option("recursiveFileLookup", "true").parquet(log_path)
 
 
@@ -102,8 +107,6 @@ def load_missing(
     finds nothing to do and a broken run can be repeated.
     """
     plan = missing_tables(source_catalog, target_catalog)
-    if plan.isEmpty():
-        return empty_frame(spark, RUN_LOG)
     run_log = load_tables(spark, source, plan, target_of, log_path)
     failures = run_log.where(F.col("status") == FAILED).count()
     if failures:
@@ -126,8 +129,6 @@ def full_load(
     control table (see ``replace_folder``), and decides whether to raise.
     """
     plan = full_load_plan(control, tables).withColumnRenamed("app_id", TENANT)
-    if plan.isEmpty():
-        return empty_frame(spark, RUN_LOG), control
     run_log = load_tables(spark, source, plan, target_of, log_path)
     return run_log, clear_flags(control, run_log, run_ts, only_run=True)
 

@@ -155,6 +155,8 @@ class TargetTable:
         )
         ready = self.with_bucket(newest.select(*wanted.fieldNames(), DELETED))
         with staged(ready, "changes") as change:
+            if change.isEmpty():
+                return
             no_key = change.where(" or ".join(f"`{k}` is null" for k in self.row_key))
             if not no_key.isEmpty():
                 raise ValueError(f"changes without a value in {self.row_key}")
