@@ -64,6 +64,24 @@ TABLE_POSITION = 3
 # Tenants handled together in one run.
 TENANT_BATCH = 50
 
+# Spark types for the data types a warehouse's column catalog names.
+DATA_TYPES = {
+    "number": "decimal(38,0)",
+    "float": "double",
+    "boolean": "boolean",
+    "text": "string",
+    "varchar": "string",
+    "date": "date",
+    "time": "string",
+    "timestamp_ntz": "timestamp_ntz",
+    "timestamp_ltz": "timestamp",
+    "timestamp_tz": "timestamp",
+    "binary": "binary",
+    "variant": "string",
+    "object": "string",
+    "array": "string",
+}
+
 # The source's own catalog schema, and the type of rows that are not tables.
 SYSTEM_SCHEMA = "information_schema"
 VIEW_TYPE = "VIEW"

@@ -6,9 +6,9 @@ from collections.abc import Iterable, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tablesync.config import SNAPSHOT_TABLES, SYSTEM_SCHEMA, VIEW_TYPE
+from tablesync.config import DATA_TYPES, SNAPSHOT_TABLES, SYSTEM_SCHEMA, VIEW_TYPE
 from tablesync.functions.names import lower_columns, lower_values, qualified, same_name, stamped
 from tablesync.operators.keys import KeyList
 
@@ -71,6 +71,28 @@ def column_catalog(
     return lower_values(kept.drop("tenant")).distinct()
 
 
+def declared_schema(columns: DataFrame, table_name: str) -> T.StructType:
+    """The columns a table name has in a column catalog, for :func:`cdc.align`.
+
+    A column of unknown type, or of different types in different tenants,
+    becomes a string, which loses nothing.
+    """
+    mine = columns.where(same_name("table_name") == table_name.upper())
+    kind = F.lower("data_type")
+    # One row per column name of one table.
+    found = (
+        mine.groupBy(F.lower("column_name").alias("name"))
+        .agg(F.min(kind).alias("first"), F.max(kind).alias("last"))
+        .orderBy("name")
+        .collect()
+    )
+    fields = []
+    for row in found:
+        same = row["first"] == row["last"]
+        fields.append(f"`{row['name']}` {DATA_TYPES.get(row['first'], 'string') if same else 'string'}")
+    return T.StructType.fromDDL(", ".join(fields)) if fields else T.StructType([])
+
+
 def available_tables(columns: DataFrame) -> DataFrame:
     """Distinct ``schema.table`` names of a column catalog."""
     pairs = columns.select(

@@ -47,6 +47,8 @@ def latest_change(changes: DataFrame, keys: Sequence[str], order: Sequence[str])
     broken by the other columns, so the result does not depend on how the
     input is split.
     """
+    if not keys or not order:
+        raise ValueError("the newest change is found by keys and order columns")
     rest = [name for name in changes.columns if name not in set(keys) | set(order)]
     kinds = {field.name: field.dataType for field in changes.schema.fields}
     ranked = [*order, *[name for name in rest if _orderable(kinds[name])]]

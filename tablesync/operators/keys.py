@@ -5,18 +5,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tablesync.config import BROADCAST_BYTES
 from tablesync.session import reliable
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Roughly the memory the rows of ``df`` take, counted on the executors."""
+def row_bytes(df: DataFrame) -> Column:
+    """Roughly the memory a row of ``df`` takes."""
     width = F.lit(16)
     for name in df.columns:
         width = width + 8 + F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0))
-    return df.agg(F.sum(width.cast("long")).alias("bytes")).first()["bytes"] or 0
+    return width.cast("long")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Roughly the memory the rows of ``df`` take, counted on the executors."""
+    return df.agg(F.sum(row_bytes(df)).alias("bytes")).first()["bytes"] or 0
 
 
 @dataclass(frozen=True)

@@ -17,12 +17,22 @@ from tablesync.operators.cdc import (
     same_key,
     with_deleted,
 )
-from tablesync.operators.keys import KeyList, measured_bytes
+from tablesync.operators.keys import KeyList, row_bytes
 from tablesync.session import folder_exists, staged
 
 BUCKET = "key_bucket"
 
 
+@dataclass(frozen=True)
+class Touched:
+    """What a set of changes amounts to; ``spots`` is None if there are too many."""
+
+    rows: int
+    bytes: int
+    without_key: int
+    spots: list[str] | None
+
+
 @dataclass(frozen=True)
 class TargetTable:
     """One table name across all tenants.
@@ -71,7 +81,10 @@ class TargetTable:
 
     def of_tenants(self, spark: SparkSession, tenants: DataFrame) -> DataFrame:
         """The stored rows of the given tenants, read from their folders only."""
-        return self._in_partitions(self.read(spark), tenants, [self.tenant])
+        names = tenants.select(self.tenant).distinct().limit(MAX_PARTITION_LIST + 1).collect()
+        few = len(names) <= MAX_PARTITION_LIST
+        spots = [row[0] for row in names] if few else None
+        return self._in_partitions(self.read(spark), tenants, [self.tenant], spots)
 
     def stored_schema(self, spark: SparkSession) -> T.StructType:
         if self.schema is None:
@@ -145,6 +158,8 @@ class TargetTable:
         small next to the table, is used several times, and must not be read
         again from landing files. Applying the same changes again alters nothing.
         """
+        if not self.keys or not self.order:
+            raise ValueError("merging needs keys and order columns")
         spark = changes.sparkSession
         stored = self.read(spark)
         wanted = T.StructType([f for f in stored.schema.fields if f.name not in (DELETED, BUCKET)])
@@ -155,28 +170,39 @@ class TargetTable:
         )
         ready = self.with_bucket(newest.select(*wanted.fieldNames(), DELETED))
         with staged(ready, "changes") as change:
-            if change.isEmpty():
+            touched = self._touched(change)
+            if touched.rows == 0:
                 return
-            no_key = change.where(" or ".join(f"`{k}` is null" for k in self.row_key))
-            if not no_key.isEmpty():
-                raise ValueError(f"changes without a value in {self.row_key}")
-            base = self._touched(stored, change)
-            small = measured_bytes(change) <= broadcast_bytes
+            if touched.without_key:
+                raise ValueError(f"{touched.without_key} changes without a value in {self.row_key}")
+            base = self._in_partitions(stored, change, [BUCKET, self.tenant], touched.spots)
+            small = touched.bytes <= broadcast_bytes
             merged = self._join_small(base, change) if small else self._join_large(base, change)
             self._write(merged)
 
-    def _touched(self, stored: DataFrame, change: DataFrame) -> DataFrame:
-        """The stored rows of the partitions that hold a changed key."""
-        return self._in_partitions(stored, change, [BUCKET, self.tenant])
-
-    def _in_partitions(self, stored: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
-        spots = wanted.select(*on).distinct()
-        spot = F.concat_ws("/", *on)
-        listed = [r[0] for r in spots.select(spot).limit(MAX_PARTITION_LIST + 1).collect()]
-        if len(listed) <= MAX_PARTITION_LIST:
-            # Only partition columns: decides which folders are read.
-            return stored.where(spot.isin(listed))
-        return KeyList.of(spots, on).keep(stored)
+    def _touched(self, change: DataFrame) -> Touched:
+        """Size and partitions of the changes, counted in one pass."""
+        no_key = F.expr(" or ".join(f"`{k}` is null" for k in self.row_key))
+        per_spot = change.groupBy(F.concat_ws("/", BUCKET, self.tenant).alias("spot")).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(row_bytes(change)).alias("bytes"),
+            F.count_if(no_key).alias("no_key"),
+        )
+        found = per_spot.limit(MAX_PARTITION_LIST + 1).collect()
+        if len(found) > MAX_PARTITION_LIST:
+            total = per_spot.agg(F.sum("n"), F.sum("bytes"), F.sum("no_key")).first()
+            return Touched(*total, None)
+        totals = [sum(row[name] for row in found) for name in ("n", "bytes", "no_key")]
+        return Touched(*totals, [row["spot"] for row in found])
+
+    def _in_partitions(
+        self, stored: DataFrame, wanted: DataFrame, on: list[str], spots: list[str] | None
+    ) -> DataFrame:
+        """Stored rows whose partition is among the wanted ones, named by ``spots`` if few."""
+        if spots is None:
+            return KeyList.of(wanted, on).keep(stored)
+        # Only partition columns: decides which folders are read.
+        return stored.where(F.concat_ws("/", *on).isin(spots))
 
     def _join_small(self, base: DataFrame, change: DataFrame) -> DataFrame:
         """Stored rows meet a broadcast change; the table itself is not shuffled."""

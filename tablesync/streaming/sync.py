@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -77,3 +79,29 @@ def sync_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def sync_tables(
+    spark: SparkSession,
+    root: str,
+    tables: Mapping[str, tuple[str | T.StructType, TargetTable]],
+    checkpoint: str,
+    **options,
+) -> None:
+    """Run :func:`sync_stream` for several table names, given schema and target of each.
+
+    The streams run side by side, each with its own checkpoint. All of them
+    end before the first failure is raised.
+    """
+    running = []
+    for name, (schema, target) in tables.items():
+        query = sync_stream(spark, root, schema, name, target, f"{checkpoint}/{name}", **options)
+        running.append(query)
+    failures = []
+    for query in running:
+        try:
+            query.awaitTermination()
+        except Exception as error:  # noqa: BLE001 - raised below, after the others
+            failures.append(error)
+    if failures:
+        raise failures[0]

@@ -79,3 +79,26 @@ def test_key_list_with_and_without_broadcast(spark):
     for made in (small, large):
         assert made.keep(df).count() == 2001
         assert made.drop(df).count() == 999
+
+
+def test_declared_schema(spark):
+    columns = spark.createDataFrame(
+        [
+            ("a", "T", "ID", "NUMBER"),
+            ("b", "t", "id", "number"),
+            ("a", "t", "at", "TIMESTAMP_NTZ"),
+            ("a", "t", "mixed", "TEXT"),
+            ("b", "t", "mixed", "NUMBER"),
+            ("a", "t", "odd", "GEOGRAPHY"),
+            ("a", "other", "x", "TEXT"),
+        ],
+        "table_schema string, table_name string, column_name string, data_type string",
+    )
+    found = {f.name: f.dataType.simpleString() for f in c.declared_schema(columns, "T").fields}
+    assert found == {
+        "at": "timestamp_ntz",
+        "id": "decimal(38,0)",
+        "mixed": "string",
+        "odd": "string",
+    }
+    assert c.declared_schema(columns, "none").fields == []

@@ -4,7 +4,7 @@ import random
 import pytest
 
 from tablesync.sinks.target import TargetTable
-from tablesync.streaming.sync import sync_stream
+from tablesync.streaming.sync import sync_stream, sync_tables
 
 CHANGE = "id int, value string, ts int, op string"
 
@@ -92,3 +92,19 @@ def test_archive(spark, tmp_path, target):
     run(spark, tmp_path, target, **more)
     moved = [n for _, _, names in os.walk(f"{tmp_path}/archive") for n in names]
     assert [n for n in moved if n.endswith(".parquet")]
+
+
+def test_several_tables_side_by_side(spark, tmp_path, target):
+    rows = changes(30, 6)
+    land(spark, tmp_path, rows, 1)
+    spark.createDataFrame([(1, "c", 1, "U")], CHANGE).write.parquet(f"{tmp_path}/events/APP1/cats")
+    other = TargetTable(
+        f"{tmp_path}/cats", ("id",), ("ts",), schema="id int, value string, ts int, schema_name string"
+    )
+    tables = {"users": (CHANGE, target), "cats": (CHANGE, other)}
+    sync_tables(spark, f"{tmp_path}/events", tables, f"{tmp_path}/checkpoints", op_col="op")
+    assert live(spark, target) == brute(rows)
+    assert live(spark, other) == [("app1", 1, "c")]
+    keyless = TargetTable(f"{tmp_path}/none", (), ("ts",), schema=other.schema)
+    with pytest.raises(Exception, match="keys"):
+        sync_tables(spark, f"{tmp_path}/events", {"cats": (CHANGE, keyless)}, f"{tmp_path}/more")
