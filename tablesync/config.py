@@ -93,5 +93,8 @@ TOO_LONG_MESSAGE = "is too long and would be truncated"
 # A side of a join is broadcast only when its measured size is below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# The size a stored file should have; far smaller ones are put together.
+FILE_BYTES = 128 * 1024 * 1024
+
 # Touched partitions are put into a static partition filter up to this many.
 MAX_PARTITION_LIST = 10_000

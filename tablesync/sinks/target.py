@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tablesync.config import BROADCAST_BYTES, MAX_PARTITION_LIST
+from tablesync.config import BROADCAST_BYTES, FILE_BYTES, MAX_PARTITION_LIST
 from tablesync.operators.cdc import (
     DELETE_CODE,
     DELETED,
@@ -176,9 +176,11 @@ class TargetTable:
             if touched.without_key:
                 raise ValueError(f"{touched.without_key} changes without a value in {self.row_key}")
             base = self._in_partitions(stored, change, [BUCKET, self.tenant], touched.spots)
-            small = touched.bytes <= broadcast_bytes
-            merged = self._join_small(base, change) if small else self._join_large(base, change)
-            self._write(merged)
+            if touched.bytes <= broadcast_bytes:
+                crowded = self._crowded(spark, change, touched)
+                self._write(self._join_small(base, change, crowded))
+            else:
+                self._write(self._join_large(base, change))
 
     def _touched(self, change: DataFrame) -> Touched:
         """Size and partitions of the changes, counted in one pass."""
@@ -204,8 +206,28 @@ class TargetTable:
         # Only partition columns: decides which folders are read.
         return stored.where(F.concat_ws("/", *on).isin(spots))
 
-    def _join_small(self, base: DataFrame, change: DataFrame) -> DataFrame:
-        """Stored rows meet a broadcast change; the table itself is not shuffled."""
+    def _crowded(self, spark: SparkSession, change: DataFrame, touched: Touched) -> bool:
+        """Whether the touched partitions have many more files than their size needs."""
+        if not folder_exists(spark, self.path):
+            return False
+        listing = (
+            "path string, modificationTime timestamp, length long, content binary, "
+            f"`{self.tenant}` string, {BUCKET} int"
+        )
+        files = spark.read.format("binaryFile").schema(listing).load(self.path)
+        on = [BUCKET, self.tenant]
+        mine = self._in_partitions(files, change, on, touched.spots)
+        n, size, spots = mine.agg(
+            F.count(F.lit(1)), F.sum("length"), F.count_distinct(F.concat_ws("/", *on))
+        ).first()
+        return n > 2 * (spots + (size or 0) / FILE_BYTES)
+
+    def _join_small(self, base: DataFrame, change: DataFrame, crowded: bool) -> DataFrame:
+        """Stored rows meet a broadcast change; the table itself is not shuffled.
+
+        Every such merge may add a file per partition for the added rows. Once
+        the partitions are crowded, their rows are shuffled into fewer files.
+        """
         marked = F.broadcast(change.withColumn("__change", F.lit(True)))
         updated = choose_newer(
             base.alias("t").join(marked.alias("c"), self._on(), "left"),
@@ -217,6 +239,8 @@ class TargetTable:
         key = self.row_key
         held = base.select(*key).join(F.broadcast(change.select(*key)), key, "left_semi")
         added = change.join(held.distinct(), key, "left_anti").select(*base.columns)
+        if crowded:
+            return updated.unionByName(added).hint("rebalance", *self.partitions)
         return updated.unionByName(added.hint("rebalance", *self.partitions))
 
     def _join_large(self, base: DataFrame, change: DataFrame) -> DataFrame:

@@ -130,6 +130,14 @@ def test_more_partitions_than_the_list_takes(spark, tmp_path, monkeypatch):
     assert [r[2] for r in live(spark, target)] == ["y", "y", "y", "x"]
 
 
+def test_files_do_not_pile_up(spark, tmp_path):
+    target = loaded(spark, tmp_path, [("a b%", n, "x") for n in range(10)], buckets=2)
+    for n in range(6):
+        target.merge(spark.createDataFrame([("a b%", 100 + n, "y", n, "I")], CHANGE), op_col="op")
+    assert len(live(spark, target)) == 16
+    assert len(files(tmp_path)) <= 6
+
+
 def test_stage_is_removed(spark, tmp_path):
     from tablesync.session import shared_dir
 
