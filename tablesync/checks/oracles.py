@@ -226,6 +226,21 @@ select distinct concat('app', cast(o_custkey % 50 as varchar)), 'control', 'fals
 """,
 }
 
+STATEMENTS["landing_changes"] = """
+select concat('schema_name=app', cast(id % 5 as varchar)) as schema_name,
+       'table_name=changes' as table_name, id, seq, op
+from changes
+"""
+STATEMENTS["control_rewrite"] = """
+select t.app_id,
+       case when c.flag and coalesce(r.n_failed, 0) = 0 then false else c.flag end as flag
+from (select distinct event_type as app_id from events) t
+left join control c on c.app_id = t.app_id
+left join (
+  select app_id, count(*) as n_failed from run_log where status = 'failed' group by app_id) r
+on r.app_id = t.app_id
+"""
+
 # Other ways to the result of a statement above.
 STATEMENTS["late_changes"] = STATEMENTS["apply_changes"]
 STATEMENTS["reconcile_hashed"] = STATEMENTS["reconcile_rows"]

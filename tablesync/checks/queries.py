@@ -19,10 +19,11 @@ from tablesync.functions.names import (
 from tablesync.operators import batches, catalog, cdc, control, reconcile
 from tablesync.plans.loads import full_load, load_missing
 from tablesync.session import scratch_path
+from tablesync.sinks.tables import replace_folder
 from tablesync.sinks.target import TargetTable
 from tablesync.sources.database import FrameTables
 from tablesync.sources.frames import sql_over
-from tablesync.sources.landing import landing_index
+from tablesync.sources.landing import landing_index, read_changes
 from tablesync.streaming.sync import sync_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -221,6 +222,15 @@ def landing_files(spark: SparkSession, sf: str) -> DataFrame:
     return index.where("length > 0").select("schema_name", "table_name").distinct()
 
 
+def landing_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes read back from landing files, with the place each came from."""
+    root = scratch_path(spark, "read") + "/landing"
+    rows = v.changes(spark, sf)
+    _write_landing(rows, root)
+    found = read_changes(spark, root, rows.schema, table="table_name=changes")
+    return found.select("schema_name", "table_name", "id", "seq", "op")
+
+
 # Control table and loads ------------------------------------------------------
 
 
@@ -229,6 +239,16 @@ def insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
     return control.insert_if_absent(v.control(spark, sf), tenants)
 
 
+def control_rewrite(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored control table, rewritten in place: new tenants, then flags off."""
+    path = scratch_path(spark, "control")
+    v.control(spark, sf).write.parquet(path)
+    tenants = v.table(spark, sf, "events").select(F.col("event_type").alias("app_id"))
+    replace_folder(control.insert_if_absent(spark.read.parquet(path), tenants), path)
+    replace_folder(control.clear_flags(spark.read.parquet(path), v.run_log(spark, sf)), path)
+    return spark.read.parquet(path)
+
+
 def full_load_plan(spark: SparkSession, sf: str) -> DataFrame:
     names = [f"tbl_{n}" for n in range(1, 6)]
     # At most as many values as the list has names.
@@ -370,6 +390,7 @@ QUERIES: dict[str, Query] = {
     "stamped_orders": stamped_orders,
     "landing_index": landing_index_query,
     "landing_files": landing_files,
+    "landing_changes": landing_changes,
     "initial_filter": initial_filter,
     "batch_assign": batch_assign,
     "batch_members": batch_members,
@@ -380,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "merge_table": merge_table,
     "stream_changes": stream_changes,
     "insert_if_absent": insert_if_absent,
+    "control_rewrite": control_rewrite,
     "fullload_plan": full_load_plan,
     "clear_flags": clear_flags,
     "run_summary": run_summary,

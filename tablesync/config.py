@@ -96,5 +96,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # The size a stored file should have; far smaller ones are put together.
 FILE_BYTES = 128 * 1024 * 1024
 
+# More shuffle partitions than this cost the driver more than they save.
+MAX_SHUFFLE_PARTITIONS = 100_000
+
 # Touched partitions are put into a static partition filter up to this many.
 MAX_PARTITION_LIST = 10_000

@@ -90,9 +90,10 @@ def choose_newer(
         if name in keys:
             value = F.coalesce(_c(name, "t"), _c(name, "c"))
         else:
-            value = F.when(wins, _c(name, "c")).otherwise(_c(name, "t"))
+            value = F.when(F.col("__wins"), _c(name, "c")).otherwise(_c(name, "t"))
         values.append(value.alias(name))
-    return joined.select(values)
+    # Compared once per row, however many columns there are.
+    return joined.withColumn("__wins", wins).select(values)
 
 
 def with_deleted(changes: DataFrame, op_col: str | None, delete_code: str = DELETE_CODE) -> DataFrame:

@@ -9,6 +9,8 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablesync.config import FILE_BYTES, MAX_SHUFFLE_PARTITIONS
+
 # Settings the jobs are tuned for; a session that brings its own keeps them.
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
@@ -77,6 +79,23 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(folder)
 
 
+@contextmanager
+def wide_shuffle(spark: SparkSession, data_bytes: int) -> Iterator[None]:
+    """Have enough shuffle partitions for ``data_bytes`` of stored data in a block.
+
+    Adaptive execution joins partitions that turn out small, but cannot make
+    more of them than the session starts with.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    needed = min(data_bytes // FILE_BYTES, MAX_SHUFFLE_PARTITIONS)
+    spark.conf.set(name, str(max(int(before), needed)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """Write ``df`` as a table in the shared folder for the length of a block."""

@@ -18,7 +18,7 @@ from tablesync.operators.cdc import (
     with_deleted,
 )
 from tablesync.operators.keys import KeyList, row_bytes
-from tablesync.session import folder_exists, staged
+from tablesync.session import folder_exists, staged, wide_shuffle
 
 BUCKET = "key_bucket"
 
@@ -176,11 +176,14 @@ class TargetTable:
             if touched.without_key:
                 raise ValueError(f"{touched.without_key} changes without a value in {self.row_key}")
             base = self._in_partitions(stored, change, [BUCKET, self.tenant], touched.spots)
+            files, size, spots = self._layout(spark, change, touched)
             if touched.bytes <= broadcast_bytes:
-                crowded = self._crowded(spark, change, touched)
-                self._write(self._join_small(base, change, crowded))
+                crowded = files > 2 * (spots + size / FILE_BYTES)
+                merged = self._join_small(base, change, crowded)
             else:
-                self._write(self._join_large(base, change))
+                merged = self._join_large(base, change)
+            with wide_shuffle(spark, size + touched.bytes):
+                self._write(merged)
 
     def _touched(self, change: DataFrame) -> Touched:
         """Size and partitions of the changes, counted in one pass."""
@@ -206,10 +209,12 @@ class TargetTable:
         # Only partition columns: decides which folders are read.
         return stored.where(F.concat_ws("/", *on).isin(spots))
 
-    def _crowded(self, spark: SparkSession, change: DataFrame, touched: Touched) -> bool:
-        """Whether the touched partitions have many more files than their size needs."""
+    def _layout(
+        self, spark: SparkSession, change: DataFrame, touched: Touched
+    ) -> tuple[int, int, int]:
+        """Files, bytes and number of the touched partitions; contents are not read."""
         if not folder_exists(spark, self.path):
-            return False
+            return 0, 0, 0
         listing = (
             "path string, modificationTime timestamp, length long, content binary, "
             f"`{self.tenant}` string, {BUCKET} int"
@@ -217,16 +222,20 @@ class TargetTable:
         files = spark.read.format("binaryFile").schema(listing).load(self.path)
         on = [BUCKET, self.tenant]
         mine = self._in_partitions(files, change, on, touched.spots)
-        n, size, spots = mine.agg(
-            F.count(F.lit(1)), F.sum("length"), F.count_distinct(F.concat_ws("/", *on))
+        per_spot = mine.groupBy(*on).agg(
+            F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
+        )
+        files, size, spots = per_spot.agg(
+            F.sum("files"), F.sum("bytes"), F.count(F.lit(1))
         ).first()
-        return n > 2 * (spots + (size or 0) / FILE_BYTES)
+        return files or 0, size or 0, spots
 
     def _join_small(self, base: DataFrame, change: DataFrame, crowded: bool) -> DataFrame:
         """Stored rows meet a broadcast change; the table itself is not shuffled.
 
         Every such merge may add a file per partition for the added rows. Once
-        the partitions are crowded, their rows are shuffled into fewer files.
+        the partitions hold many more files than their size needs, their rows
+        are shuffled into fewer.
         """
         marked = F.broadcast(change.withColumn("__change", F.lit(True)))
         updated = choose_newer(

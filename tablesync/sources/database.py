@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablesync.config import TENANT_BATCH
-from tablesync.functions.names import quote_identifier, quote_literal
+from tablesync.functions.names import lower_columns, quote_identifier, quote_literal
 
 TENANT = "schema_name"
 
@@ -75,6 +75,22 @@ def split_query(table: str, column: str, parts: int) -> str:
     )
 
 
+def find_splits(
+    spark: SparkSession, conn: Connection, table: str, column: str, parts: Mapping[str, int]
+) -> dict[tuple[str, str], list[object]]:
+    """First keys of the ranges to read large tenants in: ``parts`` ranges of each.
+
+    For ``DatabaseTables.splits``. One query per large tenant; the rows that
+    come back are as many as the ranges.
+    """
+    found = {}
+    for tenant, n in parts.items():
+        full_name = quote_identifier(tenant, table, quote=conn.quote)
+        keys = lower_columns(read_query(spark, conn, split_query(full_name, column, n)))
+        found[table, tenant] = [row["first_key"] for row in keys.collect()]
+    return found
+
+
 def range_predicates(column: str, first_keys: Sequence[object]) -> list[str]:
     """Predicates that cover every row once: below, between and above the keys.
 

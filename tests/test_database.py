@@ -97,6 +97,15 @@ def test_tenant_reads_cover_every_row_once(spark, duck):
     assert {t for t, _ in found} == {"app1", "o'x"}
 
 
+def test_splits_follow_the_rows(spark, duck, monkeypatch):
+    def ask(spark, conn, query):
+        return spark.createDataFrame(duck.sql(query).fetchall(), "PART long, FIRST_KEY long")
+
+    monkeypatch.setattr(d, "read_query", ask)
+    found = d.find_splits(spark, CONN, "t", "seq", {"app1": 4})
+    assert list(found) == [("t", "app1")] and len(found["t", "app1"]) == 4
+
+
 def test_ranges():
     assert d.range_predicates("k", [1, 1, 1]) == ["1 = 1"]
     assert d.range_predicates("k", ["a", "m", "t"]) == [

@@ -5,7 +5,15 @@ import pytest
 from __spark_entry__ import queries
 
 SF = "/root/testdata/sf0.001"
-WRITING = {"merge_table", "stream_changes", "landing_files", "missing_load", "full_load_log"}
+WRITING = {
+    "merge_table",
+    "stream_changes",
+    "landing_files",
+    "landing_changes",
+    "missing_load",
+    "full_load_log",
+    "control_rewrite",
+}
 
 
 def plan(df):

@@ -145,3 +145,17 @@ def test_stage_is_removed(spark, tmp_path):
     target.merge(spark.createDataFrame([("a", 1, "y", 1, "U")], CHANGE), op_col="op")
     folder = shared_dir(spark).removeprefix("file:")
     assert not [n for n in os.listdir(folder) if n.startswith("changes-")]
+
+
+def test_shuffles_grow_with_the_data(spark):
+    from tablesync.config import FILE_BYTES
+    from tablesync.session import wide_shuffle
+
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with wide_shuffle(spark, 50 * FILE_BYTES):
+        assert spark.conf.get(name) == "50"
+    with pytest.raises(KeyError), wide_shuffle(spark, 0):
+        assert spark.conf.get(name) == before
+        raise KeyError
+    assert spark.conf.get(name) == before
