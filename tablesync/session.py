@@ -97,13 +97,24 @@ def wide_shuffle(spark: SparkSession, data_bytes: int) -> Iterator[None]:
 
 
 @contextmanager
-def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
-    """Write ``df`` as a table in the shared folder for the length of a block."""
+def staged(df: DataFrame, label: str, keep_on_error: bool = False) -> Iterator[DataFrame]:
+    """Write ``df`` as a table in the shared folder for the length of a block.
+
+    ``keep_on_error`` leaves the table there if the block fails, for blocks
+    that may have removed the only other copy by then.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    keep = False
     try:
         yield spark.read.schema(df.schema).parquet(path)
+    except BaseException as error:
+        keep = keep_on_error
+        if keep:
+            error.add_note(f"all rows are still in {path}")
+        raise
     finally:
-        system, folder = _folder(spark, path)
-        system.delete(folder, True)
+        if not keep:
+            system, folder = _folder(spark, path)
+            system.delete(folder, True)

@@ -32,9 +32,10 @@ def write_table(
 def replace_folder(df: DataFrame, path: str) -> None:
     """Overwrite a parquet folder with rows that may be read from it.
 
-    The rows are complete in the shared folder before the old files go.
+    The rows are complete in the shared folder before the old files go, and
+    stay there if the write fails.
     """
-    with staged(df, "replace") as rows:
+    with staged(df, "replace", keep_on_error=True) as rows:
         rows.write.mode("overwrite").parquet(path)
 
 

@@ -27,7 +27,7 @@ BUCKET = "key_bucket"
 class Touched:
     """What a set of changes amounts to; ``spots`` is None if there are too many."""
 
-    rows: int
+    partitions: int
     bytes: int
     without_key: int
     spots: list[str] | None
@@ -171,14 +171,14 @@ class TargetTable:
         ready = self.with_bucket(newest.select(*wanted.fieldNames(), DELETED))
         with staged(ready, "changes") as change:
             touched = self._touched(change)
-            if touched.rows == 0:
+            if touched.partitions == 0:
                 return
             if touched.without_key:
                 raise ValueError(f"{touched.without_key} changes without a value in {self.row_key}")
             base = self._in_partitions(stored, change, [BUCKET, self.tenant], touched.spots)
-            files, size, spots = self._layout(spark, change, touched)
+            files, size = self._layout(spark, change, touched)
             if touched.bytes <= broadcast_bytes:
-                crowded = files > 2 * (spots + size / FILE_BYTES)
+                crowded = files > 2 * (touched.partitions + size / FILE_BYTES)
                 merged = self._join_small(base, change, crowded)
             else:
                 merged = self._join_large(base, change)
@@ -189,16 +189,15 @@ class TargetTable:
         """Size and partitions of the changes, counted in one pass."""
         no_key = F.expr(" or ".join(f"`{k}` is null" for k in self.row_key))
         per_spot = change.groupBy(F.concat_ws("/", BUCKET, self.tenant).alias("spot")).agg(
-            F.count(F.lit(1)).alias("n"),
             F.sum(row_bytes(change)).alias("bytes"),
             F.count_if(no_key).alias("no_key"),
         )
         found = per_spot.limit(MAX_PARTITION_LIST + 1).collect()
         if len(found) > MAX_PARTITION_LIST:
-            total = per_spot.agg(F.sum("n"), F.sum("bytes"), F.sum("no_key")).first()
+            total = per_spot.agg(F.count(F.lit(1)), F.sum("bytes"), F.sum("no_key")).first()
             return Touched(*total, None)
-        totals = [sum(row[name] for row in found) for name in ("n", "bytes", "no_key")]
-        return Touched(*totals, [row["spot"] for row in found])
+        totals = [sum(row[name] for row in found) for name in ("bytes", "no_key")]
+        return Touched(len(found), *totals, [row["spot"] for row in found])
 
     def _in_partitions(
         self, stored: DataFrame, wanted: DataFrame, on: list[str], spots: list[str] | None
@@ -209,12 +208,10 @@ class TargetTable:
         # Only partition columns: decides which folders are read.
         return stored.where(F.concat_ws("/", *on).isin(spots))
 
-    def _layout(
-        self, spark: SparkSession, change: DataFrame, touched: Touched
-    ) -> tuple[int, int, int]:
-        """Files, bytes and number of the touched partitions; contents are not read."""
+    def _layout(self, spark: SparkSession, change: DataFrame, touched: Touched) -> tuple[int, int]:
+        """Files and bytes of the touched partitions; contents are not read."""
         if not folder_exists(spark, self.path):
-            return 0, 0, 0
+            return 0, 0
         listing = (
             "path string, modificationTime timestamp, length long, content binary, "
             f"`{self.tenant}` string, {BUCKET} int"
@@ -222,13 +219,8 @@ class TargetTable:
         files = spark.read.format("binaryFile").schema(listing).load(self.path)
         on = [BUCKET, self.tenant]
         mine = self._in_partitions(files, change, on, touched.spots)
-        per_spot = mine.groupBy(*on).agg(
-            F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
-        )
-        files, size, spots = per_spot.agg(
-            F.sum("files"), F.sum("bytes"), F.count(F.lit(1))
-        ).first()
-        return files or 0, size or 0, spots
+        files, size = mine.agg(F.count(F.lit(1)), F.sum("length")).first()
+        return files, size or 0
 
     def _join_small(self, base: DataFrame, change: DataFrame, crowded: bool) -> DataFrame:
         """Stored rows meet a broadcast change; the table itself is not shuffled.

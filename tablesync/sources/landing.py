@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tablesync.config import SCHEMA_POSITION, TABLE_POSITION
@@ -58,10 +60,11 @@ def table_glob(
     schema_pos: int = SCHEMA_POSITION,
     table_pos: int = TABLE_POSITION,
 ) -> str:
-    """A path pattern for the files of one table name across all tenants."""
+    """A path pattern for the files of one table name, in any case, across all tenants."""
     if not 1 < schema_pos < table_pos:
         raise ValueError("the tenant has to come after the root and before the table")
-    return "/".join([root.rstrip("/"), *["*"] * (table_pos - 2), table])
+    letters = [f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in table]
+    return "/".join([root.rstrip("/"), *["*"] * (table_pos - 2), "".join(letters)])
 
 
 def read_changes(
@@ -72,8 +75,10 @@ def read_changes(
     table: str | None = None,
     schema_pos: int = SCHEMA_POSITION,
     table_pos: int = TABLE_POSITION,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Changes of all landing files, or of one table name, with tenant and table."""
     path = root if table is None else table_glob(root, table, schema_pos, table_pos)
-    rows = spark.read.schema(schema).option("recursiveFileLookup", "true").format(fmt).load(path)
+    reader = spark.read.format(fmt).schema(schema).options(**(options or {}))
+    rows = reader.option("recursiveFileLookup", "true").load(path)
     return with_place(rows, root, schema_pos, table_pos)

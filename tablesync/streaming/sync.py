@@ -24,9 +24,11 @@ def stream_changes(
     archive: str | None = None,
     schema_pos: int = SCHEMA_POSITION,
     table_pos: int = TABLE_POSITION,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """New landing files of one table name, with tenant and table from their path."""
-    reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
+    reader = spark.readStream.format(fmt).schema(schema).options(**(options or {}))
+    reader = reader.option("recursiveFileLookup", "true")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     if archive is not None:
@@ -51,18 +53,19 @@ def sync_stream(
     quarantine: str | None = None,
     schema_pos: int = SCHEMA_POSITION,
     table_pos: int = TABLE_POSITION,
+    options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Apply all landing files that are not applied yet, then stop.
 
     The checkpoint remembers which files are done. A batch that is repeated
     after a failure alters nothing. With ``available`` (tenant and table
-    names), changes of unknown tables go to the folder ``quarantine``. With
-    ``archive``, the files of a batch move there when a later batch is planned.
+    names), changes of unknown tables go to the folder ``quarantine``;
+    ``options`` go to the file reader. With ``archive``, the files of a batch move there when a later batch is planned.
     """
     if (available is None) != (quarantine is None):
         raise ValueError("available and quarantine go together")
     changes = stream_changes(
-        spark, root, schema, table, fmt, max_files, archive, schema_pos, table_pos
+        spark, root, schema, table, fmt, max_files, archive, schema_pos, table_pos, options
     )
 
     def apply(batch: DataFrame, batch_id: int) -> None:
