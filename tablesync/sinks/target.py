@@ -177,11 +177,9 @@ class TargetTable:
                 raise ValueError(f"{touched.without_key} changes without a value in {self.row_key}")
             base = self._in_partitions(stored, change, [BUCKET, self.tenant], touched.spots)
             files, size = self._layout(spark, change, touched)
-            if touched.bytes <= broadcast_bytes:
-                crowded = files > 2 * (touched.partitions + size / FILE_BYTES)
-                merged = self._join_small(base, change, crowded)
-            else:
-                merged = self._join_large(base, change)
+            small = touched.bytes <= broadcast_bytes
+            crowded = files > 2 * (touched.partitions + size / FILE_BYTES)
+            merged = self._merged(base, change, small, crowded)
             with wide_shuffle(spark, size + touched.bytes):
                 self._write(merged)
 
@@ -222,38 +220,32 @@ class TargetTable:
         files, size = mine.agg(F.count(F.lit(1)), F.sum("length")).first()
         return files, size or 0
 
-    def _join_small(self, base: DataFrame, change: DataFrame, crowded: bool) -> DataFrame:
-        """Stored rows meet a broadcast change; the table itself is not shuffled.
+    def _merged(self, base: DataFrame, change: DataFrame, small: bool, crowded: bool) -> DataFrame:
+        """The stored rows with their changes, and the changes that are new rows.
 
-        Every such merge may add a file per partition for the added rows. Once
-        the partitions hold many more files than their size needs, their rows
-        are shuffled into fewer.
+        Small changes are broadcast, and the table itself is not shuffled. With
+        others, stored rows are the left side of every join, which adaptive
+        execution may split, so neither a repeated nor a missing key piles up.
+
+        A merge without a shuffle may add a file per partition for the new
+        rows; ``crowded`` has all rows shuffled into fewer files.
         """
-        marked = F.broadcast(change.withColumn("__change", F.lit(True)))
+        key = self.row_key
+        side = F.broadcast if small else _as_is
+        marked = side(change.withColumn("__change", F.lit(True)))
         updated = choose_newer(
-            base.alias("t").join(marked.alias("c"), self._on(), "left"),
+            base.alias("t").join(marked.alias("c"), same_key(key, "t", "c"), "left"),
             base.columns,
-            [*self.row_key, BUCKET],
+            [*key, BUCKET],
             self.order,
             True,
         )
-        key = self.row_key
-        held = base.select(*key).join(F.broadcast(change.select(*key)), key, "left_semi")
-        added = change.join(held.distinct(), key, "left_anti").select(*base.columns)
-        if crowded:
+        held = base.select(*key).join(side(change.select(*key)), key, "left_semi").distinct()
+        added = change.join(held, key, "left_anti").select(*base.columns)
+        if crowded or not small:
             return updated.unionByName(added).hint("rebalance", *self.partitions)
         return updated.unionByName(added.hint("rebalance", *self.partitions))
 
-    def _join_large(self, base: DataFrame, change: DataFrame) -> DataFrame:
-        marked = change.withColumn("__change", F.lit(True))
-        merged = choose_newer(
-            base.alias("t").join(marked.alias("c"), self._on(), "full_outer"),
-            base.columns,
-            [*self.row_key, BUCKET],
-            self.order,
-            True,
-        )
-        return merged.hint("rebalance", *self.partitions)
 
-    def _on(self) -> Column:
-        return same_key(self.row_key, "t", "c")
+def _as_is(df: DataFrame) -> DataFrame:
+    return df

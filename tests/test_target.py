@@ -138,6 +138,16 @@ def test_files_do_not_pile_up(spark, tmp_path):
     assert len(files(tmp_path)) <= 6
 
 
+def test_repeated_and_missing_keys_in_the_table_stay(spark, tmp_path):
+    rows = [("a", 1, "x")] * 200 + [("a", None, "n")] * 100
+    for limit in (0, 1 << 26):
+        target = loaded(spark, tmp_path / str(limit), rows)
+        changes = [("a", 1, "y", 1, "U"), ("a", 2, "z", 1, "I")]
+        target.merge(spark.createDataFrame(changes, CHANGE), op_col="op", broadcast_bytes=limit)
+        found = target.current(spark).groupBy("id", "value").count().collect()
+        assert {tuple(r) for r in found} == {(1, "y", 200), (None, "n", 100), (2, "z", 1)}
+
+
 def test_stage_is_removed(spark, tmp_path):
     from tablesync.session import shared_dir
 
