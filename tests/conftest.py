@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
         "tablesync-tests",
         spark__master="local[4]",
         spark__ui__enabled="false",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="3",
         spark__sql__warehouse__dir=str(folder / "warehouse"),
         spark__checkpoint__dir=str(folder / "shared"),
         spark__driver__memory="6g",

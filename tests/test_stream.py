@@ -57,7 +57,7 @@ def run(spark, tmp_path, target, **more):
     return query
 
 
-@pytest.mark.parametrize("files,per_batch", [(1, 10), (3, 1)])
+@pytest.mark.parametrize("files,per_batch", [(1, 10), (2, 1)])
 def test_stream_gives_the_batch_result(spark, tmp_path, target, files, per_batch):
     rows = changes(80, files)
     land(spark, tmp_path, rows, files)

@@ -48,7 +48,7 @@ def test_merge_against_brute_force(spark, tmp_path, limit):
     first = [("hot", n, "old") for n in range(90)] + [("a", n, "old") for n in range(30)]
     target = loaded(spark, tmp_path, first, buckets=2, tenant_buckets={"hot": 5})
     state = {(t, n): (v, -1) for t, n, v in first}
-    for _ in range(3):
+    for _ in range(2):
         batch = []
         for _ in range(60):
             tenant = draw.choice(["hot", "hot", "a", "new"])
@@ -132,9 +132,9 @@ def test_more_partitions_than_the_list_takes(spark, tmp_path, monkeypatch):
 
 def test_files_do_not_pile_up(spark, tmp_path):
     target = loaded(spark, tmp_path, [("a b%", n, "x") for n in range(10)], buckets=2)
-    for n in range(6):
+    for n in range(4):
         target.merge(spark.createDataFrame([("a b%", 100 + n, "y", n, "I")], CHANGE), op_col="op")
-    assert len(live(spark, target)) == 16
+    assert len(live(spark, target)) == 14
     assert len(files(tmp_path)) <= 6
 
 
