@@ -12,10 +12,15 @@ from tablesync.operators.control import FAILED
 
 def reconcile_counts(source: DataFrame, target: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows per group on both sides; a group one side lacks counts 0 there."""
-    by = list(by)
     left = source.groupBy(*by).agg(F.count(F.lit(1)).alias("n_source"))
     right = target.groupBy(*by).agg(F.count(F.lit(1)).alias("n_target"))
-    return left.join(right, by, "full_outer").select(
+    return compare_counts(left, right, by)
+
+
+def compare_counts(source: DataFrame, target: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Counts ``n_source`` and ``n_target`` per group, side by side."""
+    by = list(by)
+    return source.join(target, by, "full_outer").select(
         *by,
         F.coalesce("n_source", F.lit(0)).alias("n_source"),
         F.coalesce("n_target", F.lit(0)).alias("n_target"),

@@ -12,7 +12,7 @@ from tablesync.functions.names import same_name
 from tablesync.operators.catalog import missing_tables
 from tablesync.operators.cdc import DELETED
 from tablesync.operators.control import FAILED, OK, clear_flags, full_load_plan
-from tablesync.operators.reconcile import reconcile_counts
+from tablesync.operators.reconcile import compare_counts
 from tablesync.session import folder_exists, reliable
 from tablesync.sinks.target import TargetTable
 from tablesync.sources.frames import empty_frame
@@ -28,6 +28,8 @@ class SourceTables(Protocol):
 
     def table(self, name: str, tenants: DataFrame) -> DataFrame: ...
 
+    def counts(self, name: str, tenants: DataFrame) -> DataFrame: ...
+
 
 class LoadFailed(Exception):
     """Some tables could not be loaded; ``run_log`` says which."""
@@ -70,10 +72,10 @@ def load_tables(
 def _load_one(
     spark: SparkSession, source: SourceTables, name: str, tenants: DataFrame, target: TargetTable
 ) -> DataFrame:
-    rows = source.table(name, tenants)
-    target.load(rows, tenants, source.by_tenant)
+    target.load(source.table(name, tenants), tenants, source.by_tenant)
     loaded = target.of_tenants(spark, tenants).where(~F.col(DELETED))
-    counts = reconcile_counts(rows, loaded, [TENANT])
+    n_target = loaded.groupBy(TENANT).agg(F.count(F.lit(1)).alias("n_target"))
+    counts = compare_counts(source.counts(name, tenants), n_target, [TENANT])
     off = F.col("n_source") != F.col("n_target")
     message = F.format_string("%d rows in the source, %d in the target", "n_source", "n_target")
     return tenants.join(counts, TENANT, "left").select(
@@ -134,10 +136,10 @@ def full_load(
 
 
 def target_catalog(spark: SparkSession, targets: dict[str, TargetTable]) -> DataFrame:
-    """The (tenant, table) pairs that replicated tables hold, from their partitions."""
+    """The (tenant, table) pairs that replicated tables hold, from their folders."""
     found = empty_frame(spark, "table_schema string, table_name string")
     for name, target in targets.items():
-        held = target.read(spark).select(F.col(target.tenant).alias("table_schema")).distinct()
+        held = target.tenants(spark).withColumnRenamed(target.tenant, "table_schema")
         found = found.unionByName(held.withColumn("table_name", F.lit(name)))
     return found
 

@@ -79,6 +79,20 @@ class TargetTable:
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(self.path)
 
+    def tenants(self, spark: SparkSession) -> DataFrame:
+        """The distinct tenants that have the table, with or without rows."""
+        return self._files(spark).select(self.tenant).distinct()
+
+    def _files(self, spark: SparkSession) -> DataFrame:
+        """Sizes and partitions of the stored files; contents are not read."""
+        listing = (
+            "path string, modificationTime timestamp, length long, content binary, "
+            f"`{self.tenant}` string, {BUCKET} int"
+        )
+        if not folder_exists(spark, self.path):
+            return spark.createDataFrame([], listing)
+        return spark.read.format("binaryFile").schema(listing).load(self.path)
+
     def of_tenants(self, spark: SparkSession, tenants: DataFrame) -> DataFrame:
         """The stored rows of the given tenants, read from their folders only."""
         names = tenants.select(self.tenant).distinct().limit(MAX_PARTITION_LIST + 1).collect()
@@ -208,15 +222,9 @@ class TargetTable:
 
     def _layout(self, spark: SparkSession, change: DataFrame, touched: Touched) -> tuple[int, int]:
         """Files and bytes of the touched partitions; contents are not read."""
-        if not folder_exists(spark, self.path):
-            return 0, 0
-        listing = (
-            "path string, modificationTime timestamp, length long, content binary, "
-            f"`{self.tenant}` string, {BUCKET} int"
+        mine = self._in_partitions(
+            self._files(spark), change, [BUCKET, self.tenant], touched.spots
         )
-        files = spark.read.format("binaryFile").schema(listing).load(self.path)
-        on = [BUCKET, self.tenant]
-        mine = self._in_partitions(files, change, on, touched.spots)
         files, size = mine.agg(F.count(F.lit(1)), F.sum("length")).first()
         return files, size or 0
 

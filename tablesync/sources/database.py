@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablesync.config import TENANT_BATCH
 from tablesync.functions.names import lower_columns, quote_identifier, quote_literal
+from tablesync.operators.keys import KeyList
 
 TENANT = "schema_name"
 
@@ -114,6 +115,11 @@ def tenants_query(conn: Connection, table: str, tenants: Iterable[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
+def count_query(query: str) -> str:
+    """SQL for the rows per tenant of a :func:`tenants_query`."""
+    return f"SELECT {TENANT}, COUNT(*) AS n_source FROM ({query}) tenants GROUP BY {TENANT}"
+
+
 @dataclass(frozen=True)
 class DatabaseTables:
     """The tenants' tables of a database, one frame per table name.
@@ -165,6 +171,14 @@ class DatabaseTables:
         ]
         return reduce(DataFrame.unionByName, frames)
 
+    def counts(self, name: str, tenants: DataFrame) -> DataFrame:
+        """Rows per tenant, counted by the database."""
+        frames = [
+            lower_columns(read_query(self.spark, self.conn, count_query(query)))
+            for query, _ in self.reads(name, tenants)
+        ]
+        return reduce(DataFrame.unionByName, frames)
+
 
 @dataclass(frozen=True)
 class FrameTables:
@@ -175,6 +189,9 @@ class FrameTables:
 
     def table(self, name: str, tenants: DataFrame) -> DataFrame:
         """All rows of the table ``name`` of the given tenants."""
-        from tablesync.operators.keys import KeyList
-
         return KeyList.of(tenants, [TENANT]).keep(self.frames[name])
+
+    def counts(self, name: str, tenants: DataFrame) -> DataFrame:
+        """Rows per tenant."""
+        found = self.frames[name].groupBy(TENANT).agg(F.count(F.lit(1)).alias("n_source"))
+        return found.join(tenants.select(TENANT).distinct(), TENANT, "left_semi")

@@ -95,6 +95,8 @@ def test_tenant_reads_cover_every_row_once(spark, duck):
             found += duck.sql(sql).fetchall()
     assert len(found) == len(set(found)) == 907
     assert {t for t, _ in found} == {"app1", "o'x"}
+    counts = dict(row for query, _ in reads for row in duck.sql(d.count_query(query)).fetchall())
+    assert counts == {"app1": 900, "o'x": 7}
 
 
 def test_splits_follow_the_rows(spark, duck, monkeypatch):
