@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tablesync.checks import views as v
 from tablesync.functions.names import (
@@ -157,7 +157,7 @@ def late_changes(spark: SparkSession, sf: str) -> DataFrame:
     return target.where(~F.col(cdc.DELETED)).select("id", "amount", "last_type")
 
 
-def _tenant() -> F.Column:
+def _tenant() -> Column:
     return F.concat(F.lit("app"), (F.col("id") % 5).cast("string"))
 
 

@@ -75,10 +75,16 @@ def _load_one(
     target.load(source.table(name, tenants), tenants, source.by_tenant)
     loaded = target.of_tenants(spark, tenants).where(~F.col(DELETED))
     n_target = loaded.groupBy(TENANT).agg(F.count(F.lit(1)).alias("n_target"))
-    counts = compare_counts(source.counts(name, tenants), n_target, [TENANT])
+    n_source = (
+        source.counts(name, tenants)
+        .groupBy(F.lower(TENANT).alias(TENANT))
+        .agg(F.sum("n_source").cast("long").alias("n_source"))
+    )
+    counts = compare_counts(n_source, n_target, [TENANT])
     off = F.col("n_source") != F.col("n_target")
     message = F.format_string("%d rows in the source, %d in the target", "n_source", "n_target")
-    return tenants.join(counts, TENANT, "left").select(
+    planned = tenants.select(F.lower(TENANT).alias(TENANT)).distinct()
+    return planned.join(counts, TENANT, "left").select(
         F.col(TENANT).alias("app_id"),
         F.lit(name).alias("table_name"),
         F.when(off, FAILED).otherwise(OK).alias("status"),

@@ -42,7 +42,8 @@ class TargetTable:
     large tenants more. Both are part of the layout and must not change while
     the table has rows. Stored besides the data are the order columns and the
     flag ``deleted``: deleted rows stay as tombstones, so an older change that
-    arrives late cannot bring them back.
+    arrives late cannot bring them back. Tenant names are stored in lower case,
+    since the same tenant is spelled differently in catalogs and file paths.
     """
 
     path: str
@@ -65,9 +66,12 @@ class TargetTable:
     def n_buckets(self) -> Column:
         count = F.lit(self.buckets)
         for name, own in self.tenant_buckets.items():
-            count = F.when(F.col(self.tenant) == name, F.lit(own)).otherwise(count)
+            count = F.when(F.col(self.tenant) == name.lower(), F.lit(own)).otherwise(count)
         return count
 
+    def _own_names(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(self.tenant, F.lower(self.tenant))
+
     def with_bucket(self, df: DataFrame) -> DataFrame:
         hashed = F.xxhash64(*[F.col(f"`{k}`") for k in self.keys])
         return df.withColumn(BUCKET, F.pmod(hashed, self.n_buckets()).cast("int"))
@@ -95,7 +99,8 @@ class TargetTable:
 
     def of_tenants(self, spark: SparkSession, tenants: DataFrame) -> DataFrame:
         """The stored rows of the given tenants, read from their folders only."""
-        names = tenants.select(self.tenant).distinct().limit(MAX_PARTITION_LIST + 1).collect()
+        tenants = self._own_names(tenants.select(self.tenant)).distinct()
+        names = tenants.limit(MAX_PARTITION_LIST + 1).collect()
         few = len(names) <= MAX_PARTITION_LIST
         spots = [row[0] for row in names] if few else None
         return self._in_partitions(self.read(spark), tenants, [self.tenant], spots)
@@ -134,22 +139,21 @@ class TargetTable:
         tenants: DataFrame,
         by_tenant: bool = False,
     ) -> None:
-        """Replace everything the given tenants have by ``rows``.
+        """Replace everything the given tenants have by ``rows``, which are all theirs.
 
         Loaded rows are older than any change, unless they carry order columns.
         Every partition of a loaded tenant gets one hidden row, so that a
         partition or tenant without rows in ``rows`` is emptied as well, in the
-        same job.
-        ``by_tenant`` says that the partitions of ``rows`` hold one tenant each,
+        same job. ``by_tenant`` says that the partitions of ``rows`` hold one tenant each,
         which saves the shuffle that keeps the number of files low.
         """
         if self.schema is not None:
             rows = align(rows, T.StructType.fromDDL(self.schema))
         elif not set(self.order) <= set(rows.columns):
             raise ValueError("rows without order columns need a target with a declared schema")
-        full = self.with_bucket(rows.withColumn(DELETED, F.lit(False)))
+        full = self.with_bucket(self._own_names(rows).withColumn(DELETED, F.lit(False)))
         hidden = (
-            tenants.select(F.col(self.tenant))
+            self._own_names(tenants.select(self.tenant))
             .distinct()
             .withColumn(BUCKET, F.explode(F.sequence(F.lit(0), self.n_buckets() - 1)))
             .withColumn(DELETED, F.lit(True))
@@ -178,7 +182,7 @@ class TargetTable:
         stored = self.read(spark)
         wanted = T.StructType([f for f in stored.schema.fields if f.name not in (DELETED, BUCKET)])
         operation = [] if op_col is None else [T.StructField(op_col, T.StringType())]
-        data = align(changes, T.StructType([*wanted.fields, *operation]))
+        data = self._own_names(align(changes, T.StructType([*wanted.fields, *operation])))
         newest = with_deleted(
             latest_change(data, self.row_key, self.order), op_col, delete_code
         )

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablesync.config import TENANT_BATCH
-from tablesync.functions.names import lower_columns, quote_identifier, quote_literal
+from tablesync.functions.names import lower_columns, quote_identifier, quote_literal, same_name
 from tablesync.operators.keys import KeyList
 
 TENANT = "schema_name"
@@ -188,10 +188,12 @@ class FrameTables:
     by_tenant: bool = False
 
     def table(self, name: str, tenants: DataFrame) -> DataFrame:
-        """All rows of the table ``name`` of the given tenants."""
-        return KeyList.of(tenants, [TENANT]).keep(self.frames[name])
+        """All rows of the table ``name`` of the given tenants, compared without case."""
+        listed = KeyList.of(tenants.select(same_name(TENANT).alias("__tenant")), ["__tenant"])
+        return listed.keep(self.frames[name].withColumn("__tenant", same_name(TENANT))).drop(
+            "__tenant"
+        )
 
     def counts(self, name: str, tenants: DataFrame) -> DataFrame:
         """Rows per tenant."""
-        found = self.frames[name].groupBy(TENANT).agg(F.count(F.lit(1)).alias("n_source"))
-        return found.join(tenants.select(TENANT).distinct(), TENANT, "left_semi")
+        return self.table(name, tenants).groupBy(TENANT).agg(F.count(F.lit(1)).alias("n_source"))

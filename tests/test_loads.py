@@ -76,6 +76,19 @@ def test_full_load_reconciles_and_clears_flags(spark, tmp_path, world):
         assert reconcile_rows(rows, loaded, ["schema_name", "id"]).isEmpty()
 
 
+def test_full_load_of_a_tenant_spelled_otherwise(spark, tmp_path, world):
+    source, targets, _ = world
+    upper = {n: f.withColumn("schema_name", F.upper("schema_name")) for n, f in source.frames.items()}
+    control = spark.createDataFrame([("App1", True)], "app_id string, flag boolean")
+    log, after = full_load(
+        spark, FrameTables(upper), control, ["users"], targets.get, f"{tmp_path}/log",
+        datetime(2024, 1, 1),
+    )
+    assert [tuple(r)[:3] for r in log.collect()] == [("app1", "users", "ok")]
+    assert not after.first().flag
+    assert targets["users"].current(spark).count() == 30
+
+
 def test_a_failing_table_is_logged_and_keeps_the_flag(spark, tmp_path, world):
     source, targets, catalog = world
     broken = FrameTables({"users": source.frames["users"]})

@@ -148,6 +148,14 @@ def test_repeated_and_missing_keys_in_the_table_stay(spark, tmp_path):
         assert {tuple(r) for r in found} == {(1, "y", 200), (None, "n", 100), (2, "z", 1)}
 
 
+def test_a_tenant_is_the_same_in_any_case(spark, tmp_path):
+    target = loaded(spark, tmp_path, [("APP1", 1, "x")], tenant_buckets={"App1": 2})
+    target.merge(spark.createDataFrame([("App1", 1, "y", 1, "U")], CHANGE), op_col="op")
+    assert live(spark, target) == [("app1", 1, "y")]
+    tenants = spark.createDataFrame([("APP1",)], "schema_name string")
+    assert target.of_tenants(spark, tenants).where("not deleted").count() == 1
+
+
 def test_stage_is_removed(spark, tmp_path):
     from tablesync.session import shared_dir
 
