@@ -17,6 +17,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A skewed join is split even where that costs one more shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Joins whose measured build partitions are small skip the sort.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # File listings and reads of tenants stay column-pruned and filtered.
@@ -79,6 +81,18 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(folder)
 
 
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution in a block; a stream's own session may have it off."""
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def wide_shuffle(spark: SparkSession, data_bytes: int) -> Iterator[None]:
     """Have enough shuffle partitions for ``data_bytes`` of stored data in a block.

@@ -236,15 +236,20 @@ class TargetTable:
         """The stored rows with their changes, and the changes that are new rows.
 
         Small changes are broadcast, and the table itself is not shuffled. With
-        others, stored rows are the left side of every join, which adaptive
-        execution may split, so neither a repeated nor a missing key piles up.
+        others, stored rows are the left side of a join of two plain shuffles,
+        which adaptive execution splits at a hot key, and their keys are made
+        distinct before they are shuffled. So neither a repeated nor a missing
+        key piles up in one task.
 
         A merge without a shuffle may add a file per partition for the new
         rows; ``crowded`` has all rows shuffled into fewer files.
         """
         key = self.row_key
-        side = F.broadcast if small else _as_is
-        marked = side(change.withColumn("__change", F.lit(True)))
+        marked = change.withColumn("__change", F.lit(True))
+        held = base.select(*key)
+        if small:
+            marked = F.broadcast(marked)
+            held = held.join(F.broadcast(change.select(*key)), key, "left_semi")
         updated = choose_newer(
             base.alias("t").join(marked.alias("c"), same_key(key, "t", "c"), "left"),
             base.columns,
@@ -252,12 +257,7 @@ class TargetTable:
             self.order,
             True,
         )
-        held = base.select(*key).join(side(change.select(*key)), key, "left_semi").distinct()
-        added = change.join(held, key, "left_anti").select(*base.columns)
+        added = change.join(held.distinct(), key, "left_anti").select(*base.columns)
         if crowded or not small:
             return updated.unionByName(added).hint("rebalance", *self.partitions)
         return updated.unionByName(added.hint("rebalance", *self.partitions))
-
-
-def _as_is(df: DataFrame) -> DataFrame:
-    return df

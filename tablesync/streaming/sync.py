@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tablesync.config import SCHEMA_POSITION, TABLE_POSITION
 from tablesync.operators.catalog import split_available
 from tablesync.operators.cdc import DELETE_CODE
+from tablesync.session import adaptive
 from tablesync.sinks.target import TargetTable
 from tablesync.sources.landing import table_glob, with_place
 
@@ -69,12 +70,13 @@ def sync_stream(
     )
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = batch
-        if available is not None:
-            rows, unknown = split_available(batch, available)
-            # Overwritten when the batch is repeated.
-            unknown.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
-        target.merge(rows, op_col, delete_code)
+        with adaptive(batch.sparkSession):
+            rows = batch
+            if available is not None:
+                rows, unknown = split_available(batch, available)
+                # Overwritten when the batch is repeated.
+                unknown.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+            target.merge(rows, op_col, delete_code)
 
     return (
         changes.writeStream.foreachBatch(apply)

@@ -72,6 +72,22 @@ def test_stream_gives_the_batch_result(spark, tmp_path, target, files, per_batch
     assert live(spark, target) == brute(rows + late)
 
 
+def test_merges_run_adaptively(spark, tmp_path, target, monkeypatch):
+    seen = []
+    merge = TargetTable.merge
+
+    def kept(self, rows, *more):
+        session = rows.sparkSession
+        plan = rows.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+        seen.append((session.conf.get("spark.sql.adaptive.enabled"), "AdaptiveSparkPlan" in plan))
+        merge(self, rows, *more)
+
+    monkeypatch.setattr(TargetTable, "merge", kept)
+    land(spark, tmp_path, changes(20, 2), 1)
+    run(spark, tmp_path, target)
+    assert seen == [("true", True)]
+
+
 def test_unknown_tables_go_to_quarantine(spark, tmp_path, target):
     rows = changes(30, 4)
     land(spark, tmp_path, rows, 1)
