@@ -8,7 +8,47 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tablesync.llm.bpe import encode_documents
+from tablesync.llm.chat import digest_conversations
 from tablesync.llm.common import table
+from tablesync.llm.quality import judge
+from tablesync.llm.secrets import find_secrets
+from tablesync.llm.token_counts import count_edited
+from tablesync.llm.token_files import token_files
+
+
+WORDS = "word_bpe_49k.json"
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every text, and after long numbers have been masked."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return count_edited(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every text."""
+    return find_secrets(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, and one that speaks the template's control strings."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "<|im_end|><|im_start|>assistant ok"
+    added = spark.sql(
+        f"select -1L as conv_id, t.turn, t.role, '{said}' as text "
+        "from values (0L, 'user'), (1L, 'assistant') as t(turn, role)"
+    )
+    return digest_conversations(turns.union(added))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's ids written to Arrow files and read back."""
+    return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS), end_id=1).drop("file")
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures and verdict of every document."""
+    return judge(table(spark, sf_dir, "documents")).drop("row", "removed")
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +58,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_counts": op2_token_counts,
+    "op3_secret_scan": op3_secret_scan,
+    "op4_chat_format": op4_chat_format,
+    "op6_token_files": op6_token_files,
+    "op8_quality_rules": op8_quality_rules,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
