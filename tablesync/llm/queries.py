@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablesync.llm.bpe import encode_documents
 from tablesync.llm.chat import digest_conversations
 from tablesync.llm.common import table
+from tablesync.llm.decontaminate import find_leaks
 from tablesync.llm.quality import judge
 from tablesync.llm.secrets import find_secrets
 from tablesync.llm.token_counts import count_edited
@@ -19,6 +21,13 @@ from tablesync.llm.token_files import token_files
 WORDS = "word_bpe_49k.json"
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    leaks = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return leaks.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every text, and after long numbers have been masked."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -58,6 +67,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_token_counts": op2_token_counts,
     "op3_secret_scan": op3_secret_scan,
     "op4_chat_format": op4_chat_format,
@@ -66,4 +76,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_decontaminate": r"""
+with d as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (
+    select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+g as (
+    select distinct item_id, least(len(w), 10) as size, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') as win
+    from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from b where len(w) > 0)),
+spots as (
+    select doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') as win
+    from (select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as i
+          from d cross join (select distinct size from g) where len(w) >= size)),
+hit as (select a.doc_id, a.i, a.size, g.item_id from spots a join g on g.win = a.win and g.size = a.size),
+words as (select doc_id, count(distinct p) as n from (
+    select doc_id, unnest(range(i, i + size)) as p from (select distinct doc_id, i, size from hit)) group by doc_id),
+items as (select doc_id, count(*) as n, string_agg(item, ',' order by item) as ids from (
+    select distinct doc_id, cast(item_id as varchar) as item from hit) group by doc_id)
+select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(words.n, 0) as bigint) as n_hit,
+       cast(coalesce(items.n, 0) as bigint) as n_items, sha256(coalesce(items.ids, '')) as items_sha256,
+       coalesce(words.n, 0) > 0 as contaminated
+from d left join words on words.doc_id = d.doc_id left join items on items.doc_id = d.doc_id
+""",
+}
