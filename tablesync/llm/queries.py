@@ -14,6 +14,7 @@ from tablesync.llm.common import table
 from tablesync.llm.decontaminate import find_leaks
 from tablesync.llm.quality import judge
 from tablesync.llm.secrets import find_secrets
+from tablesync.llm.substrings import remove_repeats
 from tablesync.llm.token_counts import count_edited
 from tablesync.llm.token_files import token_files
 
@@ -55,6 +56,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS), end_id=1).drop("file")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without passages of 50 words that stand in an earlier one."""
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures and verdict of every document."""
     return judge(table(spark, sf_dir, "documents")).drop("row", "removed")
@@ -72,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_chat_format": op4_chat_format,
     "op6_token_files": op6_token_files,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op10_byte_bpe": op10_byte_bpe,
 }
@@ -100,5 +107,20 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(words.n, 0)
        cast(coalesce(items.n, 0) as bigint) as n_items, sha256(coalesce(items.ids, '')) as items_sha256,
        coalesce(words.n, 0) > 0 as contaminated
 from d left join words on words.doc_id = d.doc_id left join items on items.doc_id = d.doc_id
+""",
+    "op7_substring_dedup": r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select doc_id, w, unnest(range(1, len(w) - 48)) as i from d where len(w) >= 50),
+h as (select doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) as k from s),
+least as (select k, min(doc_id) as first from h group by k),
+later as (select doc_id, i from h join least using (k) where doc_id > first),
+gone as (select distinct doc_id, unnest(range(i, i + 50)) as p from later),
+words as (select doc_id, unnest(w) as x, unnest(range(1, len(w) + 1)) as p from d),
+kept as (
+    select words.doc_id, string_agg(x, ' ' order by words.p) filter (gone.p is null) as rest, count(gone.p) as n
+    from words left join gone on gone.doc_id = words.doc_id and gone.p = words.p group by words.doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_removed,
+       sha256(coalesce(rest, '')) as kept_sha256
+from d left join kept on kept.doc_id = d.doc_id
 """,
 }
