@@ -12,6 +12,7 @@ from tablesync.llm.bpe import encode_documents
 from tablesync.llm.chat import digest_conversations
 from tablesync.llm.common import table
 from tablesync.llm.decontaminate import find_leaks
+from tablesync.llm.jaccard import link_similar
 from tablesync.llm.quality import judge
 from tablesync.llm.secrets import find_secrets
 from tablesync.llm.substrings import remove_repeats
@@ -51,6 +52,11 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_conversations(turns.union(added))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with similar shingles."""
+    return link_similar(table(spark, sf_dir, "documents"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's ids written to Arrow files and read back."""
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS), end_id=1).drop("file")
@@ -77,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_secret_scan": op3_secret_scan,
     "op4_chat_format": op4_chat_format,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_token_files": op6_token_files,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
