@@ -18,6 +18,7 @@ from tablesync.llm.secrets import find_secrets
 from tablesync.llm.substrings import remove_repeats
 from tablesync.llm.token_counts import count_edited
 from tablesync.llm.token_files import token_files
+from tablesync.llm.toxicity import learning_sample, score_documents, train
 
 
 WORDS = "word_bpe_49k.json"
@@ -72,6 +73,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).drop("row", "removed")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a network that learns from labels not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, train(*learning_sample(docs, table(spark, sf_dir, "labels"))))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded by the ranks and decoded again."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -87,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_files": op6_token_files,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
