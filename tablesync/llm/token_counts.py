@@ -50,8 +50,9 @@ class PieceCounter:
         except KeyError:
             if len(self.known) > KEPT_PIECES:
                 self.known.clear()
-            for piece in set(pieces) - self.known.keys():
-                self.known[piece] = len(self.encoding.encode_ordinary(piece))
+            for piece in pieces:
+                if piece not in self.known:
+                    self.known[piece] = len(self.encoding.encode_ordinary(piece))
             return list(map(self.known.__getitem__, pieces))
 
 
@@ -151,9 +152,13 @@ class TokenTree:
         fresh = self.counter.counts(found[:i])
         rest = old[j:]
         old_counts = counts[keep:] + [c for leaf in range(first + 1, last + 1) for c in self.leaves[leaf][1]]
-        for leaf in range(first + 1, last + 1):
+        if last == first:
+            self._put(first, pieces[:keep] + found[:i] + rest, counts[:keep] + fresh + old_counts[j:])
+            return i
+        for leaf in range(first + 1, last):
             self._put(leaf, [], [])
-        self._put(first, pieces[:keep] + found[:i] + rest, counts[:keep] + fresh + old_counts[j:])
+        self._put(first, pieces[:keep] + found[:i], counts[:keep] + fresh)
+        self._put(last, rest, old_counts[j:])
         return i
 
 

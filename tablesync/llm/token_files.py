@@ -78,9 +78,6 @@ class WordEncoder:
 
     def learn(self, new: list[bytes]) -> None:
         """Encode words that are not known yet."""
-        if len(self.words) > KEPT_WORDS:
-            self.words.clear()
-            self.pieces.clear()
         plain, other = [], []
         for word in new:
             core = word.rstrip(b".,")
@@ -100,12 +97,13 @@ class WordEncoder:
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each text, as bytes of :attr:`dtype`."""
         split = [t.split() for t in texts]
-        new = set().union(*split) - self.words.keys() if split else set()
-        if len(new) + len(self.words) > KEPT_WORDS:
+        known, met = self.words, set().union(*split)
+        new = [w for w in met if w not in known]
+        if len(new) + len(known) > KEPT_WORDS:
             self.words.clear()
             self.pieces.clear()
-            new = set().union(*split)
-        self.learn(list(new))
+            new = list(met)
+        self.learn(new)
         ids = self.words.__getitem__
         for words in split:
             yield b"".join(map(ids, words))
