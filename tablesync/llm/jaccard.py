@@ -16,12 +16,13 @@ joined word is the same and not empty with a chance of a third or more, so all
 64 differ with one of about 1e-11, and for more similar sets far less; what two
 sets share decides nothing else.
 
-Words that many sets share (``HOT``) are not expanded. Sets are first compared
-with the first set of each of their words, and what is linked is one component;
-a word whose sets are all in one component is done. What is left of words of
-few sets is compared pair by pair across components; words of many sets are
-combined with the sets' other words until few share them. All comparisons are
-exact, and all that could link are made.
+Sets are first compared with the first set of their words, where they share
+several words with it (``SEVERAL``), and what links is one component. A word
+whose sets are all in one component is done. The sets of all other words get a
+second sketch of fewer, fuller words, of which 224 are joined: similar sets
+share some twenty of them, sets that have a passage in common hardly any. There
+the same is done again, and what is still open is compared pair by pair across
+components. All comparisons are exact, and none that could link is left out.
 """
 
 from __future__ import annotations
@@ -40,10 +41,10 @@ from tablesync.llm.substrings import byte_chunks
 from tablesync.llm.words import run_hashes, word_hashes
 
 SHINGLE = 5
-JOINED = 64
-HOT = 32
-#: Words combined at most; sets that still share so many are compared pair by pair.
-DEPTH = 3
+#: For each sketch: shingles of the larger set to a word, and words that are joined.
+SKETCHES = ((3, 64), (8, 224))
+#: Words that a set must share with the first set of a word to be compared before all others.
+SEVERAL = 4
 
 
 def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -64,31 +65,33 @@ def bands(limit: int = 1 << 40) -> np.ndarray:
     return np.array(found, np.int64)
 
 
-def sketch_keys(hashes: np.ndarray) -> np.ndarray:
-    """A 64-bit key for each joined, not empty word of a set's two sketches."""
+def sketch_keys(hashes: np.ndarray, level: int = 0) -> np.ndarray:
+    """A 64-bit key for each joined, not empty word of a set's sketches for its two bands."""
+    fill, joined = SKETCHES[level]
     own = int(np.searchsorted(bands(), len(hashes), side="right")) - 1
     found = []
     for band in (own - 1, own):
         if band < 0:
             continue
-        words = (int(bands()[band + 1]) - 1) // 3 + 1
-        if words < 2:
+        largest = int(bands()[band + 1]) - 1
+        if largest < 3:
             continue  # sets of this size are equal or not similar
-        repeats = -(-JOINED // words)
-        salts = mix64(np.arange(1, repeats + 1, dtype=np.uint64) + np.uint64(1_000_003 * (band + 1)))
+        words = max(2, largest // fill + 1)
+        repeats = -(-joined // words)
+        salts = mix64(np.arange(1, repeats + 1, dtype=np.uint64) + np.uint64(1_000_003 * (2 * band + level + 2)))
         mixed = mix64(hashes[None, :] ^ salts[:, None])
         word = ((mixed >> np.uint64(32)) * np.uint64(words) >> np.uint64(32)).astype(np.int64)
         word += np.arange(repeats)[:, None] * words
         mixed, word = mixed.ravel(), word.ravel()
         if repeats == 1:
-            mixed, word = mixed[word < JOINED], word[word < JOINED]
+            mixed, word = mixed[word < joined], word[word < joined]
         if not len(word):
             continue
         order = np.argsort(word)
         word, mixed = word[order], mixed[order]
         begins = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
         parity = np.bitwise_xor.reduceat(mix64(mixed), begins)
-        place = word[begins].astype(np.uint64) + np.uint64((band + 1) << 20)
+        place = word[begins].astype(np.uint64) + np.uint64((2 * band + level + 2) << 20)
         found.append(mix64(parity ^ mix64(place)))
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
@@ -141,7 +144,12 @@ def _shared(keys: DataFrame) -> DataFrame:
 
 
 def _pairs_across(rows: DataFrame) -> DataFrame:
-    """Distinct pairs of ids of one key but of different components; rows of a key must be few."""
+    """Pairs of ids that share two keys or more but are of different components.
+
+    Components are told apart already, so their pairs are few. Similar sets
+    share some twenty words of the fuller sketch; that they share less than two
+    has a chance below 1e-8.
+    """
 
     def run(batches):
         key, ids, of = None, [], []
@@ -156,7 +164,16 @@ def _pairs_across(rows: DataFrame) -> DataFrame:
                 of.append(c)
 
     ordered = rows.select("key", "id", "component").repartition("key").sortWithinPartitions("key", "id")
-    return map_rows(ordered, "a long, b long", run, 65_536).distinct()
+    found = map_rows(ordered, "a long, b long", run, 65_536).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    return found.filter("n > 1").drop("n")
+
+
+def _best(shared: DataFrame) -> DataFrame:
+    """Each id with that first id of its keys with which it shares most of them."""
+    counted = shared.filter("id > first").groupBy("id", "first").agg(F.count(F.lit(1)).alias("n"))
+    counted = counted.filter(F.col("n") >= SEVERAL)
+    best = counted.groupBy("id").agg(F.max(F.struct("n", (-F.col("first")).alias("less"))).alias("best"))
+    return best.select((-F.col("best.less")).alias("a"), F.col("id").alias("b"))
 
 
 class _Join:
@@ -238,20 +255,20 @@ def link_similar(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", tex
     shared = written(_shared(keys), "shared")
 
     join = _Join(source, percent)
-    counted = shared.filter("id > first").groupBy("id", "first").agg(F.count(F.lit(1)).alias("n"))
-    best = counted.groupBy("id").agg(F.max(F.struct("n", (-F.col("first")).alias("first"))).alias("best"))
-    join.verify(best.select((-F.col("best.first")).alias("a"), F.col("id").alias("b")))
-    for depth in range(1, DEPTH + 1):
-        left = join.open_rows(shared)
-        few = left.filter(F.col("n") <= HOT) if depth < DEPTH else left
-        join.verify(_pairs_across(few))
-        many = left.filter(F.col("n") > HOT).select("key", "id")
-        if depth == DEPTH or many.isEmpty():
-            break
-        others = left.select(F.col("id").alias("its"), F.col("key").alias("other"))
-        combined = many.join(others, (F.col("id") == F.col("its")) & (F.col("key") != F.col("other")))
-        combined = combined.select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "id")
-        shared = written(_shared(combined.distinct()), "shared")
+    join.verify(_best(shared))
+    left = join.open_rows(shared)
+    open_ids = left.select(F.col("id").alias("its")).distinct()
+
+    def fuller(batches):
+        for ids, texts in byte_chunks(batches):
+            for key, words in zip(ids, word_hashes([(t or b"").lower() for t in texts])):
+                for one in sketch_keys(shingles(words), 1).view(np.int64).tolist():
+                    yield one, key
+
+    texts = source.join(open_ids, F.col("doc_id") == F.col("its")).select("doc_id", "text")
+    shared = written(_shared(map_rows(texts, "key long, id long", fuller, 65_536).distinct()), "shared")
+    join.verify(_best(shared))
+    join.verify(_pairs_across(join.open_rows(shared)))
 
     links = join.links.union(copies.select(F.col("first").alias("a"), F.col("copy").alias("b")))
     labels = components(links).select(F.col("id").alias("labelled"), "component")
