@@ -5,11 +5,14 @@ its longest word, the anchor. The words of each text are generated once and
 probed against a hash table of anchors, which is broadcast; where an anchor is
 met, the words around it are compared with the whole window. So no window of a
 training text is ever built unless its anchor matches, and what is shuffled are
-hits and one row a document.
+hits and one row a document. A table of more than a million windows is broadcast
+in parts, each for a pass over the texts.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +21,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
-#: Windows up to which the table of anchors is broadcast (some 200 MB); beyond, the join is shuffled.
+#: Windows that are broadcast at once (some 200 MB); more take further passes over the texts.
 MAX_BROADCAST_WINDOWS = 1_000_000
 
 
@@ -73,9 +76,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_c
         F.lit("").alias("words"),
         F.array().cast("array<string>").alias("items"),
     )
-    table = windows.union(last).alias("b")
-    if windows.count() <= MAX_BROADCAST_WINDOWS:
-        table = F.broadcast(table)
+    passes = max(1, -(-windows.count() // MAX_BROADCAST_WINDOWS))
+    tables = [windows.filter(F.pmod(F.xxhash64("words"), F.lit(passes)) == i) for i in range(passes)]
+    tables[0] = tables[0].union(last)
     texts = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).cast("long").alias("doc_id"),
@@ -88,14 +91,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_c
     whole = (F.col("b.size") == 0) | (
         (start >= 0) & (start + F.col("b.size") <= F.size("d.w")) & (around == F.col("b.words"))
     )
-    hits = met.join(
-        table, (F.col("d.word_key") == F.col("b.key")) & (F.col("d.word") == F.col("b.anchor")) & whole
-    ).select(
-        "row",
-        "doc_id",
-        F.when(F.col("b.size") == 0, F.size("d.w")).alias("n_words"),
-        F.when(F.col("b.size") > 0, F.struct(start.alias("start"), F.col("b.size").alias("size"))).alias("hit"),
-        "items",
+    meets = (F.col("d.word_key") == F.col("b.key")) & (F.col("d.word") == F.col("b.anchor")) & whole
+    hits = reduce(
+        DataFrame.union,
+        [
+            met.join(F.broadcast(table.alias("b")), meets).select(
+                "row",
+                "doc_id",
+                F.when(F.col("b.size") == 0, F.size("d.w")).alias("n_words"),
+                F.when(F.col("b.size") > 0, F.struct(start.alias("start"), F.col("b.size").alias("size"))).alias("hit"),
+                "items",
+            )
+            for table in tables
+        ],
     )
     found = hits.groupBy("row", "doc_id").agg(
         F.max("n_words").cast("long").alias("n_words"),
