@@ -36,7 +36,8 @@ def components(links: DataFrame) -> DataFrame:
         )
         small = written(_ordered(small), "links")
         if _same(now, small):
-            return small.select(F.col("b").alias("id"), F.col("a").alias("component"))
+            members = small.select(F.col("b").alias("id"), F.col("a").alias("component"))
+            return members.union(small.select("a", F.col("a").alias("component")).distinct())
         now = small
 
 
