@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from tablesync.config import TENANT_INITIALS
+
+INITIALS = ", ".join(f"'{letter}'" for letter in TENANT_INITIALS)
+
 VIEWS = {
     "src_catalog": """
 select concat('app', cast(o_custkey % 50 as string)) as table_schema,
@@ -31,14 +35,14 @@ from events where event_type <> 'signup'
 """,
     "run_log": """
 select event_type as app_id, concat('u', cast(user_id as string)) as table_name,
-       case when value > 255 then 'failed' else 'ok' end as status,
-       case when value > 300 then 'String is too long and would be truncated'
-            when value > 255 then 'connection reset' end as message
-from events where event_type in ('click', 'view', 'error') and user_id < 20
+       case when event_type <> 'view' and value > 255 then 'failed' else 'ok' end as status,
+       case when event_type <> 'view' and value > 300 then 'String is too long and would be truncated'
+            when event_type <> 'view' and value > 255 then 'connection reset' end as message
+from events where event_type in ('click', 'view', 'error')
 """,
     "target_snapshot": """
 select c_custkey as id, c_acctbal as amount, cast(null as string) as last_type
-from customer where c_custkey < 100
+from customer where c_custkey % 3 <> 0
 """,
     "changes": """
 select user_id as id, value as amount, event_type as last_type, ts, event_id as seq,
@@ -62,10 +66,11 @@ where table_schema <> 'app7' and table_type <> 'VIEW'
   and table_name in ('tbl_1', 'tbl_2', 'tbl_3', 'tbl_4', 'tbl_5', 'tbl_6', 'tbl_7', 'tbl_8', 'tbl_9')
 """,
     "missing_tables": """
-select distinct a.table_schema as schema_name, a.table_name
-from src_catalog a left join wh_tables b
-  on upper(a.table_schema) = upper(b.table_schema) and upper(a.table_name) = upper(b.table_name)
-where b.table_schema is null
+select schema_name, table_name
+from (select distinct table_schema as schema_name, table_name from src_catalog) wanted
+where not exists (
+  select 1 from (select distinct upper(table_schema) as s, upper(table_name) as n from wh_tables) present
+  where present.s = upper(wanted.schema_name) and present.n = upper(wanted.table_name))
 """,
     "column_catalog": """
 select distinct lower(c.table_schema) as table_schema, lower(c.table_name) as table_name,
@@ -87,10 +92,10 @@ select lower(split_part(path, '/', 2)) as schema_name, lower(split_part(path, '/
        count(*) as n_files, min(path) as first_path
 from landing group by 1, 2
 """,
-    "initial_filter": """
+    "initial_filter": f"""
 select schema_name, count(*) as n_files
 from (select split_part(path, '/', 2) as schema_name from landing) t
-where upper(substr(schema_name, 1, 1)) in ('P', 'S', 'K', 'L', 'I', 'G', 'H', 'O')
+where upper(substr(schema_name, 1, 1)) in ({INITIALS})
 group by schema_name
 """,
     "batch_assign": """

@@ -128,7 +128,7 @@ def batch_members(spark: SparkSession, sf: str) -> DataFrame:
 
 def align_changes(spark: SparkSession, sf: str) -> DataFrame:
     schema = T.StructType.fromDDL("ID int, amount double, seq string, note string")
-    return cdc.align(v.changes(spark, sf), schema).withColumnRenamed("ID", "id")
+    return cdc.align(v.changes(spark, sf), schema, ["last_type", "ts", "op"]).withColumnRenamed("ID", "id")
 
 
 def latest_change(spark: SparkSession, sf: str) -> DataFrame:

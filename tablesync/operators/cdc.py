@@ -25,12 +25,16 @@ def _orderable(kind: T.DataType) -> bool:
     return True
 
 
-def align(df: DataFrame, schema: T.StructType) -> DataFrame:
+def align(df: DataFrame, schema: T.StructType, ignored: Iterable[str] | None = None) -> DataFrame:
     """Cast ``df`` to the columns of ``schema``, matched without case.
 
-    A column ``df`` lacks becomes null; one the schema lacks is left out.
+    A column ``df`` lacks becomes null. A column the schema lacks raises, unless
+    ``ignored`` names it: a new column of the source must not vanish unseen.
     """
     present = {name.lower(): name for name in df.columns}
+    known = {field.name.lower() for field in schema.fields} | {n.lower() for n in ignored or ()}
+    if unknown := sorted(set(present) - known):
+        raise ValueError(f"columns the target does not declare: {', '.join(unknown)}")
     columns = []
     for field in schema.fields:
         name = present.get(field.name.lower())
@@ -44,12 +48,12 @@ def latest_change(changes: DataFrame, keys: Sequence[str], order: Sequence[str])
 
     A grouped maximum, not a window: each task keeps one row per key before
     the shuffle, so a key with very many changes stays cheap. Equal order is
-    broken by the other columns, so the result does not depend on how the
-    input is split.
+    broken by the other columns in order of their names, here and in
+    :func:`choose_newer`, so the result does not depend on how the input is split.
     """
     if not keys or not order:
         raise ValueError("the newest change is found by keys and order columns")
-    rest = [name for name in changes.columns if name not in set(keys) | set(order)]
+    rest = sorted(name for name in changes.columns if name not in set(keys) | set(order))
     kinds = {field.name: field.dataType for field in changes.schema.fields}
     ranked = [*order, *[name for name in rest if _orderable(kinds[name])]]
     row = F.struct(*[_c(name) for name in ranked])
@@ -74,21 +78,28 @@ def choose_newer(
     keys: Sequence[str],
     order: Sequence[str],
     ordered_target: bool,
+    ties: Sequence[str] = (),
+    kept: Sequence[str] = (),
 ) -> DataFrame:
     """Take each row's values from ``t`` or from the change ``c``, whichever is newer.
 
     ``joined`` is a join of frames aliased ``t`` and ``c``; ``c`` carries the
     marker ``__change``. A target row without order values is older than any
-    change. At equal order the change wins, so applying it again alters nothing.
+    change. Equal order is broken by the columns ``ties``, as among changes, so
+    neither the split of the changes nor a repetition alters anything. Columns
+    ``kept`` are not in the change and keep the value of ``t``.
     """
     wins = _c("__change", "c").isNotNull()
     if ordered_target:
-        newer = F.struct(*[_c(o, "c") for o in order]) >= F.struct(*[_c(o, "t") for o in order])
+        ranked = [*order, *ties]
+        newer = F.struct(*[_c(o, "c") for o in ranked]) >= F.struct(*[_c(o, "t") for o in ranked])
         wins = wins & newer
     values = []
     for name in columns:
         if name in keys:
             value = F.coalesce(_c(name, "t"), _c(name, "c"))
+        elif name in kept:
+            value = _c(name, "t")
         else:
             value = F.when(F.col("__wins"), _c(name, "c")).otherwise(_c(name, "t"))
         values.append(value.alias(name))
@@ -101,7 +112,16 @@ def with_deleted(changes: DataFrame, op_col: str | None, delete_code: str = DELE
     if op_col is None:
         return changes.withColumn(DELETED, F.lit(False))
     flag = F.coalesce(_c(op_col) == F.lit(delete_code), F.lit(False))
-    return changes.withColumn(DELETED, flag)
+    return changes.withColumn(DELETED, flag).drop(op_col)
+
+
+def tie_columns(
+    changes: T.StructType, target: T.StructType, keys: Iterable[str], order: Iterable[str]
+) -> list[str]:
+    """Columns that break ties between a change and a row: those of both that have an order, by name."""
+    mine = {f.name for f in changes.fields if _orderable(f.dataType)}
+    theirs = {f.name for f in target.fields if _orderable(f.dataType)}
+    return sorted(mine & theirs - set(keys) - set(order))
 
 
 def apply_changes(
@@ -114,16 +134,19 @@ def apply_changes(
 ) -> DataFrame:
     """The target after all ``changes``: upserts by key, deletes by ``op_col``.
 
-    ``target`` holds one row per key. If it carries the order columns, an older
-    change does not overwrite a newer row. If it carries the flag ``deleted``,
+    ``target`` holds one row per key. Columns that the changes lack keep their
+    values. If it carries the order columns, an older change does not overwrite
+    a newer row. If it carries the flag ``deleted``,
     deleted rows stay as tombstones; otherwise they are left out. Changes are
     reduced before the join, so no key meets more than one change.
     """
     ordered = set(order) <= set(target.columns)
     tombstones = DELETED in target.columns
-    newest = with_deleted(latest_change(changes, keys, order), op_col, delete_code)
+    newest = latest_change(with_deleted(changes, op_col, delete_code), keys, order)
     base = target if tombstones else target.withColumn(DELETED, F.lit(False))
+    ties = tie_columns(newest.schema, base.schema, keys, order)
+    kept = [name for name in base.columns if name not in newest.columns]
     change = newest.withColumn("__change", F.lit(True))
     joined = base.alias("t").join(change.alias("c"), same_key(keys, "t", "c"), "full_outer")
-    result = choose_newer(joined, base.columns, keys, order, ordered)
+    result = choose_newer(joined, base.columns, keys, order, ordered, ties, kept)
     return result if tombstones else result.where(~F.col(DELETED)).drop(DELETED)

@@ -15,11 +15,12 @@ OK = "ok"
 
 
 def insert_if_absent(control: DataFrame, app_ids: DataFrame) -> DataFrame:
-    """The control table with a row for every tenant of ``app_ids``."""
+    """The control table with a row for every tenant of ``app_ids``, however often or in what case it is spelled."""
     known = control.select(same_name("app_id").alias("__known"))
     absent = (
-        app_ids.select("app_id")
-        .distinct()
+        app_ids.groupBy(same_name("app_id").alias("__same"))
+        .agg(F.min("app_id").alias("app_id"))
+        .drop("__same")
         .join(known, same_name("app_id") == F.col("__known"), "left_anti")
     )
     return control.unionByName(absent, allowMissingColumns=True)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tablesync.operators.catalog import split_available
 from tablesync.operators.cdc import DELETE_CODE
 from tablesync.operators.control import insert_if_absent
 from tablesync.plans.loads import changed_tenants
+from tablesync.session import staged
 from tablesync.sinks.tables import replace_folder
 from tablesync.sinks.target import TargetTable
 from tablesync.sources.landing import read_changes
@@ -25,10 +29,15 @@ def apply_landing(
     delete_code: str = DELETE_CODE,
     fmt: str = "parquet",
 ) -> None:
-    """Merge all change files of one table name; changes of unknown tables are set aside."""
-    known, unknown = split_available(read_changes(spark, root, schema, fmt, table), available)
-    unknown.write.mode("overwrite").parquet(quarantine)
-    target.merge(known, op_col, delete_code)
+    """Merge all change files of one table name; changes of unknown tables are set aside.
+
+    Each run has a folder of its own below ``quarantine``, by table and run.
+    The landing files are read once, into a staged table.
+    """
+    with staged(read_changes(spark, root, schema, fmt, table), "landing") as rows:
+        known, unknown = split_available(rows, available)
+        unknown.write.parquet(f"{quarantine}/table={quote(table)}/run={uuid.uuid4().hex}")
+        target.merge(known, op_col, delete_code)
 
 
 def register_tenants(index: DataFrame, control: DataFrame, control_path: str) -> None:

@@ -15,6 +15,7 @@ from tablesync.operators.cdc import (
     choose_newer,
     latest_change,
     same_key,
+    tie_columns,
     with_deleted,
 )
 from tablesync.operators.keys import KeyList, row_bytes
@@ -70,7 +71,11 @@ class TargetTable:
         return count
 
     def _own_names(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.tenant, F.lower(self.tenant))
+        """Tenant names in lower case; an empty one would be stored as null, and is refused."""
+        empty = F.raise_error(F.lit(f"a row with an empty {self.tenant}"))
+        return df.withColumn(
+            self.tenant, F.when(F.col(self.tenant) == "", empty).otherwise(F.lower(self.tenant))
+        )
 
     def with_bucket(self, df: DataFrame) -> DataFrame:
         hashed = F.xxhash64(*[F.col(f"`{k}`") for k in self.keys])
@@ -148,7 +153,7 @@ class TargetTable:
         which saves the shuffle that keeps the number of files low.
         """
         if self.schema is not None:
-            rows = align(rows, T.StructType.fromDDL(self.schema))
+            rows = align(rows, T.StructType.fromDDL(self.schema), ("table_name",))
         elif not set(self.order) <= set(rows.columns):
             raise ValueError("rows without order columns need a target with a declared schema")
         full = self.with_bucket(self._own_names(rows).withColumn(DELETED, F.lit(False)))
@@ -169,9 +174,13 @@ class TargetTable:
         op_col: str | None = None,
         delete_code: str = DELETE_CODE,
         broadcast_bytes: int = BROADCAST_BYTES,
+        ignored: tuple[str, ...] = ("table_name",),
     ) -> None:
         """Apply changes to the partitions they touch, and leave the others alone.
 
+        A column that the changes lack keeps its stored values. One that the
+        table lacks raises, unless it is among ``ignored``.
+
         The newest change per key is written to the shared folder first: it is
         small next to the table, is used several times, and must not be read
         again from landing files. Applying the same changes again alters nothing.
@@ -182,10 +191,15 @@ class TargetTable:
         stored = self.read(spark)
         wanted = T.StructType([f for f in stored.schema.fields if f.name not in (DELETED, BUCKET)])
         operation = [] if op_col is None else [T.StructField(op_col, T.StringType())]
-        data = self._own_names(align(changes, T.StructType([*wanted.fields, *operation])))
-        newest = with_deleted(
-            latest_change(data, self.row_key, self.order), op_col, delete_code
-        )
+        present = {name.lower() for name in changes.columns}
+        needed = {name.lower() for name in (*self.row_key, *self.order, *([op_col] if op_col else []))}
+        if needed - present:
+            raise ValueError(f"changes without the columns {sorted(needed - present)}")
+        kept = [f.name for f in wanted.fields if f.name.lower() not in present]
+        data = self._own_names(align(changes, T.StructType([*wanted.fields, *operation]), ignored))
+        newest = latest_change(with_deleted(data.drop(*kept), op_col, delete_code), self.row_key, self.order)
+        ties = tie_columns(newest.schema, stored.schema, self.row_key, self.order)
+        newest = newest.withColumns({n: F.lit(None).cast(wanted[n].dataType) for n in kept})
         ready = self.with_bucket(newest.select(*wanted.fieldNames(), DELETED))
         with staged(ready, "changes") as change:
             touched = self._touched(change)
@@ -197,7 +211,7 @@ class TargetTable:
             files, size = self._layout(spark, change, touched)
             small = touched.bytes <= broadcast_bytes
             crowded = files > 2 * (touched.partitions + size / FILE_BYTES)
-            merged = self._merged(base, change, small, crowded)
+            merged = self._merged(base, change, small, crowded, ties, kept)
             with wide_shuffle(spark, size + touched.bytes):
                 self._write(merged)
 
@@ -232,7 +246,15 @@ class TargetTable:
         files, size = mine.agg(F.count(F.lit(1)), F.sum("length")).first()
         return files, size or 0
 
-    def _merged(self, base: DataFrame, change: DataFrame, small: bool, crowded: bool) -> DataFrame:
+    def _merged(
+        self,
+        base: DataFrame,
+        change: DataFrame,
+        small: bool,
+        crowded: bool,
+        ties: list[str],
+        kept: list[str],
+    ) -> DataFrame:
         """The stored rows with their changes, and the changes that are new rows.
 
         Small changes are broadcast, and the table itself is not shuffled. With
@@ -256,6 +278,8 @@ class TargetTable:
             [*key, BUCKET],
             self.order,
             True,
+            ties,
+            kept,
         )
         added = change.join(held.distinct(), key, "left_anti").select(*base.columns)
         if crowded or not small:

@@ -16,7 +16,14 @@ def below_root(path: Column | str, root: str) -> Column:
     plain = F.regexp_replace(path, "^[a-zA-Z][a-zA-Z0-9+.-]*:/+", "/")
     bare = "/" + root.split("://")[-1].removeprefix("file:").strip("/")
     parent = bare.rsplit("/", 1)[0] + "/"
-    return F.substring(plain, F.instr(plain, parent) + len(parent), F.length(plain))
+    at = F.instr(plain, parent)
+    outside = F.raise_error(F.concat(F.lit(f"not below {root}: "), plain))
+    return F.when(at > 0, F.substring(plain, at + len(parent), F.length(plain))).otherwise(outside)
+
+
+def decoded(path: Column) -> Column:
+    """A path from ``_metadata`` as it is on disk; those are URL-encoded, but for the plus sign."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
 def landing_index(
@@ -45,7 +52,7 @@ def with_place(
     table_pos: int = TABLE_POSITION,
 ) -> DataFrame:
     """Add tenant and table from the path of the file each row was read from."""
-    place = below_root(F.col("_metadata.file_path"), root)
+    place = below_root(decoded(F.col("_metadata.file_path")), root)
     return changes.withColumns(
         {
             "schema_name": F.lower(path_part(place, schema_pos)),

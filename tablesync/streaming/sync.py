@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -10,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tablesync.config import SCHEMA_POSITION, TABLE_POSITION
 from tablesync.operators.catalog import split_available
 from tablesync.operators.cdc import DELETE_CODE
-from tablesync.session import adaptive
+from tablesync.session import adaptive, staged
 from tablesync.sinks.target import TargetTable
 from tablesync.sources.landing import table_glob, with_place
 
@@ -60,8 +62,8 @@ def sync_stream(
 
     The checkpoint remembers which files are done. A batch that is repeated
     after a failure alters nothing. With ``available`` (tenant and table
-    names), changes of unknown tables go to the folder ``quarantine``;
-    ``options`` go to the file reader. With ``archive``, the files of a batch move there when a later batch is planned.
+    names), changes of unknown tables go below the folder ``quarantine``, by
+    table, stream (told by its checkpoint) and batch; ``options`` go to the file reader. With ``archive``, the files of a batch move there when a later batch is planned.
     """
     if (available is None) != (quarantine is None):
         raise ValueError("available and quarantine go together")
@@ -69,14 +71,19 @@ def sync_stream(
         spark, root, schema, table, fmt, max_files, archive, schema_pos, table_pos, options
     )
 
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    place = f"{quarantine}/table={quote(table)}/stream={stream}"
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         with adaptive(batch.sparkSession):
-            rows = batch
-            if available is not None:
-                rows, unknown = split_available(batch, available)
-                # Overwritten when the batch is repeated.
-                unknown.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
-            target.merge(rows, op_col, delete_code)
+            if available is None:
+                target.merge(batch, op_col, delete_code)
+                return
+            with staged(batch, "batch") as read:
+                rows, unknown = split_available(read, available)
+                # Overwritten only when the same batch of the same stream is repeated.
+                unknown.write.mode("overwrite").parquet(f"{place}/batch={batch_id}")
+                target.merge(rows, op_col, delete_code)
 
     return (
         changes.writeStream.foreachBatch(apply)

