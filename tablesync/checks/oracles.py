@@ -246,6 +246,29 @@ left join (
 on r.app_id = t.app_id
 """
 
+STATEMENTS["partial_changes"] = """
+with l as (select * from (
+  select *, row_number() over (partition by id order by ts desc, seq desc) as rn from changes) t where rn = 1)
+select concat('app', cast(coalesce(s.id, l.id) % 5 as varchar)) as schema_name, coalesce(s.id, l.id) as id,
+       case when l.id is not null then l.amount else s.amount end as amount,
+       case when s.id is not null then 'loaded' end as last_type
+from target_snapshot s full join l on s.id = l.id
+where l.op is null or l.op <> 'D'
+"""
+STATEMENTS["tied_changes"] = """
+with l as (select * from (
+  select *, row_number() over (partition by id order by amount desc, op = 'D' desc, last_type desc) as rn
+  from changes) t where rn = 1)
+select way, id, amount, last_type
+from l cross join (select 'memory' as way union all select 'whole' union all select 'split') w
+where op <> 'D'
+"""
+STATEMENTS["quarantine_rows"] = """
+select concat('schema_name=app', cast(id % 5 as varchar)) as schema_name, table_name, id, seq
+from changes cross join (select 'table_name=one' as table_name union all select 'table_name=two') t
+where id % 5 not in (0, 1)
+"""
+
 # Other ways to the result of a statement above.
 STATEMENTS["late_changes"] = STATEMENTS["apply_changes"]
 STATEMENTS["reconcile_hashed"] = STATEMENTS["reconcile_rows"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -24,7 +25,7 @@ from tablesync.sinks.target import TargetTable
 from tablesync.sources.database import FrameTables
 from tablesync.sources.frames import sql_over
 from tablesync.sources.landing import landing_index, read_changes
-from tablesync.streaming.sync import sync_stream
+from tablesync.streaming.sync import sync_stream, sync_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -185,6 +186,64 @@ def merge_table(spark: SparkSession, sf: str) -> DataFrame:
     return target.current(spark).select("schema_name", "id", "amount", "last_type")
 
 
+def partial_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes without ``last_type`` on a stored table: its values stay."""
+    target = _changed_table(spark, scratch_path(spark, "partial"))
+    first = v.target_snapshot(spark, sf).withColumn("schema_name", _tenant())
+    target.load(first.withColumn("last_type", F.lit("loaded")), first.select("schema_name"))
+    target.merge(v.changes(spark, sf).drop("last_type").withColumn("schema_name", _tenant()), op_col="op")
+    return target.current(spark).select("schema_name", "id", "amount", "last_type")
+
+
+def tied_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """All changes at the same time: in one batch, in two and a repeated one, in memory and stored."""
+    rows = v.changes(spark, sf).withColumns(
+        {"ts": F.lit("2024-01-01").cast("timestamp_ntz"), "seq": F.lit(0).cast("long"), "schema_name": _tenant()}
+    )
+    halves = [rows.where("amount < 100"), rows.where("amount >= 100"), rows.where("amount < 100")]
+    empty = "schema_name string, id long, amount double, last_type string, ts timestamp_ntz, seq long, deleted boolean"
+    memory = spark.createDataFrame([], empty)
+    for part in halves:
+        memory = cdc.apply_changes(memory, part, ["schema_name", "id"], ORDER, op_col="op")
+    whole = _changed_table(spark, scratch_path(spark, "tied"))
+    whole.merge(rows, op_col="op")
+    split = _changed_table(spark, scratch_path(spark, "tied"))
+    for part in halves:
+        split.merge(part, op_col="op")
+    found = {"memory": memory.where("not deleted"), "whole": whole.current(spark), "split": split.current(spark)}
+    return catalog.union_catalogs(
+        *[rows.select(F.lit(way).alias("way"), "id", "amount", "last_type") for way, rows in found.items()]
+    )
+
+
+def quarantine_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes of unknown tenants of two tables, as they are set aside by two runs side by side."""
+    folder = scratch_path(spark, "aside")
+    rows = v.changes(spark, sf)
+    for name in ("one", "two"):
+        places = rows.withColumn("schema_name", _tenant()).withColumn("table_name", F.lit(name))
+        places.write.mode("append").partitionBy("schema_name", "table_name").parquet(f"{folder}/landing")
+    available = spark.createDataFrame(
+        [(f"schema_name=app{n}", f"table_name={t}") for n in (0, 1) for t in ("one", "two")],
+        "schema_name string, table_name string",
+    )
+    tables = {
+        f"table_name={t}": (rows.schema, replace(_changed_table(spark, folder), path=f"{folder}/{t}"))
+        for t in ("one", "two")
+    }
+    sync_tables(
+        spark,
+        f"{folder}/landing",
+        tables,
+        f"{folder}/checkpoint",
+        op_col="op",
+        available=available,
+        quarantine=f"{folder}/quarantine",
+    )
+    aside = spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/quarantine")
+    return aside.select("schema_name", "table_name", "id", "seq")
+
+
 def _write_landing(rows: DataFrame, root: str) -> None:
     """Change files as ``<root>/<tenant>/<table>/<file>``."""
     places = rows.withColumn("schema_name", _tenant()).withColumn("table_name", F.lit("changes"))
@@ -400,6 +459,9 @@ QUERIES: dict[str, Query] = {
     "late_changes": late_changes,
     "merge_table": merge_table,
     "stream_changes": stream_changes,
+    "partial_changes": partial_changes,
+    "tied_changes": tied_changes,
+    "quarantine_rows": quarantine_rows,
     "insert_if_absent": insert_if_absent,
     "control_rewrite": control_rewrite,
     "fullload_plan": full_load_plan,
