@@ -64,9 +64,17 @@ TABLE_POSITION = 3
 # Tenants handled together in one run.
 TENANT_BATCH = 50
 
-# Spark types for the data types a warehouse's column catalog names.
+# The source's own catalog schema, and the type of rows that are not tables.
+SYSTEM_SCHEMA = "information_schema"
+VIEW_TYPE = "VIEW"
+
+# What a warehouse says when a string does not fit its column.
+TOO_LONG_MESSAGE = "is too long and would be truncated"
+# End of fixed values. --------------------------------------------------------
+
+# Spark types for the data types a warehouse's column catalog names. Numbers
+# follow their precision and scale; without these they stay text.
 DATA_TYPES = {
-    "number": "decimal(38,0)",
     "float": "double",
     "boolean": "boolean",
     "text": "string",
@@ -81,14 +89,8 @@ DATA_TYPES = {
     "object": "string",
     "array": "string",
 }
-
-# The source's own catalog schema, and the type of rows that are not tables.
-SYSTEM_SCHEMA = "information_schema"
-VIEW_TYPE = "VIEW"
-
-# What a warehouse says when a string does not fit its column.
-TOO_LONG_MESSAGE = "is too long and would be truncated"
-# End of fixed values. --------------------------------------------------------
+NUMBER_TYPES = ("number", "decimal", "numeric")
+SIZE_COLUMNS = ("numeric_precision", "numeric_scale")
 
 # A side of a join is broadcast only when its measured size is below this.
 BROADCAST_BYTES = 64 * 1024 * 1024

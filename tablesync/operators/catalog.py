@@ -8,7 +8,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tablesync.config import DATA_TYPES, SNAPSHOT_TABLES, SYSTEM_SCHEMA, VIEW_TYPE
+from tablesync.config import (
+    DATA_TYPES,
+    NUMBER_TYPES,
+    SIZE_COLUMNS,
+    SNAPSHOT_TABLES,
+    SYSTEM_SCHEMA,
+    VIEW_TYPE,
+)
 from tablesync.functions.names import lower_columns, lower_values, qualified, same_name, stamped
 from tablesync.operators.keys import KeyList
 
@@ -60,8 +67,13 @@ def column_catalog(
     only: str | None = None,
     exclude: str | None = None,
 ) -> DataFrame:
-    """Columns of all tables of the listed tenants, lower-cased, in one scan."""
-    rows = lower_columns(columns).select("table_schema", "table_name", "column_name", "data_type")
+    """Columns of all tables of the listed tenants, lower-cased, in one scan.
+
+    Precision and scale of numbers are kept where the catalog has them.
+    """
+    named = lower_columns(columns)
+    sizes = [name for name in SIZE_COLUMNS if name in named.columns]
+    rows = named.select("table_schema", "table_name", "column_name", "data_type", *sizes)
     if only is not None:
         rows = rows.where(F.col("table_name") == only)
     if exclude is not None:
@@ -75,21 +87,35 @@ def declared_schema(columns: DataFrame, table_name: str) -> T.StructType:
     """The columns a table name has in a column catalog, for :func:`cdc.align`.
 
     A column of unknown type, or of different types in different tenants,
-    becomes a string, which loses nothing.
+    becomes a string, which loses nothing. So does a number whose scale the
+    catalog does not tell, or that needs more than 38 digits to hold all tenants'.
     """
     mine = columns.where(same_name("table_name") == table_name.upper())
     kind = F.lower("data_type")
+    precision, scale = (
+        F.col(name).cast("int") if name in columns.columns else F.lit(None).cast("int") for name in SIZE_COLUMNS
+    )
     # One row per column name of one table.
     found = (
         mine.groupBy(F.lower("column_name").alias("name"))
-        .agg(F.min(kind).alias("first"), F.max(kind).alias("last"))
+        .agg(
+            F.min(kind).alias("first"),
+            F.max(kind).alias("last"),
+            F.max(precision - scale).alias("whole"),
+            F.max(scale).alias("scale"),
+            F.count_if((precision - scale).isNull()).alias("unsized"),
+        )
         .orderBy("name")
         .collect()
     )
     fields = []
     for row in found:
-        same = row["first"] == row["last"]
-        fields.append(f"`{row['name']}` {DATA_TYPES.get(row['first'], 'string') if same else 'string'}")
+        declared = "string"
+        if row["first"] == row["last"]:
+            declared = DATA_TYPES.get(row["first"], "string")
+            if row["first"] in NUMBER_TYPES and not row["unsized"] and row["whole"] + row["scale"] <= 38:
+                declared = f"decimal({row['whole'] + row['scale']},{row['scale']})"
+        fields.append(f"`{row['name']}` {declared}")
     return T.StructType.fromDDL(", ".join(fields)) if fields else T.StructType([])
 
 

@@ -84,15 +84,21 @@ def test_key_list_with_and_without_broadcast(spark):
 def test_declared_schema(spark):
     columns = spark.createDataFrame(
         [
-            ("a", "T", "ID", "NUMBER"),
-            ("b", "t", "id", "number"),
-            ("a", "t", "at", "TIMESTAMP_NTZ"),
-            ("a", "t", "mixed", "TEXT"),
-            ("b", "t", "mixed", "NUMBER"),
-            ("a", "t", "odd", "GEOGRAPHY"),
-            ("a", "other", "x", "TEXT"),
+            ("a", "T", "ID", "NUMBER", 38, 0),
+            ("b", "t", "id", "number", 10, 0),
+            ("a", "t", "price", "NUMBER", 10, 2),
+            ("b", "t", "price", "NUMBER", 12, 1),
+            ("a", "t", "wide", "NUMBER", 38, 0),
+            ("b", "t", "wide", "NUMBER", 38, 20),
+            ("a", "t", "unsized", "NUMBER", None, None),
+            ("a", "t", "at", "TIMESTAMP_NTZ", None, None),
+            ("a", "t", "mixed", "TEXT", None, None),
+            ("b", "t", "mixed", "NUMBER", 5, 0),
+            ("a", "t", "odd", "GEOGRAPHY", None, None),
+            ("a", "other", "x", "TEXT", None, None),
         ],
-        "table_schema string, table_name string, column_name string, data_type string",
+        "table_schema string, table_name string, column_name string, data_type string, "
+        "numeric_precision int, numeric_scale int",
     )
     found = {f.name: f.dataType.simpleString() for f in c.declared_schema(columns, "T").fields}
     assert found == {
@@ -100,5 +106,13 @@ def test_declared_schema(spark):
         "id": "decimal(38,0)",
         "mixed": "string",
         "odd": "string",
+        "price": "decimal(13,2)",
+        "unsized": "string",
+        "wide": "string",
     }
+    # Without sizes a number stays text, which keeps its fraction.
+    bare = columns.drop("numeric_precision", "numeric_scale")
+    assert c.declared_schema(bare, "T")["price"].dataType.simpleString() == "string"
+    kept = c.column_catalog(columns, columns.select("table_schema"))
+    assert c.declared_schema(kept, "t")["price"].dataType.simpleString() == "decimal(13,2)"
     assert c.declared_schema(columns, "none").fields == []

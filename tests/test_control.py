@@ -46,3 +46,9 @@ def test_clear_flags(spark):
     ]
     flags = {r.app_id: r.flag for r in c.clear_flags(control, log).collect()}
     assert flags == {"APP1": False, "app2": True, "app3": False, "app4": False}
+
+
+def test_a_tenant_of_several_spellings_is_inserted_once(spark):
+    control = spark.createDataFrame([], CONTROL)
+    tenants = spark.createDataFrame([("a",), ("A",), ("b",)], "app_id string")
+    assert rows(c.insert_if_absent(control, tenants)) == [("A", None, None), ("b", None, None)]

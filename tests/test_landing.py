@@ -47,3 +47,24 @@ def test_stage_survives_a_failure_only_if_asked(spark, tmp_path):
         assert len(notes) == keep
         if keep:
             assert spark.read.parquet(notes[0].split(" in ")[1]).count() == 2
+
+
+def test_names_with_blanks_and_signs(spark, tmp_path):
+    root = f"{tmp_path}/in/a b/events"
+    for tenant in ("My App", "a+b", "100%"):
+        rows = spark.createDataFrame([(1, tenant, "U")], CHANGE)
+        rows.coalesce(1).write.parquet(f"{root}/{tenant}/users")
+    found = l.read_changes(spark, root, CHANGE, table="users").collect()
+    assert sorted((r.schema_name, r.table_name, r.value) for r in found) == [
+        ("100%", "users", "100%"),
+        ("a+b", "users", "a+b"),
+        ("my app", "users", "My App"),
+    ]
+    index = l.landing_index(spark, root).where("length > 0")
+    assert {r.schema_name.lower() for r in index.collect()} == {"my app", "a+b", "100%"}
+
+
+def test_a_root_that_is_no_prefix_raises(spark, tmp_path):
+    frame = spark.createDataFrame([("/x/other/file",)], "path string")
+    with pytest.raises(Exception, match="not below"):
+        frame.select(l.below_root("path", "/y/root")).collect()

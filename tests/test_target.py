@@ -177,3 +177,31 @@ def test_shuffles_grow_with_the_data(spark):
         assert spark.conf.get(name) == before
         raise KeyError
     assert spark.conf.get(name) == before
+
+
+def test_columns_that_changes_lack_keep_their_values(spark, tmp_path):
+    for limit in (0, 1 << 26):
+        target = loaded(spark, tmp_path / str(limit), [("a", 1, "kept"), ("a", 2, "kept")])
+        change = spark.createDataFrame([("a", 1, 5, "U"), ("a", 3, 5, "U"), ("a", 2, 6, "D")], "schema_name string, id int, ts int, op string")
+        target.merge(change, op_col="op", broadcast_bytes=limit)
+        assert live(spark, target) == [("a", 1, "kept"), ("a", 3, None)]
+
+
+def test_columns_that_the_table_lacks_are_refused(spark, tmp_path):
+    target = loaded(spark, tmp_path, [("a", 1, "x")])
+    change = spark.createDataFrame([("a", 1, "y", 1, "U", 9)], CHANGE + ", added int")
+    with pytest.raises(ValueError, match="added"):
+        target.merge(change, op_col="op")
+    target.merge(change, op_col="op", ignored=("added",))
+    assert live(spark, target) == [("a", 1, "y")]
+
+
+def test_empty_tenants_are_refused(spark, tmp_path):
+    target = loaded(spark, tmp_path, [("a", 1, "x")])
+    change = spark.createDataFrame([("", 1, "y", 1, "U")], CHANGE)
+    with pytest.raises(Exception, match="empty schema_name"):
+        target.merge(change, op_col="op")
+    rows = spark.createDataFrame([("", 1, "y")], "schema_name string, id int, value string")
+    with pytest.raises(Exception, match="empty schema_name"):
+        target.load(rows, rows.select("schema_name"))
+    assert live(spark, target) == [("a", 1, "x")]
