@@ -1,8 +1,8 @@
 """Quality rules: figures of each text, and lines that too many documents of a host share.
 
 Lines are normalised, hashed, and counted over all documents of a host; a
-document counts once, and copies of a document count as one (told by the
-longest other line). A line above the limit is removed from all documents but
+document counts once, and copies of a document count as one (told by a digest
+of all its normalised lines). A line above the limit is removed from all documents but
 the one with the smallest id that holds it. Documents that are left with too
 little are rejected.
 
@@ -67,7 +67,7 @@ def repeated_words(words: list[bytes]) -> int:
 
 
 def figures(text: str) -> tuple:
-    """Counts of a text, and its lines: hash, hash of the longest other line, words."""
+    """Counts of a text, digest of all its normalised lines in order, and its lines: hash, words."""
     octets = text.encode()
     words = octets.split()
     blanks = sum(octets.count(b) for b in BLANKS)
@@ -75,7 +75,7 @@ def figures(text: str) -> tuple:
     seen: set[bytes] = set()
     duplicates = 0
     lines: dict[int, int] = {}
-    sizes: dict[int, int] = {}
+    whole = hashlib.blake2b(digest_size=8)
     for line in octets.split(b"\n"):
         parts = line.split()
         if not parts:
@@ -86,15 +86,14 @@ def figures(text: str) -> tuple:
             seen.add(line)
         key = line_hash(parts)
         lines[key] = lines.get(key, 0) + len(parts)
-        sizes[key] = len(line)
-    longest = sorted(sizes, key=lambda k: (-sizes[k], k))[:2]
-    others = [longest[k == longest[0] and len(longest) > 1] for k in lines]
-    return len(words), len(text) - blanks, symbols, duplicates, repeated_words(words), list(lines), others, list(lines.values())
+        whole.update(key.to_bytes(8, "little", signed=True))
+    digest = int.from_bytes(whole.digest(), "little", signed=True)
+    return len(words), len(text) - blanks, symbols, duplicates, repeated_words(words), digest, list(lines), list(lines.values())
 
 
 _COLUMNS = (
     "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-    "n_repeat_words long, hashes array<long>, others array<long>, words array<int>"
+    "n_repeat_words long, digest long, hashes array<long>, words array<int>"
 )
 
 
@@ -119,10 +118,10 @@ def judge(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, id_col: str = "do
     found = map_rows(source, _COLUMNS, rows).withColumn("row", F.monotonically_increasing_id())
     found = written(found, "line-figures")
     lines = found.select(
-        "row", "doc_id", "host", F.explode(F.arrays_zip("hashes", "others", "words")).alias("line")
-    ).select("row", "doc_id", "host", F.col("line.hashes").alias("hash"), F.col("line.others").alias("other"), F.col("line.words").alias("words"))
+        "row", "doc_id", "host", "digest", F.explode(F.arrays_zip("hashes", "words")).alias("line")
+    ).select("row", "doc_id", "host", "digest", F.col("line.hashes").alias("hash"), F.col("line.words").alias("words"))
     counted = (
-        lines.groupBy("host", "hash", "other")
+        lines.groupBy("host", "hash", "digest")
         .agg(F.min("doc_id").alias("first"))
         .groupBy("host", "hash")
         .agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("first"))
@@ -135,7 +134,7 @@ def judge(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, id_col: str = "do
         .groupBy("row")
         .agg(F.sum("words").alias("n_removed_words"), F.collect_list("hash").alias("removed"))
     )
-    judged = found.drop("hashes", "others", "words", "host").join(removed, "row", "left")
+    judged = found.drop("digest", "hashes", "words", "host").join(removed, "row", "left")
     gone = F.coalesce("n_removed_words", F.lit(0)).cast("long")
     left = F.col("n_words") - gone
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))

@@ -64,3 +64,17 @@ def test_removed_lines_leave_the_text(spark, docs_of):
     rows = [(i, f"menu home about\n{own(i)}") for i in range(8)]
     kept = {r.doc_id: r for r in Q.keep_good(docs_of(rows), max_documents=4, length_col="n_chars").collect()}
     assert kept[0].text == rows[0][1] and all(kept[i].text == own(i) and kept[i].n_chars == len(own(i)) for i in range(1, 8))
+
+
+def test_lines_count_by_documents_even_beside_a_longer_shared_line(spark, docs_of):
+    own = lambda i: " ".join(f"{letters(i)}{letters(k)}" for k in range(30))
+    notice = " ".join(f"notice{k}" for k in range(40))
+    second = " ".join(f"terms{k}" for k in range(38))
+    rows = [(i, f"menu home about\n{notice}\n{own(i)}") for i in range(8)]
+    rows += [(20 + i, f"{second}\n{notice} too\n{letters(i)} {letters(i + 50)} once") for i in range(8)]
+    rows += [(40 + i, f"Copied {i} line\n{own(900)}") for i in range(9)]
+    found = {r.doc_id: r for r in Q.judge(docs_of(rows), max_documents=4).collect()}
+    assert [found[i].n_removed_words for i in range(8)] == [0] + [43] * 7
+    assert [found[20 + i].n_removed_words for i in range(8)] == [0] + [79] * 7
+    assert [i for i in sorted(found) if not found[i].kept] == list(range(21, 28))
+    assert all(found[40 + i].n_removed_words == 0 for i in range(9))
