@@ -26,16 +26,28 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates, and all without an id.
 
-    Of rows with the same id one stays.
+    Rows with the same id are documents of their own: one goes only if its text
+    is the same as another's, or similar.
     """
-    kept = link_similar(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    known = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return known.union(docs.filter(F.col("doc_id").isNull()))
+    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    known = numbered.filter(F.col("doc_id").isNotNull())
+    linked = link_similar(known, id_col="_row").select(F.col("doc_id").alias("_linked"), "n_shingles", "component_id")
+    ids = known.select("_row", "doc_id", F.xxhash64("text").alias("hash"))
+    # Texts without words link with nothing; they are the same within an id.
+    empty = F.col("n_shingles") == 0
+    best = (
+        linked.join(ids, F.col("_linked") == F.col("_row"))
+        .groupBy(F.when(~empty, F.col("component_id")), F.when(empty, F.col("doc_id")))
+        .agg(F.min(F.struct("doc_id", "hash", "_row")).alias("best"))
+        .select(F.col("best._row").alias("_kept"))
+    )
+    kept = known.join(best, F.col("_row") == F.col("_kept"), "left_semi")
+    return kept.union(numbered.filter(F.col("doc_id").isNull())).drop("_row")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of the benchmark."""
-    return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), by_row=True)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -63,6 +63,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_c
     without an id hit but are not listed; repeated items count once; an empty
     benchmark hits nothing. Other columns are not read.
     """
+    return _leaks(docs, benchmark, F.col(id_col).cast("long"), window, text_col)
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, known_by: Column, window: int, text_col: str) -> DataFrame:
+    """``find_leaks``, with what ``known_by`` gives as ``doc_id``."""
     spark = docs.sparkSession
     windows = benchmark_windows(benchmark, window).select(
         F.xxhash64("anchor").alias("key"), "anchor", "offset", "size", "words", "items"
@@ -81,7 +86,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_c
     tables[0] = tables[0].union(last)
     texts = docs.select(
         F.monotonically_increasing_id().alias("row"),
-        F.col(id_col).cast("long").alias("doc_id"),
+        known_by.alias("doc_id"),
         words_of(F.col(text_col)).alias("w"),
     )
     met = texts.select("row", "doc_id", "w", F.posexplode(F.concat("w", F.array(F.lit("")))).alias("pos", "word"))
@@ -132,15 +137,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_c
     )
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text") -> DataFrame:
+def without_leaks(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", by_row: bool = False
+) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window; all columns stay.
 
-    Of repeated ids, all rows go if one is hit. Rows with a null id go by the
-    hits of all rows without an id.
+    Of repeated ids, all rows go if one is hit, unless ``by_row``: then each row
+    goes by its own text. Rows with a null id always do.
     """
-    leaks = find_leaks(docs, benchmark, window, text_col=text_col).filter("contaminated")
-    leaks = leaks.select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leaked")), "left_anti")
+    key = F.col("doc_id").cast("long")
+    content = F.unhex(F.sha2(F.col(text_col).cast("binary"), 256))
+    if not by_row:
+        content = F.when(key.isNull(), content)
+    known_by = F.struct(key.alias("id"), content.alias("content"))
+    leaks = _leaks(docs, benchmark, known_by, window, text_col).filter("contaminated")
+    leaks = leaks.select(F.col("doc_id.id").alias("_leaked"), F.col("doc_id.content").alias("_content")).distinct()
+    return docs.join(leaks, key.eqNullSafe(F.col("_leaked")) & content.eqNullSafe(F.col("_content")), "left_anti")
 
 
 def cut_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text") -> DataFrame:

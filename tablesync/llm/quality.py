@@ -2,9 +2,10 @@
 
 Lines are normalised, hashed, and counted over all documents of a host; a
 document counts once, and copies of a document count as one (told by a digest
-of all its normalised lines). A line above the limit is removed from all documents but
-the one with the smallest id that holds it. Documents that are left with too
-little are rejected.
+of all its normalised lines). A line above the limit is removed from all
+documents but the one with the smallest id that holds it (where none has an id,
+the one with the smallest digest). Documents that are left with too little are
+rejected.
 
 Each text is read once, into a table of figures and line hashes in the shared
 folder. Counting is an aggregate taken in part before each shuffle, so a line
@@ -17,7 +18,7 @@ import hashlib
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.llm.common import BLANKS, map_rows, mix64, written
@@ -92,37 +93,39 @@ def figures(text: str) -> tuple:
 
 
 _COLUMNS = (
-    "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+    "doc_id long, host string, content binary, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
     "n_repeat_words long, digest long, hashes array<long>, words array<int>"
 )
 
 
-def judge(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: figures, base verdict, removed lines and verdict.
+def _content(text: Column) -> Column:
+    """Digest of an untouched text; null for null."""
+    return F.unhex(F.sha2(text.cast("binary"), 256))
 
-    Columns: ``doc_id, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, n_removed_words, removed (array of line hashes),
-    kept``. A null text counts as empty and fails; a null host is a host of its
-    own; rows of the same id are judged one by one, but hold a line together.
-    Other columns are not read.
-    """
+
+def _verdicts(docs: DataFrame, max_documents: int, id_col: str, host_col: str, text_col: str) -> DataFrame:
+    """What ``judge`` gives, with ``host`` and ``content``: these and ``doc_id`` decide all but ``row``."""
     source = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(host_col).cast("string").alias("host"), F.col(text_col).alias("text")
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(host_col).cast("string").alias("host"),
+        _content(F.col(text_col)).alias("content"),
+        F.col(text_col).alias("text"),
     )
 
     def rows(batches):
-        for ids, hosts, texts in batches:
-            for key, host, text in zip(ids, hosts, texts):
-                yield key, host, *figures(text or "")
+        for ids, hosts, contents, texts in batches:
+            for key, host, content, text in zip(ids, hosts, contents, texts):
+                yield key, host, content, *figures(text or "")
 
     found = map_rows(source, _COLUMNS, rows).withColumn("row", F.monotonically_increasing_id())
     found = written(found, "line-figures")
-    lines = found.select(
-        "row", "doc_id", "host", "digest", F.explode(F.arrays_zip("hashes", "words")).alias("line")
-    ).select("row", "doc_id", "host", "digest", F.col("line.hashes").alias("hash"), F.col("line.words").alias("words"))
+    # Rows of an id hold a line together; rows without an id are documents of their own, after all others.
+    holder = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", F.when(F.col("doc_id").isNull(), F.col("digest")).alias("digest"))
+    lines = found.select("row", "host", "digest", holder.alias("holder"), F.explode(F.arrays_zip("hashes", "words")).alias("line"))
+    lines = lines.select("row", "host", "digest", "holder", F.col("line.hashes").alias("hash"), F.col("line.words").alias("words"))
     counted = (
         lines.groupBy("host", "hash", "digest")
-        .agg(F.min("doc_id").alias("first"))
+        .agg(F.min("holder").alias("first"))
         .groupBy("host", "hash")
         .agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("first"))
         .filter(F.col("n") > max_documents)
@@ -130,11 +133,11 @@ def judge(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, id_col: str = "do
     heavy = counted.select(F.col("host").alias("h_host"), F.col("hash").alias("h_hash"), "first")
     above = lines.join(heavy, F.col("host").eqNullSafe(F.col("h_host")) & (F.col("hash") == F.col("h_hash")))
     removed = (
-        above.filter(~F.col("doc_id").eqNullSafe(F.col("first")))
+        above.filter(~F.col("holder").eqNullSafe(F.col("first")))
         .groupBy("row")
         .agg(F.sum("words").alias("n_removed_words"), F.collect_list("hash").alias("removed"))
     )
-    judged = found.drop("digest", "hashes", "words", "host").join(removed, "row", "left")
+    judged = found.drop("digest", "hashes", "words").join(removed, "row", "left")
     gone = F.coalesce("n_removed_words", F.lit(0)).cast("long")
     left = F.col("n_words") - gone
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
@@ -142,6 +145,8 @@ def judge(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, id_col: str = "do
     return judged.select(
         "row",
         "doc_id",
+        "host",
+        "content",
         "n_words",
         "word_chars",
         "n_symbols",
@@ -154,6 +159,18 @@ def judge(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, id_col: str = "do
     )
 
 
+def judge(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: figures, base verdict, removed lines and verdict.
+
+    Columns: ``doc_id, n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, base_failed, n_removed_words, removed (array of line hashes),
+    kept``. A null text counts as empty and fails; a null host is a host of its
+    own; rows of the same id are judged one by one, but hold a line together, as
+    copies without an id do. Other columns are not read.
+    """
+    return _verdicts(docs, max_documents, id_col, host_col, text_col).drop("host", "content")
+
+
 def without_lines(text: str, removed: set[int]) -> str:
     """``text`` without the lines that have these hashes."""
     return "\n".join(x for x in text.split("\n") if not (parts := x.encode().split()) or line_hash(parts) not in removed)
@@ -162,16 +179,21 @@ def without_lines(text: str, removed: set[int]) -> str:
 def keep_good(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, host_col: str = "source", text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """The documents that the rules keep, without the lines above the limit; all columns stay.
 
-    Needs one row per ``doc_id``; of repeated ids, all rows go if one is rejected.
+    Each row goes by its own verdict, also where ids are repeated or null: verdicts
+    are found again by id, host and digest of the text, which decide them.
     """
     verdicts = (
-        judge(docs, max_documents, host_col=host_col, text_col=text_col)
-        .groupBy(F.col("doc_id").alias("_judged"))
-        .agg(F.bool_and("kept").alias("_kept"), F.flatten(F.collect_set("removed")).alias("_removed"))
-        .filter("_kept")
-        .drop("_kept")
+        _verdicts(docs, max_documents, "doc_id", host_col, text_col)
+        .filter("kept")
+        .groupBy(F.col("doc_id").alias("_judged"), F.col("host").alias("_of"), F.col("content").alias("_content"))
+        .agg(F.first("removed").alias("_removed"))
+    )
+    own = (
+        F.col("doc_id").cast("long").eqNullSafe(F.col("_judged"))
+        & F.col(host_col).cast("string").eqNullSafe(F.col("_of"))
+        & _content(F.col(text_col)).eqNullSafe(F.col("_content"))
     )
-    kept = docs.join(verdicts, F.col("doc_id").eqNullSafe(F.col("_judged"))).drop("_judged")
+    kept = docs.join(verdicts, own).drop("_judged", "_of", "_content")
     whole = docs.schema
 
     def run(batches):

@@ -64,6 +64,14 @@ def test_leaking_documents_go(tables):
     assert find_leaks(docs.limit(0), benchmark).count() == 0
 
 
+def test_rows_without_an_id_go_by_their_own_text(tables, docs_of):
+    docs, benchmark = docs_of(DOCS + [(None, "clean, no id"), (None, None)]), tables[1]
+    kept = sorted((str(r.doc_id), str(r.text)) for r in without_leaks(docs, benchmark).collect())
+    assert [k for k in kept if k[0] == "None"] == [("None", "None"), ("None", "clean, no id")]
+    rows = sorted((str(r.doc_id), str(r.text)) for r in without_leaks(docs, benchmark, by_row=True).collect())
+    assert rows == sorted([*kept, ("1", "clean too")])
+
+
 def test_hit_words_are_cut(tables):
     docs, benchmark = tables
     cut = {r.doc_id: r.text for r in cut_leaks(docs.filter("doc_id in (2, 5)"), benchmark).collect()}

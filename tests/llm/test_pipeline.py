@@ -40,3 +40,25 @@ def test_stages_keep_the_columns(spark, tmp_path):
         docs = stage(spark, docs, str(tmp_path))
         assert docs.schema.simpleString() == frame.schema.simpleString()
     assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == 0
+
+
+def test_rows_go_by_their_own_text(spark, tmp_path):
+    rng = random.Random(10)
+    some = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    passage, copied = some(15), some(50)
+    clean = [(None, some(50)), (None, some(60)), (7, some(50)), (7, some(55)), (7, copied), (8, some(50))]
+    rows = clean + [(7, copied), (7, copied + " tail"), (None, "short"), (8, "again and again " * 40)]
+    rows += [(None, some(30) + " " + passage), (8, some(30) + " " + passage), (9, copied)]
+    rows += [(None, f"a menu line of the host\n{some(30)}") for _ in range(60)]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs, kept = frame.repartition(3), []
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = corpus_pipeline.written(stage(spark, docs, str(tmp_path)), "stage")
+        kept.append(docs.count())
+    assert kept == [len(rows) - 2, len(rows) - 5, len(clean) + 60]
+    found = [(r.doc_id, r.text) for r in docs.collect()]
+    assert sum("menu" in t for _, t in found) == 1
+    # Of three similar texts of id 7 one stays; which of them is open.
+    own = [(i, copied if t.startswith(copied) else t) for i, t in found if i is not None or len(t.split()) in (50, 60)]
+    assert sorted(map(str, own)) == sorted(map(str, clean))
