@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.llm.alignment import align_documents
 from tablesync.llm.bpe import encode_documents
 from tablesync.llm.chat import digest_conversations
 from tablesync.llm.common import table
@@ -85,6 +86,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN).drop("ids")
 
 
+def op11_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of every text's tokens by two tokenizers."""
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return align_documents(table(spark, sf_dir, "documents"), *paths).drop("groups")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_token_counts": op2_token_counts,
@@ -96,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_cross_tokenizer": op11_cross_tokenizer,
 }
 
 ORACLES: dict[str, str] = {
