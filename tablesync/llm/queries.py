@@ -15,6 +15,7 @@ from tablesync.llm.common import table
 from tablesync.llm.decontaminate import find_leaks
 from tablesync.llm.jaccard import link_similar
 from tablesync.llm.quality import judge
+from tablesync.llm.repair import repair_digests
 from tablesync.llm.secrets import find_secrets
 from tablesync.llm.substrings import remove_repeats
 from tablesync.llm.token_counts import count_edited
@@ -92,6 +93,11 @@ def op11_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_documents(table(spark, sf_dir, "documents"), *paths).drop("groups")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and the cheapest repair of every conversation, after planted damage."""
+    return repair_digests(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_token_counts": op2_token_counts,
@@ -104,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_cross_tokenizer": op11_cross_tokenizer,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLES: dict[str, str] = {
