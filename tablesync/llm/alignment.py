@@ -16,11 +16,10 @@ words.
 How often two ids are linked is counted over all documents:
 
 1. Texts are read in parts of bounded size. Each part gives a row per document
-   with the words it holds, and a row per link of each distinct word.
-2. An aggregate over the links counts pairs of ids, and the highest count of
-   each B id.
-3. The counts are joined to the words of each part, not to the documents, and
-   added up by word; the documents of a part meet those sums in one bounded group.
+   with the pairs of ids that it links, and a row per distinct pair of the part.
+2. An aggregate over the latter counts pairs, and the highest count of each B id.
+3. The counts are joined to the pairs of each part, not to the documents; the
+   documents of a part meet them in one bounded group.
 """
 
 from __future__ import annotations
@@ -31,6 +30,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,15 +40,15 @@ from pyspark.sql import functions as F
 
 from tablesync.llm.common import pa_schema, written
 
-#: A part ends at so many characters or documents, whichever comes first.
-PART_CHARS, PART_DOCS = 8_000_000, 16_384
-#: Distinct words a worker remembers between parts; beyond it all are forgotten and met again.
-KEPT_WORDS = 250_000
+#: A part ends at so many characters or documents, whichever comes first, and is read in steps.
+PART_CHARS, PART_DOCS, STEP_CHARS = 8_000_000, 16_384, 500_000
+#: Distinct words and pairs a worker remembers between parts; beyond it all are forgotten and met again.
+KEPT_WORDS, KEPT_PAIRS = 300_000, 500_000
 
 FIGURES = ("n_a", "n_b", "n_groups", "n_links")
 _PARTS = (
     "part long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, groups string, "
-    "words array<int>, times array<int>, word int, a int, b int, links long, total long"
+    "pairs binary, times binary, pair int, a int, b int, total long"
 )
 _RESULT = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
@@ -65,32 +65,52 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def cut_groups(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int]]:
+def cut_groups(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places after the last token of each group in both lists, in order.
 
     Ends are those of tokens with one byte or more, so they are distinct.
     """
-    a_at = {end: i for i, end in enumerate(a_ends, 1)}
-    b_at = {end: i for i, end in enumerate(b_ends, 1)}
-    return [(a_at[end], b_at[end]) for end in sorted(a_at.keys() & b_at.keys())]
+    a_at = dict(zip(a_ends.tolist(), range(1, len(a_ends) + 1)))
+    b_at = dict(zip(b_ends.tolist(), range(1, len(b_ends) + 1)))
+    common = sorted(a_at.keys() & b_at.keys())
+    return tuple(np.fromiter(map(at.__getitem__, common), np.int64, len(common)) for at in (a_at, b_at))
 
 
-def link_slice(a_ends: list[int], b_ends: list[int], a: int, a_stop: int, b: int, b_stop: int) -> list[tuple[int, int]]:
-    """Places of the overlapping tokens of one group, by walking both lists' ends."""
-    if a_stop - a == 1 or b_stop - b == 1:
-        return [(i, j) for i in range(a, a_stop) for j in range(b, b_stop)]
-    found = []
-    while a < a_stop and b < b_stop:
-        found.append((a, b))
-        first, second = a_ends[a], b_ends[b]
-        a += first <= second
-        b += second <= first
-    return found
+def link_slices(
+    a_ends: np.ndarray, b_ends: np.ndarray, a_cuts: np.ndarray, b_cuts: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the overlapping tokens of all groups, in order.
+
+    A group with one token on a side links it with all of the other's. In any
+    other, each stretch from one end to the next is what exactly two tokens share.
+    """
+    a_size, b_size = np.diff(a_cuts, prepend=0), np.diff(b_cuts, prepend=0)
+    counts = a_size + b_size - 1  # of links in a group: no ends but the last are common
+    group = np.repeat(np.arange(len(counts)), counts)
+    step = np.arange(len(group)) - np.repeat(np.cumsum(counts) - counts, counts)
+    a = (a_cuts - a_size)[group] + np.where(b_size[group] == 1, step, 0)
+    b = (b_cuts - b_size)[group] + np.where((a_size[group] == 1) & (b_size[group] > 1), step, 0)
+    woven = ((a_size > 1) & (b_size > 1))[group]
+    if woven.any():
+        ends = np.union1d(a_ends, b_ends)
+        a[woven] = np.searchsorted(a_ends, ends)[woven]
+        b[woven] = np.searchsorted(b_ends, ends)[woven]
+    return a, b
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Small whole numbers by planes of bytes, which compress well."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data: list[bytes]) -> np.ndarray:
+    """The numbers of several :func:`packed` lists, one after another."""
+    flat = [np.frombuffer(d, np.uint8).reshape(4, -1) for d in data]
+    return np.ascontiguousarray(np.concatenate(flat, axis=1).T).view("<u4").ravel() if flat else np.zeros(0, "<u4")
 
 
 class Aligner:
     """Encodes words by both tokenizers and remembers their groups and links."""
-
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
         from tokenizers import Tokenizer
@@ -122,13 +142,19 @@ class Aligner:
             and all(t["special"] for t in config.get("added_tokens", []))
             and not any("▁" in p.lstrip("▁") for p in pieces)
         )
+        self.a_size = np.array([len(t) for t in self.a_bytes], np.int64)
+        self.b_size = np.array([len(t) for t in self.b_bytes], np.int64)
+        # An id as text and what follows it: the next id of the group, the other side, the next group, the next word.
+        self.a_shown = np.array([[f"{i}{c}" for c in ",|"] for i in range(len(self.a_bytes))], object)
+        self.b_shown = np.array([[f"{i}{c}" for c in ",;\n"] for i in range(len(self.b_bytes))], object)
         self.forget()
 
     def forget(self) -> None:
         self.places: dict[str, int] = {}
         self.groups: list[str | None] = []  # None where the tokens are not the word's bytes
-        self.figures: list[tuple[int, int, int, int]] = []
-        self.links: list[dict[tuple[int, int], int]] = []
+        self.pairs: dict[int, int] = {}
+        # By step: figures of each word, and the places of the pairs it links.
+        self.held: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros((0, 4), np.int32), np.zeros(0, np.int32))]
 
     def split(self, text: str) -> list[str]:
         """The words of a text, each without the space before it."""
@@ -141,75 +167,91 @@ class Aligner:
     def learn(self, words: list[str]) -> None:
         """Encode, cut and link words that are not known yet."""
         coded = self.one.encode_batch_fast([" " + w for w in words], add_special_tokens=False)
-        for word, a, b in zip(words, coded, self.two.encode(words, num_threads=1)):
-            self.places[word] = len(self.groups)
-            self._add(word, a.ids, b)
-
-    def _add(self, word: str, a_ids: list[int], b_ids: list[int]) -> None:
-        wanted = b" " + word.encode()
-        a_parts, b_parts = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-        if b"".join(a_parts) != wanted or b"".join(b_parts) != wanted:
-            self.groups.append(None)
-            self.figures.append((0, 0, 0, 0))
-            self.links.append({})
-            return
-        a_ends = np.cumsum([len(p) for p in a_parts]).tolist()
-        b_ends = np.cumsum([len(p) for p in b_parts]).tolist()
-        shown, links, n_links = [], {}, 0
-        i = j = 0
-        for i_stop, j_stop in cut_groups(a_ends, b_ends):
-            shown.append(f"{','.join(map(str, a_ids[i:i_stop]))}|{','.join(map(str, b_ids[j:j_stop]))}")
-            for x, y in link_slice(a_ends, b_ends, i, i_stop, j, j_stop):
-                pair = a_ids[x], b_ids[y]
-                links[pair] = links.get(pair, 0) + 1
-                n_links += 1
-            i, j = i_stop, j_stop
-        self.groups.append(";".join(shown))
-        self.figures.append((len(a_ids), len(b_ids), len(shown), n_links))
-        self.links.append(links)
-
-    def part(self, number: int, ids: list, texts: list[str], keep_groups: bool) -> Iterator[dict[str, list]]:
-        """Columns of one part: rows of its documents, then rows of its words' links."""
-        if len(self.groups) > KEPT_WORDS:
-            self.forget()
+        a_ids, b_ids = [e.ids for e in coded], self.two.encode(words, num_threads=1)
+        for i, (word, a, b) in enumerate(zip(words, a_ids, b_ids), len(self.groups)):
+            self.places[word] = i
+            wanted = b" " + word.encode()
+            if any(b"".join(map(t.__getitem__, x)) != wanted for t, x in ((self.a_bytes, a), (self.b_bytes, b))):
+                a.clear()
+                b.clear()
+        a_count, b_count = (np.fromiter(map(len, x), np.int64, len(words)) for x in (a_ids, b_ids))
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a_ids, b_ids))
+        a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        # All words lie one after another; each ends a group.
+        a_cuts, b_cuts = cut_groups(a_ends, b_ends)
+        x, y = link_slices(a_ends, b_ends, a_cuts, b_cuts)
+        a_stops = np.cumsum(a_count)
+        n_groups = np.diff(np.searchsorted(a_cuts, a_stops, side="right"), prepend=0)
+        n_links = a_count + b_count - n_groups
+        self.held.append((np.stack([a_count, b_count, n_groups, n_links], 1).astype(np.int32), self._pairs(a[x] << 32 | b[y])))
+        shown = iter(self._shown(a, b, a_cuts, b_cuts, np.cumsum(b_count)))
+        self.groups.extend([next(shown) if n else None for n in a_count.tolist()])
+
+    def _pairs(self, codes: np.ndarray) -> np.ndarray:
+        """Places of pairs of ids."""
+        met, at = np.unique(codes, return_inverse=True)
+        pairs = self.pairs
+        return np.array([pairs.setdefault(c, len(pairs)) for c in met.tolist()], np.int32)[at]
+
+    def _shown(self, a, b, a_cuts, b_cuts, b_stops) -> list[str]:
+        """Groups of each word that has some, as text."""
+        group_a, group_b = (np.searchsorted(c, np.arange(len(i)), side="right") for c, i in ((a_cuts, a), (b_cuts, b)))
+        out = np.empty(len(a) + len(b), object)
+        last = np.zeros(len(a), np.int64)
+        last[a_cuts - 1] = 1
+        out[np.arange(len(a)) + np.concatenate([[0], b_cuts])[group_a]] = self.a_shown[a, last]
+        last = np.zeros(len(b), np.int64)
+        last[b_cuts - 1] = 1
+        last[b_stops[b_stops > 0] - 1] = 2
+        out[np.arange(len(b)) + a_cuts[group_b]] = self.b_shown[b, last]
+        return "".join(out.tolist()).split("\n")
+
+    def step(self, texts: list[str], totals: dict[int, int], keep_groups: bool) -> dict[str, list]:
+        """Columns of some documents of a part; ``totals`` counts the pairs of the part."""
         split = [self.split(t) if t else [] for t in texts]
         new = list(dict.fromkeys(w for words in split for w in words if w not in self.places))
         for i in range(0, len(new), 4096):
             self.learn(new[i : i + 4096])
-        places, groups, figures = self.places, self.groups, self.figures
-        met: list[np.ndarray] = []
-        out: dict[str, list] = {name: [] for name in ("groups_sha256", "groups", *FIGURES)}
+        self.held = [tuple(np.concatenate(c) for c in zip(*self.held))]
+        figures, links = self.held[0]
+        stops = np.cumsum(figures[:, 3], dtype=np.int64)
+        out: dict[str, list] = {name: [] for name in ("groups_sha256", "groups")}
+        met = []
         for words in split:
-            at = [places[w] for w in words]
-            shown = [groups[i] for i in at]
-            if not at or None in shown:
-                met.append(np.zeros(0, np.int64))
-                sums, digest, text = (0, 0, 0, 0), "", ""
-            else:
-                met.append(np.array(at, np.int64))
-                sums = [sum(column) for column in zip(*[figures[i] for i in at])]
-                text = ";".join(shown)
-                digest = hashlib.sha256(text.encode()).hexdigest()
-            out["groups_sha256"].append(digest)
+            at = [self.places[w] for w in words]
+            shown = [self.groups[i] for i in at]
+            text = ";".join(shown) if at and None not in shown else ""
+            met.append(at if text else [])
+            out["groups_sha256"].append(hashlib.sha256(text.encode()).hexdigest() if text else "")
             out["groups"].append(text if keep_groups else None)
-            for name, value in zip(FIGURES, sums):
-                out[name].append(value)
-        held, counts = np.unique(np.concatenate(met), return_counts=True)
-        some = [np.unique(at, return_counts=True) for at in met]
-        out |= {
-            "part": [number] * len(ids),
-            "doc_id": ids,
-            "words": [np.searchsorted(held, at).astype(np.int32) for at, _ in some],
-            "times": [n.astype(np.int32) for _, n in some],
-        }
-        yield out
-        rows = [
-            (word, a, b, n, n * count)
-            for word, (place, count) in enumerate(zip(held.tolist(), counts.tolist()))
-            for (a, b), n in self.links[place].items()
-        ]
-        if rows:
-            yield dict(zip(("word", "a", "b", "links", "total"), zip(*rows))) | {"part": [number] * len(rows)}
+        words = np.fromiter(chain.from_iterable(met), np.int64)
+        edges = np.concatenate([[0], np.cumsum([len(at) for at in met])])
+        running = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(figures[words], axis=0, dtype=np.int64)])
+        sums = running[edges[1:]] - running[edges[:-1]]
+        out |= {name: sums[:, i] for i, name in enumerate(FIGURES)}
+        # The links of all words in order, then each document's distinct pairs.
+        counts = figures[words, 3].astype(np.int64)
+        at = np.repeat(stops[words] - np.cumsum(counts), counts) + np.arange(counts.sum())
+        keys, times = np.unique(np.repeat(np.arange(len(met)), sums[:, 3]) << 32 | links[at], return_counts=True)
+        pairs, cuts = keys & 0xFFFFFFFF, np.searchsorted(keys, np.arange(1, len(met)) << 32)
+        out["pairs"] = [packed(np.diff(p, prepend=0)) for p in np.split(pairs, cuts)]
+        out["times"] = [packed(n) for n in np.split(times, cuts)]
+        summed = np.bincount(pairs, times).astype(np.int64) if len(pairs) else pairs
+        for place in np.flatnonzero(summed).tolist():
+            totals[place] = totals.get(place, 0) + int(summed[place])
+        return out
+
+    def part(self, number: int, steps: Iterator[tuple[list, list[str]]], keep_groups: bool) -> Iterator[dict[str, list]]:
+        """Columns of one part: rows of its documents, then rows of the pairs they link."""
+        if len(self.groups) > KEPT_WORDS or len(self.pairs) > KEPT_PAIRS:
+            self.forget()
+        totals: dict[int, int] = {}
+        for ids, texts in steps:
+            yield {"part": [number] * len(ids), "doc_id": ids} | self.step(texts, totals, keep_groups)
+        codes = np.fromiter(self.pairs, np.int64, len(self.pairs))[list(totals)]
+        if totals:
+            ids = {"a": codes >> 32, "b": codes & 0xFFFFFFFF}
+            yield {"part": [number] * len(codes), "pair": list(totals), "total": list(totals.values())} | ids
 
 
 @lru_cache(maxsize=1)
@@ -218,33 +260,45 @@ def aligner_for(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
-    """Ids and texts of one part at a time."""
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, int]]:
+    """Ids, texts and characters of one step at a time."""
     ids, texts, room = [], [], 0
     for batch in batches:
         for key, text in zip(*[c.to_pylist() for c in batch.columns]):
             ids.append(key)
             texts.append(text)
             room += len(text or "")
-            if room >= PART_CHARS or len(ids) >= PART_DOCS:
-                yield ids, texts
+            if room >= STEP_CHARS or len(ids) >= PART_DOCS:
+                yield ids, texts, room
                 ids, texts, room = [], [], 0
     if ids:
-        yield ids, texts
+        yield ids, texts, room
 
 
 def read_parts(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False) -> DataFrame:
-    """Rows of documents (``word`` is null) and of links of words, by part; see the module."""
+    """Rows of documents (``pair`` is null) and of the pairs they link, by part; see the module."""
     target = pa_schema(docs.sparkSession, _PARTS)
 
     def run(batches):
         aligner = aligner_for(path_a, path_b)
-        first = TaskContext.get().partitionId() << 32
-        for number, (ids, texts) in enumerate(_parts(batches)):
-            for columns in aligner.part(first + number, ids, texts, keep_groups):
+        number = TaskContext.get().partitionId() << 32
+        steps = _steps(batches)
+
+        def part(first):
+            chars, rows, step = 0, 0, first
+            while step is not None:
+                yield step[:2]
+                chars, rows = chars + step[2], rows + len(step[0])
+                if chars >= PART_CHARS or rows >= PART_DOCS:
+                    return
+                step = next(steps, None)
+
+        for first in steps:
+            for columns in aligner.part(number, part(first), keep_groups):
                 n = len(columns["part"])
                 arrays = [pa.array(columns.get(f.name, [None] * n), f.type) for f in target]
                 yield pa.RecordBatch.from_arrays(arrays, schema=target)
+            number += 1
 
     return docs.mapInArrow(run, _PARTS)
 
@@ -254,36 +308,31 @@ def link_counts(parts: DataFrame) -> DataFrame:
 
     ``best`` says that no other A id is linked with the B id more often.
     """
-    counts = parts.filter("word is not null").groupBy("a", "b").agg(F.sum("total").alias("count"))
+    counts = parts.filter("pair is not null").groupBy("a", "b").agg(F.sum("total").alias("count"))
     highest = counts.groupBy("b").agg(F.max("count").alias("highest"))
     return counts.join(highest, "b").select("a", "b", "count", (F.col("count") == F.col("highest")).alias("best"))
 
 
-def _sum_up(docs: pa.Table, words: pa.Table) -> pa.Table:
-    """The documents of one part with the sums of their words."""
-    place = words["word"].to_numpy()
-    size = int(place.max()) + 1 if len(place) else 0
-    sums = np.zeros((2, size), np.int64)
-    for row, name in zip(sums, ("best", "counted")):
-        row[place] = words[name].to_numpy()
-    held = docs["words"].combine_chunks()
-    edges = held.offsets.to_numpy().astype(np.int64)
-    at = held.values.to_numpy()
-    times = docs["times"].combine_chunks().values.to_numpy().astype(np.int64)
-    out = []
-    for row in sums:
-        running = np.concatenate([[0], np.cumsum(row[at] * times)])
-        out.append(running[edges[1:]] - running[edges[:-1]])
-    names = ["doc_id", *FIGURES]
-    return pa.table(
-        {
-            **{name: docs[name] for name in names},
-            "n_best": pa.array(out[0]),
-            "count_sum": pa.array(out[1]),
-            "groups_sha256": docs["groups_sha256"],
-            "groups": docs["groups"],
-        }
-    )
+def _sum_up(docs: pa.Table, pairs: pa.Table) -> pa.Table:
+    """The documents of one part with the sums of their pairs."""
+    place = pairs["pair"].to_numpy()
+    sums = np.zeros((2, int(place.max()) + 1 if len(place) else 0), np.int64)
+    for row, name in zip(sums, ("best", "count")):
+        row[place] = pairs[name].to_numpy()
+    out: tuple[list, list] = ([], [])
+    for piece in docs.select(["pairs", "times"]).to_batches(max_chunksize=1024):
+        held, times = (c.to_pylist() for c in piece.columns)
+        edges = np.concatenate([[0], np.cumsum([len(h) // 4 for h in held])])
+        at, n = unpacked(held).astype(np.int64), unpacked(times).astype(np.int64)
+        before = np.concatenate([[0], np.cumsum(at)])
+        at = before[1:] - np.repeat(before[edges[:-1]], np.diff(edges))
+        for row, found in zip(sums, out):
+            running = np.concatenate([[0], np.cumsum(row[at] * n)])
+            found.append(running[edges[1:]] - running[edges[:-1]])
+    best, count = (np.concatenate(o) if o else np.zeros(0, np.int64) for o in out)
+    columns = {name: docs[name] for name in ("doc_id", *FIGURES)}
+    columns |= {"n_best": pa.array(best), "count_sum": pa.array(count)}
+    return pa.table(columns | {name: docs[name] for name in ("groups_sha256", "groups")})
 
 
 def align_documents(
@@ -309,15 +358,7 @@ def align_documents(
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     parts = written(read_parts(source, path_a, path_b, keep_groups), "alignment-parts")
     counts = written(link_counts(parts), "link-counts")
-    words = (
-        parts.filter("word is not null")
-        .select(F.col("part").alias("of"), "word", "a", "b", "links")
-        .join(counts, ["a", "b"])
-        .groupBy("of", "word")
-        .agg(
-            F.sum(F.when(F.col("best"), F.col("links")).otherwise(0)).alias("best"),
-            F.sum(F.col("links") * F.col("count")).alias("counted"),
-        )
-    )
-    rows = parts.filter("word is null").select("part", "doc_id", *FIGURES, "groups_sha256", "groups", "words", "times")
-    return rows.groupBy("part").cogroup(words.groupBy("of")).applyInArrow(_sum_up, _RESULT)
+    pairs = parts.filter("pair is not null").select(F.col("part").alias("of"), "pair", "a", "b").join(counts, ["a", "b"])
+    pairs = pairs.select("of", "pair", F.col("best").cast("long").alias("best"), "count")
+    rows = parts.filter("pair is null").select("part", "doc_id", *FIGURES, "groups_sha256", "groups", "pairs", "times")
+    return rows.groupBy("part").cogroup(pairs.groupBy("of")).applyInArrow(_sum_up, _RESULT)

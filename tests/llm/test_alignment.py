@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -91,10 +92,17 @@ def test_words_give_what_whole_texts_give(aligner):
             assert [i for w in words for i in aligner.two.encode(w)] == aligner.two.encode(text)
 
 
-def test_slices_walk_the_ends():
-    assert A.cut_groups([2, 5, 9], [1, 2, 7, 9]) == [(1, 2), (3, 4)]
-    assert A.link_slice([2, 5, 9], [1, 2, 7, 9], 0, 1, 0, 2) == [(0, 0), (0, 1)]
-    assert A.link_slice([2, 5, 9], [1, 2, 7, 9], 1, 3, 2, 4) == [(1, 2), (2, 2), (2, 3)]
+def test_slices():
+    a, b = np.array([2, 5, 9, 10]), np.array([1, 2, 7, 9, 10])
+    cuts = A.cut_groups(a, b)
+    assert [c.tolist() for c in cuts] == [[1, 3, 4], [2, 4, 5]]
+    x, y = A.link_slices(a, b, *cuts)
+    assert list(zip(x.tolist(), y.tolist())) == [(0, 0), (0, 1), (1, 2), (2, 2), (2, 3), (3, 4)]
+
+
+def test_packed():
+    lists = [np.array([0, 5, 300, 70_000]), np.array([], np.int64), np.array([2**31])]
+    assert A.unpacked([A.packed(x) for x in lists]).tolist() == [0, 5, 300, 70_000, 2**31]
 
 
 def test_empty_table_and_other_columns(spark):
