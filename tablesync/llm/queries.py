@@ -14,6 +14,7 @@ from tablesync.llm.chat import digest_conversations
 from tablesync.llm.common import table
 from tablesync.llm.decontaminate import find_leaks
 from tablesync.llm.jaccard import link_similar
+from tablesync.llm.neighbours import link_near
 from tablesync.llm.quality import judge
 from tablesync.llm.repair import repair_digests
 from tablesync.llm.secrets import find_secrets
@@ -93,6 +94,11 @@ def op11_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_documents(table(spark, sf_dir, "documents"), *paths).drop("groups")
 
 
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of embeddings with a cosine of 0.95 or more."""
+    return link_near(table(spark, sf_dir, "embeddings"), 0.95)
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and the cheapest repair of every conversation, after planted damage."""
     return repair_digests(table(spark, sf_dir, "conversations"))
@@ -110,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_cross_tokenizer": op11_cross_tokenizer,
+    "op12_embedding_dedup": op12_embedding_dedup,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
@@ -137,6 +144,21 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(words.n, 0)
        cast(coalesce(items.n, 0) as bigint) as n_items, sha256(coalesce(items.ids, '')) as items_sha256,
        coalesce(words.n, 0) > 0 as contaminated
 from d left join words on words.doc_id = d.doc_id left join items on items.doc_id = d.doc_id
+""",
+    "op12_embedding_dedup": r"""
+with recursive v as (
+    select vec_id, cast(embedding as double[]) as e from embeddings
+    where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, x -> x <> 0)) > 0),
+u as (select vec_id, e, sqrt(list_inner_product(e, e)) as norm from v),
+near as (
+    select a.vec_id as a, b.vec_id as b from u a join u b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+    where list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.95),
+reach as (select vec_id as a, vec_id as b from embeddings union select r.a, n.b from reach r join near n on n.a = r.b),
+least as (select a, min(b) as component_id from reach group by a),
+links as (select a, count(*) as n from near group by a)
+select vec_id, cast(coalesce(n, 0) as bigint) as n_links, component_id, vec_id = component_id as kept
+from embeddings join least on least.a = vec_id left join links on links.a = vec_id
 """,
     "op4_chat_format": r"""
 with t as (

@@ -11,13 +11,13 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(registry.queries())
-    assert sum(name.startswith("op") for name in registry.queries()) == 10
+    assert sum(name.startswith("op") for name in registry.queries()) == 13
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "conversations"):
+    for table in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     found = QUERIES[name](spark, SF)
     order = sorted(found.columns)
