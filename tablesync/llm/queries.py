@@ -148,8 +148,8 @@ from d left join words on words.doc_id = d.doc_id left join items on items.doc_i
     "op12_embedding_dedup": r"""
 with recursive v as (
     select vec_id, cast(embedding as double[]) as e from embeddings
-    where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
-      and len(list_filter(embedding, x -> x <> 0)) > 0),
+    where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+      and len([x for x in embedding if x <> 0]) > 0),
 u as (select vec_id, e, sqrt(list_inner_product(e, e)) as norm from v),
 near as (
     select a.vec_id as a, b.vec_id as b from u a join u b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
