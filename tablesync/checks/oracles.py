@@ -269,7 +269,19 @@ from changes cross join (select 'table_name=one' as table_name union all select
 where id % 5 not in (0, 1)
 """
 
+STATEMENTS["routed_changes"] = """
+with named as (
+  select *, case when last_type = 'click' then 'table_name=clicks' else 'table_name=others' end as table_name from changes),
+l as (select * from (
+  select *, row_number() over (partition by table_name, id order by ts desc, seq desc) as rn from named) t where rn = 1)
+select table_name, concat('schema_name=app', cast(id % 5 as varchar)) as schema_name, id, last_type, seq
+from l where op <> 'D'
+union all
+select 'table_name=all_data', concat('schema_name=app', cast(id % 5 as varchar)), id, last_type, seq from changes
+"""
+
 # Other ways to the result of a statement above.
+STATEMENTS["ledger_changes"] = STATEMENTS["routed_changes"]
 STATEMENTS["late_changes"] = STATEMENTS["apply_changes"]
 STATEMENTS["reconcile_hashed"] = STATEMENTS["reconcile_rows"]
 STATEMENTS["merge_table"] = f"""

@@ -18,8 +18,11 @@ from tablesync.functions.names import (
     timestamp_text,
 )
 from tablesync.operators import batches, catalog, cdc, control, reconcile
+from tablesync.plans.changes import Route, apply_new
 from tablesync.plans.loads import full_load, load_missing
 from tablesync.session import scratch_path
+from tablesync.sinks.appended import AppendedTable
+from tablesync.sinks.ledger import FileLedger
 from tablesync.sinks.tables import replace_folder
 from tablesync.sinks.target import TargetTable
 from tablesync.sources.database import FrameTables
@@ -162,7 +165,7 @@ def _tenant() -> Column:
     return F.concat(F.lit("app"), (F.col("id") % 5).cast("string"))
 
 
-def _changed_table(spark: SparkSession, folder: str) -> TargetTable:
+def _changed_table(spark: SparkSession | None, folder: str) -> TargetTable:
     return TargetTable(
         path=f"{folder}/target",
         keys=("id",),
@@ -290,6 +293,54 @@ def landing_changes(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("schema_name", "table_name", "id", "seq", "op")
 
 
+def _routes(folder: str, schema: T.StructType) -> dict[str, Route]:
+    """Two tables with keys and one without, by the names of their landing folders."""
+    keyed = {
+        f"table_name={name}": Route(replace(_changed_table(None, folder), path=f"{folder}/{name}"), schema, "op")
+        for name in ("clicks", "others")
+    }
+    added = AppendedTable(f"{folder}/all_data", "id long, last_type string, seq long, op string, schema_name string")
+    return keyed | {"table_name=all_data": Route(added, "id long, last_type string, seq long, op string")}
+
+
+def _land(rows: DataFrame, root: str) -> None:
+    """Changes of clicks, of all others, and all of them as data without keys."""
+    name = F.when(F.col("last_type") == "click", "clicks").otherwise("others")
+    places = rows.withColumns({"schema_name": _tenant(), "table_name": F.explode(F.array(name, F.lit("all_data")))})
+    places.write.mode("append").partitionBy("schema_name", "table_name").parquet(root)
+
+
+def _routed_rows(spark: SparkSession, routes: dict[str, Route]) -> DataFrame:
+    found = [
+        route.target.current(spark).select(F.lit(name).alias("table_name"), "schema_name", "id", "last_type", "seq")
+        for name, route in routes.items()
+    ]
+    return catalog.union_catalogs(*found)
+
+
+def ledger_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Landing files that arrive in two lots, and are applied in runs of few files; applied files are archived."""
+    folder = scratch_path(spark, "ledger")
+    root, rows = f"{folder}/landing", v.changes(spark, sf)
+    routes = _routes(folder, rows.schema)
+    late = F.dayofmonth("ts") < 20
+    for lot in (rows.where(~late), rows.where(late)):
+        _land(lot, root)
+        apply_new(spark, root, routes, FileLedger(f"{folder}/ledger"), archive=f"{folder}/archive", max_files=40)
+    return _routed_rows(spark, routes)
+
+
+def routed_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of three table names, one without keys, applied by one call; the same call again alters nothing."""
+    folder = scratch_path(spark, "routed")
+    root, rows = f"{folder}/landing", v.changes(spark, sf)
+    routes = _routes(folder, rows.schema)
+    _land(rows, root)
+    for _ in range(2):
+        apply_new(spark, root, routes, FileLedger(f"{folder}/ledger"))
+    return _routed_rows(spark, routes)
+
+
 # Control table and loads ------------------------------------------------------
 
 
@@ -462,6 +513,8 @@ QUERIES: dict[str, Query] = {
     "partial_changes": partial_changes,
     "tied_changes": tied_changes,
     "quarantine_rows": quarantine_rows,
+    "ledger_changes": ledger_changes,
+    "routed_changes": routed_changes,
     "insert_if_absent": insert_if_absent,
     "control_rewrite": control_rewrite,
     "fullload_plan": full_load_plan,

@@ -81,6 +81,29 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(folder)
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``."""
+    system, folder = _folder(spark, path)
+    if not system.exists(folder):
+        return []
+    return [entry.getPath().getName() for entry in system.listStatus(folder) if entry.isDirectory()]
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove ``path`` and what is below it."""
+    system, folder = _folder(spark, path)
+    system.delete(folder, True)
+
+
+def move_file(spark: SparkSession, path: str, to: str) -> None:
+    """Move a file, into folders that are made if they are not there."""
+    system, source = _folder(spark, path)
+    target = _folder(spark, to)[1]
+    system.mkdirs(target.getParent())
+    if not system.rename(source, target):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
 @contextmanager
 def adaptive(spark: SparkSession) -> Iterator[None]:
     """Adaptive execution in a block; a stream's own session may have it off."""

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -45,6 +46,45 @@ def landing_index(
     return index_paths(files, schema_pos, table_pos)
 
 
+def listed_files(
+    spark: SparkSession,
+    root: str,
+    schema_pos: int = SCHEMA_POSITION,
+    table_pos: int = TABLE_POSITION,
+) -> DataFrame:
+    """``path, length, modified, place, schema_name, table_name`` of every landing file, in one listing.
+
+    ``path`` can be read, ``place`` is what lies below the root's parent. Names
+    are in lower case; files whose name starts with a dot or an underscore are not data.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .load(root)
+        .select("path", "length", F.col("modificationTime").alias("modified"), below_root("path", root).alias("place"))
+    )
+    named = files.withColumns(
+        {"schema_name": F.lower(path_part("place", schema_pos)), "table_name": F.lower(path_part("place", table_pos))}
+    )
+    return named.where(~F.element_at(F.split("path", "/"), -1).rlike("^[._]"))
+
+
+def read_files(
+    spark: SparkSession,
+    paths: Sequence[str],
+    root: str,
+    schema: str | T.StructType,
+    fmt: str = "parquet",
+    schema_pos: int = SCHEMA_POSITION,
+    table_pos: int = TABLE_POSITION,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Changes of the given landing files, with tenant and table; no other file is listed."""
+    plain = [re.sub(r"([\\*?\[\]{}])", r"\\\1", path) for path in paths]
+    reader = spark.read.format(fmt).schema(schema).options(**(options or {}))
+    return with_place(reader.option("recursiveFileLookup", "true").load(plain), root, schema_pos, table_pos)
+
+
 def with_place(
     changes: DataFrame,
     root: str,
