@@ -280,6 +280,15 @@ union all
 select 'table_name=all_data', concat('schema_name=app', cast(id % 5 as varchar)), id, last_type, seq from changes
 """
 
+STATEMENTS["reconcile_checksums"] = """
+with keyed as (select o_orderkey as id, concat('app', cast(o_custkey % 50 as varchar)) as schema_name from orders)
+select schema_name, id, 'missing' as diff from keyed where id % 997 = 0
+union all
+select schema_name, id, 'changed' from keyed where id % 991 = 0 and id % 997 <> 0
+union all
+select schema_name, -id, 'extra' from keyed where id % 983 = 0
+"""
+
 # Other ways to the result of a statement above.
 STATEMENTS["ledger_changes"] = STATEMENTS["routed_changes"]
 STATEMENTS["late_changes"] = STATEMENTS["apply_changes"]

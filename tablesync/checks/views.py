@@ -119,6 +119,12 @@ def src_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tenant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        _app().alias("schema_name"), F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("amount")
+    )
+
+
 def tgt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("o_totalprice")
     return (
