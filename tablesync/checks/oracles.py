@@ -286,7 +286,7 @@ select schema_name, id, 'missing' as diff from keyed where id % 997 = 0
 union all
 select schema_name, id, 'changed' from keyed where id % 991 = 0 and id % 997 <> 0
 union all
-select schema_name, -id, 'extra' from keyed where id % 983 = 0
+select schema_name, -id, 'extra' from keyed where id % 983 = 0 and id > 0
 """
 
 # Other ways to the result of a statement above.

@@ -489,7 +489,7 @@ def reconcile_checksums(spark: SparkSession, sf: str) -> DataFrame:
     copy = source.where(key % 997 != 0).withColumn(
         "amount", F.when(key % 991 == 0, F.col("amount") + 1).otherwise(F.col("amount"))
     )
-    copy = copy.unionByName(source.where(key % 983 == 0).withColumn("id", -key))
+    copy = copy.unionByName(source.where((key % 983 == 0) & (key > 0)).withColumn("id", -key))
     path = scratch_path(spark, "copy")
     copy.write.partitionBy("schema_name").parquet(path)
     stored = spark.read.schema(copy.schema).parquet(path)
