@@ -289,6 +289,17 @@ union all
 select schema_name, -id, 'extra' from keyed where id % 983 = 0 and id > 0
 """
 
+STATEMENTS["staged_publish"] = """
+with held as (
+  select concat('app', cast(o_custkey % 50 as varchar)) as app_id, o_totalprice as amount,
+         o_custkey % 50 = 5 or (o_custkey % 50 = 3 and count(case when o_orderkey % 7 = 0 then 1 end)
+           over (partition by o_custkey % 50) > 0) as kept
+  from orders)
+select app_id, count(*) as n_rows, max(case when kept then 0.0 else amount end) as most,
+       case when kept then 'old' else 'new' end as note, case when kept then 'failed' else 'ok' end as status, kept as flag
+from held group by app_id, kept
+"""
+
 # Other ways to the result of a statement above.
 STATEMENTS["ledger_changes"] = STATEMENTS["routed_changes"]
 STATEMENTS["late_changes"] = STATEMENTS["apply_changes"]

@@ -451,6 +451,42 @@ def full_load_log(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+class _Grown(FrameTables):
+    """A source that one tenant has added a row to since it was read."""
+
+    def counts(self, name: str, tenants: DataFrame) -> DataFrame:
+        more = F.when(F.lower("schema_name") == "app5", 1).otherwise(0)
+        return super().counts(name, tenants).withColumn("n_source", F.col("n_source") + more)
+
+
+def staged_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """What tenants hold after a load in which one has a too long string and one has changed: these keep their old rows."""
+    folder = scratch_path(spark, "publish")
+    target = TargetTable(
+        f"{folder}/orders", ("id",), ("changed",),
+        schema="id long, amount double, note string, changed timestamp_ntz, schema_name string",
+    )
+    rows = v.tenant_rows(spark, sf)
+    old = rows.withColumns({"amount": F.lit(0.0), "note": F.lit("old")})
+    target.load(old, old.select("schema_name"))
+    note = F.when((F.col("schema_name") == "app3") & (F.col("id") % 7 == 0), "far too long").otherwise("new")
+    tenants = rows.select(F.col("schema_name").alias("app_id")).distinct().withColumn("flag", F.lit(True))
+    log, after = full_load(
+        spark,
+        _Grown({"orders": rows.withColumn("note", note)}),
+        tenants,
+        ["orders"],
+        lambda name: target,
+        f"{folder}/log",
+        datetime(2024, 1, 31, 12, 30),
+        {"orders": {"note": 5}},
+    )
+    held = target.current(spark).groupBy(F.col("schema_name").alias("app_id")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("amount").alias("most"), F.min("note").alias("note")
+    )
+    return held.join(log.select("app_id", "status"), "app_id").join(after.select("app_id", "flag"), "app_id")
+
+
 # Reconciliation ---------------------------------------------------------------
 
 
@@ -537,6 +573,7 @@ QUERIES: dict[str, Query] = {
     "run_summary": run_summary,
     "missing_load": missing_load,
     "full_load_log": full_load_log,
+    "staged_publish": staged_publish,
     "reconcile_counts": reconcile_counts,
     "reconcile_schema": reconcile_schema,
     "reconcile_rows": reconcile_rows,

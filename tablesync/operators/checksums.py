@@ -100,7 +100,9 @@ def _number(hashed: Column, start: int) -> Column:
 
 
 def bucket(what: Compared, bits: int) -> Column:
-    """The number of a row's bucket."""
+    """The number of a row's bucket; without bits, all rows are one bucket."""
+    if not bits:
+        return F.lit(0).cast("long")
     return F.shiftright(_number(F.md5(_text(what.key_fields(), what.digits)), 1), WIDE - bits)
 
 
@@ -196,6 +198,8 @@ class ChecksumSql:
         return f"CONCAT({', '.join(parts)})" if len(parts) > 1 else parts[0]
 
     def _bucket(self, bits: int) -> str:
+        if not bits:
+            return "0"
         hashed = self.dialect.md5.format(self._text(self.what.key_fields()))
         return f"FLOOR({self.dialect.number.format(hashed, 1)} / {1 << (WIDE - bits)})"
 

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tablesync.config import TOO_LONG_MESSAGE
 from tablesync.functions.names import same_name
 from tablesync.operators.catalog import missing_tables
-from tablesync.operators.cdc import DELETED
+from tablesync.operators.checksums import Compared, FrameSide, differing
 from tablesync.operators.control import FAILED, OK, clear_flags, full_load_plan
-from tablesync.operators.reconcile import compare_counts
-from tablesync.session import folder_exists, reliable
+from tablesync.operators.keys import KeyList
+from tablesync.operators.reconcile import compare_counts, overlength
+from tablesync.session import folder_exists, reliable, staged
 from tablesync.sinks.target import TargetTable
 from tablesync.sources.frames import empty_frame
 
@@ -30,6 +32,8 @@ class SourceTables(Protocol):
 
     def counts(self, name: str, tenants: DataFrame) -> DataFrame: ...
 
+    def sums(self, name: str, tenants: DataFrame, rows: DataFrame) -> tuple[Compared, DataFrame] | None: ...
+
 
 class LoadFailed(Exception):
     """Some tables could not be loaded; ``run_log`` says which."""
@@ -45,12 +49,16 @@ def load_tables(
     plan: DataFrame,
     target_of: Callable[[str], TargetTable],
     log_path: str,
+    limits: Mapping[str, Mapping[str, int]] | None = None,
 ) -> DataFrame:
     """Load every (``schema_name``, ``table_name``) of the plan; return the run log.
 
     One job per table name covers all its tenants, since the names differ in
-    their columns and the tenants do not. Afterwards the counts of both sides
-    are compared per tenant. A name that fails is logged and the others go on.
+    their columns and the tenants do not. Rows are read to a staging place and
+    compared with the source there (counts, checksums), and with the lengths that
+    ``limits`` allows the columns of a table name. Only tenants that pass are
+    published; the others keep the rows they had and are logged. A name
+    that fails is logged and the others go on.
     """
     # Fixed before the first write, which may change the catalog it comes from.
     plan = reliable(plan.select(TENANT, "table_name").distinct())
@@ -58,7 +66,7 @@ def load_tables(
         name = row["table_name"]
         tenants = plan.where(F.col("table_name") == name).select(TENANT)
         try:
-            log = _load_one(spark, source, name, tenants, target_of(name))
+            log = _load_one(spark, source, name, tenants, target_of(name), (limits or {}).get(name, {}))
             log.write.mode("overwrite").parquet(f"{log_path}/table={name}")
         except Exception as error:  # noqa: BLE001 - whatever went wrong goes to the log
             _failed(tenants, name, str(error)).write.mode("overwrite").parquet(
@@ -70,26 +78,63 @@ def load_tables(
 
 
 def _load_one(
-    spark: SparkSession, source: SourceTables, name: str, tenants: DataFrame, target: TargetTable
+    spark: SparkSession,
+    source: SourceTables,
+    name: str,
+    tenants: DataFrame,
+    target: TargetTable,
+    limits: Mapping[str, int],
 ) -> DataFrame:
-    target.load(source.table(name, tenants), tenants, source.by_tenant)
-    loaded = target.of_tenants(spark, tenants).where(~F.col(DELETED))
-    n_target = loaded.groupBy(TENANT).agg(F.count(F.lit(1)).alias("n_target"))
-    n_source = (
-        source.counts(name, tenants)
-        .groupBy(F.lower(TENANT).alias(TENANT))
-        .agg(F.sum("n_source").cast("long").alias("n_source"))
+    """Read the source once to a staging place, and publish the tenants that pass there."""
+    with staged(source.table(name, tenants), "load") as rows:
+        verdicts = reliable(_verdicts(source, name, tenants, rows, limits))
+        passed = verdicts.where(F.col("status") == OK).select(F.col("app_id").alias(TENANT))
+        listed = KeyList.of(passed.select(F.col(TENANT).alias("__tenant")), ["__tenant"])
+        good = listed.keep(rows.withColumn("__tenant", F.lower(TENANT))).drop("__tenant")
+        # An empty plan of tenants would leave the target's folder without a table.
+        if not passed.isEmpty():
+            target.load(good, passed)
+    return verdicts.select("app_id", F.lit(name).alias("table_name"), "status", "message")
+
+
+def _verdicts(
+    source: SourceTables, name: str, tenants: DataFrame, rows: DataFrame, limits: Mapping[str, int]
+) -> DataFrame:
+    """``app_id, status, message`` of each planned tenant: what was read against the source.
+
+    Counts are compared, then checksums if the source has some, then the
+    lengths of strings; the first that is off is the message.
+    """
+
+    def by_tenant(found: DataFrame, *sums: str) -> DataFrame:
+        lowered = found.groupBy(F.lower(TENANT).alias(TENANT))
+        return lowered.agg(*[F.sum(c).cast("long").alias(c) for c in sums])
+
+    read = by_tenant(rows.groupBy(TENANT).agg(F.count(F.lit(1)).alias("n_target")), "n_target")
+    counts = compare_counts(by_tenant(source.counts(name, tenants), "n_source"), read, [TENANT])
+    message = F.when(
+        F.col("n_source") != F.col("n_target"),
+        F.format_string("%d rows in the source, %d were read", "n_source", "n_target"),
     )
-    counts = compare_counts(n_source, n_target, [TENANT])
-    off = F.col("n_source") != F.col("n_target")
-    message = F.format_string("%d rows in the source, %d in the target", "n_source", "n_target")
     planned = tenants.select(F.lower(TENANT).alias(TENANT)).distinct()
-    return planned.join(counts, TENANT, "left").select(
-        F.col(TENANT).alias("app_id"),
-        F.lit(name).alias("table_name"),
-        F.when(off, FAILED).otherwise(OK).alias("status"),
-        F.when(off, message).alias("message"),
-    )
+    found = planned.join(counts, TENANT, "left")
+    if sums := source.sums(name, tenants, rows):
+        what, theirs = sums
+        theirs = theirs.withColumn("bucket", F.lit(0).cast("long"))
+        sides = [side.withColumn(TENANT, F.lower(TENANT)) for side in (theirs, FrameSide(rows).sums(what, 0))]
+        off = differing(*sides, [TENANT]).select(TENANT, F.lit(True).alias("__off"))
+        found = found.join(off, TENANT, "left")
+        message = F.coalesce(message, F.when(F.col("__off"), "the rows read are not those of the source"))
+    if limits:
+        over = overlength(rows, limits, [TENANT]).groupBy(F.lower(TENANT).alias(TENANT))
+        over = over.agg(F.min(F.struct("column_name", "n_over", "max_len")).alias("__over"))
+        text = F.format_string(
+            f"%s: String {TOO_LONG_MESSAGE} (%d of them, up to %d long)", "__over.column_name", "__over.n_over", "__over.max_len"
+        )
+        found = found.join(over, TENANT, "left")
+        message = F.coalesce(message, F.when(F.col("__over").isNotNull(), text))
+    found = found.select(F.col(TENANT).alias("app_id"), message.alias("message"))
+    return found.select("app_id", F.when(F.col("message").isNull(), OK).otherwise(FAILED).alias("status"), "message")
 
 
 def _failed(tenants: DataFrame, name: str, message: str) -> DataFrame:
@@ -130,14 +175,16 @@ def full_load(
     target_of: Callable[[str], TargetTable],
     log_path: str,
     run_ts: datetime,
+    limits: Mapping[str, Mapping[str, int]] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Load all tables of the flagged tenants; return run log and new control table.
 
-    A tenant keeps its flag if one of its tables failed. The caller writes the
+    A tenant keeps its flag if one of its tables failed, and the rows it had of
+    that table (see :func:`load_tables`). The caller writes the
     control table (see ``replace_folder``), and decides whether to raise.
     """
     plan = full_load_plan(control, tables).withColumnRenamed("app_id", TENANT)
-    run_log = load_tables(spark, source, plan, target_of, log_path)
+    run_log = load_tables(spark, source, plan, target_of, log_path, limits)
     return run_log, clear_flags(control, run_log, run_ts, only_run=True)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablesync.config import TENANT_BATCH
 from tablesync.functions.names import lower_columns, quote_identifier, quote_literal, same_name
+from tablesync.operators.checksums import ChecksumSql, Compared, Dialect, FrameSide
 from tablesync.operators.keys import KeyList
 
 TENANT = "schema_name"
@@ -137,6 +138,9 @@ class DatabaseTables:
     batch: int = TENANT_BATCH
     # A partition holds rows of one tenant only.
     by_tenant: bool = True
+    #: How the database spells checksums, and the decimals of fractions that count; without it none are compared.
+    dialect: Dialect | None = None
+    digits: int = 6
 
     def predicates(self, table: str, tenants: Iterable[str]) -> list[str]:
         found = []
@@ -180,6 +184,18 @@ class DatabaseTables:
         return reduce(DataFrame.unionByName, frames)
 
 
+    def sums(self, name: str, tenants: DataFrame, rows: DataFrame) -> tuple[Compared, DataFrame] | None:
+        """Checksums per tenant, formed by the database, and how to form those of ``rows`` that were read from it."""
+        if self.dialect is None:
+            return None
+        what = Compared.of(rows, (), [TENANT], self.digits)
+        sql = ChecksumSql(name, what, self.dialect, self.conn.quote)
+        names = [row[TENANT] for row in tenants.select(TENANT).distinct().toLocalIterator()]
+        queries = [sql.sums(dict.fromkeys(names[i : i + self.batch]), 0) for i in range(0, len(names), self.batch)]
+        frames = [lower_columns(read_query(self.spark, self.conn, query)) for query in queries]
+        return what, reduce(DataFrame.unionByName, frames)
+
+
 @dataclass(frozen=True)
 class FrameTables:
     """Tenants' tables that are already frames with a tenant column, by table name."""
@@ -197,3 +213,8 @@ class FrameTables:
     def counts(self, name: str, tenants: DataFrame) -> DataFrame:
         """Rows per tenant."""
         return self.table(name, tenants).groupBy(TENANT).agg(F.count(F.lit(1)).alias("n_source"))
+
+    def sums(self, name: str, tenants: DataFrame, rows: DataFrame) -> tuple[Compared, DataFrame]:
+        """Checksums per tenant, and how to form those of ``rows``."""
+        what = Compared.of(rows, (), [TENANT])
+        return what, FrameSide(self.table(name, tenants)).sums(what, 0)

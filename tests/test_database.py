@@ -113,3 +113,18 @@ def test_ranges():
     assert d.range_predicates("k", ["a", "m", "t"]) == [
         "(k < 'm' OR k IS NULL)", "k >= 'm' AND k < 't'", "k >= 't'",
     ]
+
+
+def test_checksums_of_tenants(spark, monkeypatch):
+    from tablesync.operators.checksums import MYSQL
+
+    seen = []
+    monkeypatch.setattr(d, "read_query", lambda spark, conn, query: seen.append(query) or spark.createDataFrame(
+        [("a", 0, 1, 2, 3)], "SCHEMA_NAME string, BUCKET long, N long, ONE long, TWO long"))
+    tenants = spark.createDataFrame([("app1",), ("app2",), ("app3",)], "schema_name string")
+    rows = spark.createDataFrame([("app1", 1, 0.5)], "schema_name string, id long, ratio double")
+    plain = d.DatabaseTables(spark, CONN, batch=2)
+    assert plain.sums("users", tenants, rows) is None
+    what, found = d.DatabaseTables(spark, CONN, batch=2, dialect=MYSQL).sums("users", tenants, rows)
+    assert found.columns == ["schema_name", "bucket", "n", "one", "two"] and len(seen) == 2
+    assert seen[0].count("UNION ALL") == 1 and "DECIMAL(38, 6)" in seen[0] and what.by == ("schema_name",)

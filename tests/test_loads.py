@@ -108,6 +108,45 @@ def test_a_failing_table_is_logged_and_keeps_the_flag(spark, tmp_path, world):
     assert info.value.run_log.where("status = 'failed'").count() == 2
 
 
+class Changing(FrameTables):
+    """A source that is not what was read from it: by a row, by a value."""
+
+    def counts(self, name, tenants):
+        more = F.when(F.col("schema_name") == "app2", 1).otherwise(0)
+        return super().counts(name, tenants).withColumn("n_source", F.col("n_source") + more)
+
+    def sums(self, name, tenants, rows):
+        what, found = super().sums(name, tenants, rows)
+        return what, found.withColumn("two", F.col("two") + F.when(F.col("schema_name") == "app3", 1).otherwise(0))
+
+
+def test_only_tenants_that_pass_are_published(spark, tmp_path, world):
+    source, targets, _ = world
+    users = targets["users"]
+    names = ["app1", "app2", "app3", "app4"]
+    old = spark.createDataFrame([(n, 99, "old") for n in names], ROW)
+    users.load(old, old.select("schema_name"))
+    rows = source.frames["users"].union(spark.createDataFrame([("App4", 1, "fine"), ("App4", 2, "much too long")], ROW))
+    control = spark.createDataFrame([(n, True) for n in [*names, "app5"]], "app_id string, flag boolean")
+    log, after = full_load(
+        spark, Changing({"users": rows}), control, ["users"], targets.get, f"{tmp_path}/log", datetime(2024, 1, 1),
+        limits={"users": {"value": 8}},
+    )
+    messages = {r.app_id: r.message for r in log.collect()}
+    assert messages == {
+        "app1": None,
+        "app2": "2 rows in the source, 1 were read",
+        "app3": "the rows read are not those of the source",
+        "app4": "value: String is too long and would be truncated (1 of them, up to 13 long)",
+        "app5": None,
+    }
+    assert {r.app_id for r in after.collect() if r.flag} == {"app2", "app3", "app4"}
+    held = {}
+    for r in users.current(spark).collect():
+        held.setdefault(r.schema_name, set()).add(r.value)
+    assert held == {"app1": {"u"}, "app2": {"old"}, "app3": {"old"}, "app4": {"old"}}
+
+
 def test_landing_batch_and_tenants(spark, tmp_path, world):
     _, targets, _ = world
     change = "id int, value string, ts int, op string"

@@ -15,6 +15,7 @@ WRITING = {
     "control_rewrite",
     "ledger_changes",
     "routed_changes",
+    "staged_publish",
     "reconcile_checksums",
 }
 
