@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.session import scratch_path
+from tablesync.session import delete_folder, scratch_path
 
 # The six ASCII white-space characters between words (x20 and x09-x0D); bytes.split()
 # without arguments splits at exactly these.
@@ -25,7 +25,27 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, kept if executors go."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that :func:`written` made; what was written from them stays."""
+    for table in tables:
+        delete_folder(table.sparkSession, table.scratch)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like the given ones that ``df`` has no column of, in any case."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:

@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablesync.llm.common import unused
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # What a word is, in lower-cased and in untouched text.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -143,7 +145,8 @@ def without_leaks(
     """``docs`` without the documents that hold a benchmark window; all columns stay.
 
     Of repeated ids, all rows go if one is hit, unless ``by_row``: then each row
-    goes by its own text. Rows with a null id always do.
+    goes by its own text. Rows with a null id always do. Null and empty texts,
+    and all rows if the benchmark is empty, stay.
     """
     key = F.col("doc_id").cast("long")
     content = F.unhex(F.sha2(F.col(text_col).cast("binary"), 256))
@@ -151,21 +154,32 @@ def without_leaks(
         content = F.when(key.isNull(), content)
     known_by = F.struct(key.alias("id"), content.alias("content"))
     leaks = _leaks(docs, benchmark, known_by, window, text_col).filter("contaminated")
-    leaks = leaks.select(F.col("doc_id.id").alias("_leaked"), F.col("doc_id.content").alias("_content")).distinct()
-    return docs.join(leaks, key.eqNullSafe(F.col("_leaked")) & content.eqNullSafe(F.col("_content")), "left_anti")
+    its, digest = unused(docs, "leaked", "content")
+    leaks = leaks.select(F.col("doc_id.id").alias(its), F.col("doc_id.content").alias(digest)).distinct()
+    return docs.join(leaks, key.eqNullSafe(F.col(its)) & content.eqNullSafe(F.col(digest)), "left_anti")
 
 
 def cut_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text") -> DataFrame:
-    """``docs`` with the hit words, and what parts them from the word before, cut out of the texts."""
-    leaks = find_leaks(docs, benchmark, window, text_col=text_col).filter("contaminated")
-    leaks = leaks.groupBy(F.col("doc_id").alias("_leaked")).agg(F.first("hits").alias("_hits"))
+    """``docs`` with the hit words, and what parts them from the word before, cut out of the texts.
+
+    All rows and columns stay, in no certain order. Each row goes by its own text, also where ids are
+    repeated or null; null and empty texts stay as they are, and so do all if the benchmark is empty.
+    """
+    key = F.col("doc_id").cast("long")
+    content = F.unhex(F.sha2(F.col(text_col).cast("binary"), 256))
+    known_by = F.struct(key.alias("id"), content.alias("content"))
+    leaks = _leaks(docs, benchmark, known_by, window, text_col).filter("contaminated")
+    its, digest, hits = unused(docs, "leaked", "content", "hits")
+    # Rows of the same id and text have the same hits.
+    leaks = leaks.groupBy("doc_id").agg(F.first("hits").alias(hits))
+    leaks = leaks.select(F.col("doc_id.id").alias(its), F.col("doc_id.content").alias(digest), hits)
     text = F.col(text_col)
     pieces = F.regexp_extract_all(text, F.lit(rf"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*{CASED_WORD}"), F.lit(0))
     tail = F.regexp_extract(text, r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*\z", 0)
     kept = F.filter(
         pieces,
-        lambda p, i: ~F.exists("_hits", lambda h: (h["start"] <= i) & (i < h["start"] + h["size"])),
+        lambda p, i: ~F.exists(hits, lambda h: (h["start"] <= i) & (i < h["start"] + h["size"])),
     )
-    joined = docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leaked")), "left")
-    cut = F.when(F.col("_hits").isNull(), text).otherwise(F.concat(F.array_join(kept, ""), tail))
-    return joined.withColumn(text_col, cut).drop("_leaked", "_hits")
+    joined = docs.join(leaks, key.eqNullSafe(F.col(its)) & content.eqNullSafe(F.col(digest)), "left")
+    cut = F.when(F.col(hits).isNull(), text).otherwise(F.concat(F.array_join(kept, ""), tail))
+    return joined.withColumn(text_col, cut).select(docs.columns)

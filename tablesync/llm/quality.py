@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import BLANKS, map_rows, mix64, written
+from tablesync.llm.common import BLANKS, map_rows, mix64, unused, written
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -180,31 +180,33 @@ def keep_good(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, host_col: str
     """The documents that the rules keep, without the lines above the limit; all columns stay.
 
     Each row goes by its own verdict, also where ids are repeated or null: verdicts
-    are found again by id, host and digest of the text, which decide them.
+    are found again by id, host and digest of the text, which decide them. Null
+    and empty texts go; columns of any other name stay as they are.
     """
+    judged, host, digest, gone = unused(docs, "judged", "host", "content", "removed")
     verdicts = (
         _verdicts(docs, max_documents, "doc_id", host_col, text_col)
         .filter("kept")
-        .groupBy(F.col("doc_id").alias("_judged"), F.col("host").alias("_of"), F.col("content").alias("_content"))
-        .agg(F.first("removed").alias("_removed"))
+        .groupBy(F.col("doc_id").alias(judged), F.col("host").alias(host), F.col("content").alias(digest))
+        .agg(F.first("removed").alias(gone))
     )
     own = (
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_judged"))
-        & F.col(host_col).cast("string").eqNullSafe(F.col("_of"))
-        & _content(F.col(text_col)).eqNullSafe(F.col("_content"))
+        F.col("doc_id").cast("long").eqNullSafe(F.col(judged))
+        & F.col(host_col).cast("string").eqNullSafe(F.col(host))
+        & _content(F.col(text_col)).eqNullSafe(F.col(digest))
     )
-    kept = docs.join(verdicts, own).drop("_judged", "_of", "_content")
+    kept = docs.join(verdicts, own).drop(judged, host, digest)
     whole = docs.schema
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            lists = batch.column(batch.schema.get_field_index("_removed")).to_pylist()
+            lists = batch.column(batch.schema.get_field_index(gone)).to_pylist()
             batch = batch.select([f.name for f in whole])
             at = batch.schema.get_field_index(text_col)
             texts = batch.column(at).to_pylist()
-            texts = [without_lines(t, set(gone)) if gone else t for t, gone in zip(texts, lists)]
+            texts = [without_lines(t, set(lost)) if lost else t for t, lost in zip(texts, lists)]
             batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
             if length_col is not None:
                 at = batch.schema.get_field_index(length_col)

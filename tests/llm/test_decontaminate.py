@@ -76,3 +76,15 @@ def test_hit_words_are_cut(tables):
     docs, benchmark = tables
     cut = {r.doc_id: r.text for r in cut_leaks(docs.filter("doc_id in (2, 5)"), benchmark).collect()}
     assert cut == {2: "a b", 5: "clean text"}
+
+
+def test_each_row_is_cut_by_its_own_text(spark, tables):
+    clean = "these are clean words of a text that shares an id only here"
+    rows = [(1, PASSAGE + " end"), (1, clean), (None, "a short item"), (None, clean), (None, None), (1, ""), (1, PASSAGE + " end")]
+    docs = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in rows], "doc_id long, text string, hits string, leaked int, content string")
+    cut = cut_leaks(docs, tables[1])
+    assert cut.columns == docs.columns
+    want = [(1, " end"), (1, clean), (None, "a"), (None, clean), (None, None), (1, ""), (1, " end")]
+    assert sorted(((r.doc_id, r.text) for r in cut.collect()), key=repr) == sorted(want, key=repr)
+    left = without_leaks(docs, tables[1], by_row=True)
+    assert left.columns == docs.columns and left.count() == 4

@@ -78,3 +78,12 @@ def test_lines_count_by_documents_even_beside_a_longer_shared_line(spark, docs_o
     assert [found[20 + i].n_removed_words for i in range(8)] == [0] + [79] * 7
     assert [i for i in sorted(found) if not found[i].kept] == list(range(21, 28))
     assert all(found[40 + i].n_removed_words == 0 for i in range(9))
+
+
+def test_clashing_names_stay(spark):
+    text = " ".join(f"word{i}" for i in range(30))
+    rows = [(1, text, "s", "a", "b", "c", "d"), (1, text + " more", "s", "a", "b", "c", "d")]
+    names = "doc_id long, text string, source string, judged string, host string, content string, Removed string"
+    kept = Q.keep_good(spark.createDataFrame(rows, names))
+    assert kept.columns == names.replace(" string", "").replace(" long", "").split(", ")
+    assert sorted(map(tuple, kept.collect())) == sorted(rows)
