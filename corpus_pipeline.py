@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.llm.bpe import encode_documents
-from tablesync.llm.common import written
+from tablesync.llm.common import unused, written
 from tablesync.llm.decontaminate import without_leaks
 from tablesync.llm.jaccard import link_similar
 from tablesync.llm.quality import keep_good
@@ -19,44 +19,51 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep, without lines that too many documents of a source share."""
+    """Documents that the rules keep, without lines that too many documents of a source share.
+
+    Null and empty texts go; rows of a repeated id, or without one, go by their own text.
+    """
     return keep_good(docs, length_col="n_chars")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates, and all without an id.
+    """The document with the smallest id of each group of near duplicates.
 
-    Rows with the same id are documents of their own: one goes only if its text
-    is the same as another's, or similar.
+    Rows with the same id, or without one, are documents of their own: one goes
+    only if its text is the same as another's, or similar; one with an id stays
+    before one without. Texts without words are only the same within an id, and all
+    without an id stay.
     """
-    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    known = numbered.filter(F.col("doc_id").isNotNull())
-    linked = link_similar(known, id_col="_row").select(F.col("doc_id").alias("_linked"), "n_shingles", "component_id")
-    ids = known.select("_row", "doc_id", F.xxhash64("text").alias("hash"))
-    # Texts without words link with nothing; they are the same within an id.
+    row, linked, kept = unused(docs, "row", "linked", "kept")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = link_similar(numbered, id_col=row).select(F.col("doc_id").alias(linked), "n_shingles", "component_id")
+    ids = numbered.select(row, F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
     empty = F.col("n_shingles") == 0
     best = (
-        linked.join(ids, F.col("_linked") == F.col("_row"))
-        .groupBy(F.when(~empty, F.col("component_id")), F.when(empty, F.col("doc_id")))
-        .agg(F.min(F.struct("doc_id", "hash", "_row")).alias("best"))
-        .select(F.col("best._row").alias("_kept"))
+        groups.join(ids, F.col(linked) == F.col(row))
+        .groupBy(
+            F.when(~empty, F.col("component_id")),
+            F.when(empty, F.col("id")),
+            F.when(empty & F.col("id").isNull(), F.col(row)),
+        )
+        .agg(F.min(F.struct(F.col("id").isNull(), "id", "hash", F.col(row).alias("row"))).alias("best"))
+        .select(F.col("best.row").alias(kept))
     )
-    kept = known.join(best, F.col("_row") == F.col("_kept"), "left_semi")
-    return kept.union(numbered.filter(F.col("doc_id").isNull())).drop("_row")
+    return numbered.join(best, F.col(row) == F.col(kept), "left_semi").drop(row)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of the benchmark."""
+    """Documents that hold no window of the benchmark; each row goes by its own text, null texts stay."""
     return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), by_row=True)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with a mark in place of each secret."""
+    """All documents, with a mark in place of each secret; null texts stay null, ids do not matter."""
     return redact_secrets(docs, public_tokenizers.path("word_bpe_49k.json"), length_col="n_chars")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, and digests of ids and decoded text."""
+    """Token ids of each text, and digests of ids and decoded text; a row per row, null texts are empty."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encode_documents(docs, path, public_tokenizers.PATTERN)
 
