@@ -300,6 +300,10 @@ select app_id, count(*) as n_rows, max(case when kept then 0.0 else amount end)
 from held group by app_id, kept
 """
 
+STATEMENTS["bookmark_reads"] = """
+select concat('app', cast(user_id % 5 as varchar)) as schema_name, event_id as id, value as amount from events
+"""
+
 # Other ways to the result of a statement above.
 STATEMENTS["ledger_changes"] = STATEMENTS["routed_changes"]
 STATEMENTS["late_changes"] = STATEMENTS["apply_changes"]

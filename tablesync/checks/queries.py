@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -19,14 +19,17 @@ from tablesync.functions.names import (
 )
 from tablesync.operators import batches, catalog, cdc, checksums, control, reconcile
 from tablesync.plans.changes import Route, apply_new
+from tablesync.plans.increments import pull_increment
 from tablesync.plans.loads import full_load, load_missing
 from tablesync.session import scratch_path
 from tablesync.sinks.appended import AppendedTable
+from tablesync.sinks.bookmark import Bookmark
 from tablesync.sinks.ledger import FileLedger
 from tablesync.sinks.tables import replace_folder
 from tablesync.sinks.target import TargetTable
 from tablesync.sources.database import FrameTables
 from tablesync.sources.frames import sql_over
+from tablesync.sources.growing import Growing, GrowingFrames
 from tablesync.sources.landing import landing_index, read_changes
 from tablesync.streaming.sync import sync_stream, sync_tables
 
@@ -161,8 +164,12 @@ def late_changes(spark: SparkSession, sf: str) -> DataFrame:
     return target.where(~F.col(cdc.DELETED)).select("id", "amount", "last_type")
 
 
+def _tenant_of(name: str) -> Column:
+    return F.concat(F.lit("app"), (F.col(name) % 5).cast("string"))
+
+
 def _tenant() -> Column:
-    return F.concat(F.lit("app"), (F.col("id") % 5).cast("string"))
+    return _tenant_of("id")
 
 
 def _changed_table(spark: SparkSession | None, folder: str) -> TargetTable:
@@ -451,6 +458,22 @@ def full_load_log(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def bookmark_reads(spark: SparkSession, sf: str) -> DataFrame:
+    """A table read in three steps by a growing time; some rows of the last days before a step come late."""
+    folder = scratch_path(spark, "bookmark")
+    rows = v.table(spark, sf, "events").select(
+        F.col("event_id").alias("id"), F.col("value").alias("amount"), "ts", _tenant_of("user_id").alias("schema_name")
+    )
+    target = TargetTable(f"{folder}/events", ("id",), ("ts",), schema="id long, amount double, ts timestamp_ntz, schema_name string")
+    bookmark, growing = Bookmark(f"{folder}/marks"), Growing("ts", timedelta(days=3))
+    for day in (10, 20, 32):
+        late = (F.dayofmonth("ts") >= day - 2) & (F.col("id") % 7 == 3)
+        seen = rows.where((F.dayofmonth("ts") < day) & ~(late & F.lit(day < 32)))
+        tenants = rows.select("schema_name").distinct()
+        pull_increment(spark, GrowingFrames({"events": seen}), "events", tenants, target, bookmark, growing)
+    return target.current(spark).select("schema_name", "id", "amount")
+
+
 class _Grown(FrameTables):
     """A source that one tenant has added a row to since it was read."""
 
@@ -574,6 +597,7 @@ QUERIES: dict[str, Query] = {
     "missing_load": missing_load,
     "full_load_log": full_load_log,
     "staged_publish": staged_publish,
+    "bookmark_reads": bookmark_reads,
     "reconcile_counts": reconcile_counts,
     "reconcile_schema": reconcile_schema,
     "reconcile_rows": reconcile_rows,

@@ -12,6 +12,7 @@ from tablesync.config import TENANT_BATCH
 from tablesync.functions.names import lower_columns, quote_identifier, quote_literal, same_name
 from tablesync.operators.checksums import ChecksumSql, Compared, Dialect, FrameSide
 from tablesync.operators.keys import KeyList
+from tablesync.sources.growing import Growing, between_queries, high_query
 
 TENANT = "schema_name"
 
@@ -196,6 +197,25 @@ class DatabaseTables:
         return what, reduce(DataFrame.unionByName, frames)
 
 
+    def highs(self, name: str, tenants: DataFrame, growing: Growing) -> DataFrame:
+        """The highest value of a growing column by tenant."""
+        names = [row[TENANT] for row in tenants.select(TENANT).distinct().toLocalIterator()]
+        queries = [
+            high_query(name, names[i : i + self.batch], growing, self.conn.quote) for i in range(0, len(names), self.batch)
+        ]
+        found = reduce(DataFrame.unionByName, [lower_columns(read_query(self.spark, self.conn, q)) for q in queries])
+        return found.select(TENANT, growing.text(F.col("high")).alias("high"))
+
+    def between(self, name: str, bounds: DataFrame, growing: Growing) -> DataFrame:
+        """Rows between the bounds of each tenant, several tenants a partition."""
+        queries = list(between_queries(name, bounds, growing, self.conn.quote))
+        frames = [
+            read_query(self.spark, self.conn, " UNION ALL ".join(queries[i : i + self.batch]))
+            for i in range(0, len(queries), self.batch)
+        ]
+        return reduce(DataFrame.unionByName, frames)
+
+
 @dataclass(frozen=True)
 class FrameTables:
     """Tenants' tables that are already frames with a tenant column, by table name."""
