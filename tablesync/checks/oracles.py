@@ -304,6 +304,27 @@ STATEMENTS["bookmark_reads"] = """
 select concat('app', cast(user_id % 5 as varchar)) as schema_name, event_id as id, value as amount from events
 """
 
+STATEMENTS["weighted_batches"] = """
+with w as (
+  select concat('app', cast(o_custkey % 50 as varchar)) as schema_name,
+         sum(case when o_custkey % 50 = 7 then 40 else 1 end) as weight from orders group by 1),
+t as (select sum(weight) as total, greatest(1, ceil(sum(weight) / 48.0)) as most from w),
+p as (select schema_name, weight, cast(greatest(ceil(weight / most), 1) as bigint) as n_pieces, total from w cross join t),
+c as (select schema_name, n_pieces, total, piece, cast(weight * (piece + 1) // n_pieces - weight * piece // n_pieces as bigint) as weight
+      from (select *, unnest(range(0, n_pieces)) as piece from p)),
+b as (select *, coalesce(sum(weight) over (order by weight desc, schema_name, piece
+        rows between unbounded preceding and 1 preceding), 0) as before from c)
+select schema_name, piece, n_pieces, weight, cast(least(before * 6 // total, 5) as int) as batch_id from b
+"""
+STATEMENTS["run_history"] = """
+with logs as (
+  select event_type as app_id, concat('u', cast(user_id as varchar)) as table_name, event_id % 3 as n,
+         case when max(value) > 255 then 'failed' else 'ok' end as status
+  from events group by 1, 2, 3)
+select app_id, table_name, status, concat('run', cast(9 - n as varchar)) as run, status = 'failed' as again
+from (select *, row_number() over (partition by app_id, table_name order by n desc) as rn from logs) r where rn = 1
+"""
+
 # Other ways to the result of a statement above.
 STATEMENTS["ledger_changes"] = STATEMENTS["routed_changes"]
 STATEMENTS["late_changes"] = STATEMENTS["apply_changes"]

@@ -24,6 +24,7 @@ from tablesync.plans.loads import full_load, load_missing
 from tablesync.session import scratch_path
 from tablesync.sinks.appended import AppendedTable
 from tablesync.sinks.bookmark import Bookmark
+from tablesync.sinks.history import RunHistory
 from tablesync.sinks.ledger import FileLedger
 from tablesync.sinks.tables import replace_folder
 from tablesync.sinks.target import TargetTable
@@ -130,6 +131,13 @@ def batch_members(spark: SparkSession, sf: str) -> DataFrame:
     return batches.batch_members(index, flagged).select("event_id", "path")
 
 
+def weighted_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Tenants by their orders in six runs; one tenant is a giant."""
+    times = F.when(F.col("schema_name") == "app7", 40).otherwise(1)
+    weights = v.tenant_rows(spark, sf).select("schema_name", times.alias("weight"))
+    return batches.batch_by_weight(weights, 6)
+
+
 # Changes ----------------------------------------------------------------------
 
 
@@ -378,6 +386,21 @@ def clear_flags(spark: SparkSession, sf: str) -> DataFrame:
     return control.clear_flags(v.control(spark, sf), v.run_log(spark, sf))
 
 
+def run_history(spark: SparkSession, sf: str) -> DataFrame:
+    """The state of every table after three runs, the newest named first, and what is to be tried again."""
+    history = RunHistory(scratch_path(spark, "history"))
+    failed = F.max("value") > 255
+    for n in (0, 1, 2):
+        rows = v.table(spark, sf, "events").where(F.col("event_id") % 3 == n)
+        log = rows.groupBy(
+            F.col("event_type").alias("app_id"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("table_name")
+        ).agg(F.when(failed, "failed").otherwise("ok").alias("status"), F.when(failed, "connection reset").alias("message"))
+        history.record(log, f"run{9 - n}", datetime(2024, 1, 1 + n))
+    again = history.retry_plan(spark).select(F.col("schema_name").alias("app_id"), "table_name", F.lit(True).alias("again"))
+    found = history.latest(spark).join(again, ["app_id", "table_name"], "left")
+    return found.select("app_id", "table_name", "status", "run", F.coalesce("again", F.lit(False)).alias("again"))
+
+
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.run_summary(v.run_log(spark, sf))
 
@@ -578,6 +601,7 @@ QUERIES: dict[str, Query] = {
     "initial_filter": initial_filter,
     "batch_assign": batch_assign,
     "batch_members": batch_members,
+    "weighted_batches": weighted_batches,
     "align_changes": align_changes,
     "latest_change": latest_change,
     "apply_changes": apply_changes,
@@ -594,6 +618,7 @@ QUERIES: dict[str, Query] = {
     "fullload_plan": full_load_plan,
     "clear_flags": clear_flags,
     "run_summary": run_summary,
+    "run_history": run_history,
     "missing_load": missing_load,
     "full_load_log": full_load_log,
     "staged_publish": staged_publish,

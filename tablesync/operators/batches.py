@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablesync.config import SCHEMA_POSITION, TABLE_POSITION, TENANT_BATCH, TENANT_INITIALS
 from tablesync.functions.names import path_part, same_name
@@ -47,6 +47,53 @@ def batch_members(
     return listed.keep(index.withColumn("__tenant", same_name(schema))).drop("__tenant")
 
 
+def _placed(ordered: DataFrame, size: Column) -> DataFrame:
+    """Sorted rows with ``__before``: the sizes of all rows before each, added up.
+
+    Rows are added up within their partition of the sort; of the partitions, one row each passes
+    through a single task.
+    """
+    row_bits = 33  # monotonically_increasing_id keeps the row in the low bits
+    fixed = reliable(ordered.withColumns({"__id": F.monotonically_increasing_id(), "__size": size}))
+    fixed = fixed.withColumn("__part", F.shiftrightunsigned("__id", row_bits))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("__size").over(before.partitionBy("__part").orderBy("__id")), F.lit(0))
+    offsets = fixed.groupBy(F.col("__part").alias("__of")).agg(F.sum("__size").alias("__n"))
+    offsets = offsets.select("__of", F.coalesce(F.sum("__n").over(before.orderBy("__of")), F.lit(0)).alias("__offset"))
+    # One row per partition of the sort: at most spark.sql.shuffle.partitions.
+    placed = fixed.withColumn("__inside", inside).join(F.broadcast(offsets), F.col("__part") == F.col("__of"))
+    return placed.withColumn("__before", F.col("__inside") + F.col("__offset")).drop(
+        "__id", "__size", "__part", "__of", "__inside", "__offset"
+    )
+
+
+def batch_by_weight(
+    tenants: DataFrame, runs: int, weight: str = "weight", grain: int = 8, schema: str = "schema_name"
+) -> DataFrame:
+    """Cut tenants into ``runs`` runs of about the same weight (rows or bytes): ``schema_name, piece, n_pieces, weight, batch_id``.
+
+    A tenant that is heavier than ``1 / grain`` of a run is dealt out in equal pieces (such as ranges of its keys, see
+    ``find_splits``). Pieces are taken from the heaviest to the lightest, by name where they are the same, and a run
+    ends when its share is full; so no run has more than ``1 + 1 / grain`` of the mean. Weights are whole
+    numbers; rows of the same tenant are added up, and without any weight all are in the first run.
+    """
+    name = F.col(f"`{schema}`")
+    summed = reliable(tenants.groupBy(name).agg(F.sum(weight).cast("long").alias("__weight")))
+    total = summed.agg(F.sum("__weight")).first()[0] or 0
+    most = max(1, -(-total // (runs * grain)))
+    pieces = F.greatest(F.ceil(F.col("__weight") / F.lit(most)), F.lit(1)).cast("long")
+    # Whole numbers that add up to the tenant's weight.
+    ends = [F.expr("cast((cast(__weight as decimal(20,0)) * (piece + %d)) div n_pieces as long)" % k) for k in (0, 1)]
+    cut = (
+        summed.withColumn("n_pieces", pieces)
+        .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_pieces") - 1)))
+        .select(name, "piece", "n_pieces", (ends[1] - ends[0]).alias("weight"))
+    )
+    placed = _placed(cut.orderBy(F.desc("weight"), name.asc_nulls_last(), "piece"), F.col("weight"))
+    share = F.expr(f"cast((cast(__before as decimal(20,0)) * {runs}) div {max(total, 1)} as int)")
+    return placed.select(name, "piece", "n_pieces", "weight", F.least(share, F.lit(runs - 1)).alias("batch_id"))
+
+
 def batch_assign(
     tenants: DataFrame, size: int = TENANT_BATCH, schema: str = "schema_name"
 ) -> DataFrame:
@@ -56,27 +103,6 @@ def batch_assign(
     its partition plus the sizes of the partitions before it. Only those sizes,
     one row per partition, pass through a single task.
     """
-    row_bits = 33  # monotonically_increasing_id keeps the row in the low bits
     name = F.col(f"`{schema}`")
-    ordered = reliable(
-        tenants.select(schema)
-        .distinct()
-        .orderBy(name.asc_nulls_last())
-        .withColumn("__id", F.monotonically_increasing_id())
-    ).withColumns(
-        {
-            "__part": F.shiftrightunsigned("__id", row_bits),
-            "__row": F.col("__id").bitwiseAND(F.lit((1 << row_bits) - 1)),
-        }
-    )
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ordered.groupBy("__part")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    )
-    place = F.col("__before") + F.col("__row")
-    # One row per partition of the sort: at most spark.sql.shuffle.partitions.
-    return ordered.join(F.broadcast(offsets), "__part").select(
-        name, F.floor(place / F.lit(size)).cast("int").alias("batch_id")
-    )
+    placed = _placed(tenants.select(schema).distinct().orderBy(name.asc_nulls_last()), F.lit(1))
+    return placed.select(name, F.floor(F.col("__before") / F.lit(size)).cast("int").alias("batch_id"))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
-from datetime import datetime
+from datetime import datetime, timezone
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,12 +16,12 @@ from tablesync.operators.checksums import Compared, FrameSide, differing
 from tablesync.operators.control import FAILED, OK, clear_flags, full_load_plan
 from tablesync.operators.keys import KeyList
 from tablesync.operators.reconcile import compare_counts, overlength
-from tablesync.session import folder_exists, reliable, staged
+from tablesync.session import reliable, staged
+from tablesync.sinks.history import RunHistory
 from tablesync.sinks.target import TargetTable
 from tablesync.sources.frames import empty_frame
 
 TENANT = "schema_name"
-RUN_LOG = "app_id string, table_name string, status string, message string"
 
 
 class SourceTables(Protocol):
@@ -50,6 +51,7 @@ def load_tables(
     target_of: Callable[[str], TargetTable],
     log_path: str,
     limits: Mapping[str, Mapping[str, int]] | None = None,
+    run_ts: datetime | None = None,
 ) -> DataFrame:
     """Load every (``schema_name``, ``table_name``) of the plan; return the run log.
 
@@ -59,7 +61,12 @@ def load_tables(
     ``limits`` allows the columns of a table name. Only tenants that pass are
     published; the others keep the rows they had and are logged. A name
     that fails is logged and the others go on.
+
+    The log of each run is kept below ``log_path`` (see :class:`RunHistory`,
+    which also has a plan for the tables to be tried again).
     """
+    history, at = RunHistory(log_path), run_ts or datetime.now(timezone.utc)
+    run = uuid.uuid4().hex
     # Fixed before the first write, which may change the catalog it comes from.
     plan = reliable(plan.select(TENANT, "table_name").distinct())
     for row in plan.select("table_name").distinct().toLocalIterator():
@@ -67,14 +74,10 @@ def load_tables(
         tenants = plan.where(F.col("table_name") == name).select(TENANT)
         try:
             log = _load_one(spark, source, name, tenants, target_of(name), (limits or {}).get(name, {}))
-            log.write.mode("overwrite").parquet(f"{log_path}/table={name}")
+            history.record(log, run, at, name)
         except Exception as error:  # noqa: BLE001 - whatever went wrong goes to the log
-            _failed(tenants, name, str(error)).write.mode("overwrite").parquet(
-                f"{log_path}/table={name}"
-            )
-    if not folder_exists(spark, log_path):
-        return empty_frame(spark, RUN_LOG)
-    return spark.read.schema(RUN_LOG).option("recursiveFileLookup", "true").parquet(log_path)
+            history.record(_failed(tenants, name, str(error)), run, at, name)
+    return history.of(spark, run)
 
 
 def _load_one(
@@ -184,7 +187,7 @@ def full_load(
     control table (see ``replace_folder``), and decides whether to raise.
     """
     plan = full_load_plan(control, tables).withColumnRenamed("app_id", TENANT)
-    run_log = load_tables(spark, source, plan, target_of, log_path, limits)
+    run_log = load_tables(spark, source, plan, target_of, log_path, limits, run_ts)
     return run_log, clear_flags(control, run_log, run_ts, only_run=True)
 
 

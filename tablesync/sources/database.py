@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -66,41 +67,55 @@ def read_snapshot(
     )
 
 
-def split_query(table: str, column: str, parts: int) -> str:
-    """SQL for the first key of each of ``parts`` equally full ranges of a table.
+def _literal(key: object) -> str:
+    """A key as SQL text."""
+    if isinstance(key, str):
+        return quote_literal(key)
+    if isinstance(key, datetime):
+        return f"TIMESTAMP '{key:%Y-%m-%d %H:%M:%S.%f}'"
+    return f"DATE '{key}'" if isinstance(key, date) else str(key)
 
-    The database cuts by row count, so a crowded stretch of keys gets as many
-    ranges as its rows need. The result has one row per range.
+
+def probe_query(table: str, column: str, after: object = None, skip: int = 0) -> str:
+    """SQL for the key ``skip`` rows after the first one beyond ``after``, in the database's own order of keys.
+
+    An index on the column is read from there on, and nothing is sorted.
     """
-    return (
-        f"SELECT part, MIN(k) AS first_key FROM (SELECT {column} AS k, "
-        f"NTILE({parts}) OVER (ORDER BY {column}) AS part FROM {table}) ranges GROUP BY part"
-    )
+    beyond = f"{column} IS NOT NULL" if after is None else f"{column} > {_literal(after)}"
+    return f"SELECT {column} AS first_key FROM {table} WHERE {beyond} ORDER BY {column} LIMIT 1 OFFSET {skip}"
 
 
 def find_splits(
-    spark: SparkSession, conn: Connection, table: str, column: str, parts: Mapping[str, int]
+    spark: SparkSession, conn: Connection, table: str, column: str, tenants: Iterable[str], rows: int
 ) -> dict[tuple[str, str], list[object]]:
-    """First keys of the ranges to read large tenants in: ``parts`` ranges of each.
+    """First keys of the ranges to read large tenants in, of about ``rows`` rows each.
 
-    For ``DatabaseTables.splits``. One query per large tenant; the rows that
-    come back are as many as the ranges.
+    For ``DatabaseTables.splits``. The keys are found step by step along the
+    column's index, one short query a range. Rows of one key are never parted, so a key with more rows
+    makes its range that much larger.
     """
     found = {}
-    for tenant, n in parts.items():
+    for tenant in tenants:
         full_name = quote_identifier(tenant, table, quote=conn.quote)
-        keys = lower_columns(read_query(spark, conn, split_query(full_name, column, n)))
-        found[table, tenant] = [row["first_key"] for row in keys.collect()]
+        keys: list[object] = []
+        while True:
+            query = probe_query(full_name, column, keys[-1] if keys else None, rows - 1 if keys else 0)
+            row = lower_columns(read_query(spark, conn, query)).first()
+            if row is None:
+                break
+            keys.append(row["first_key"])
+        found[table, tenant] = keys
     return found
 
 
 def range_predicates(column: str, first_keys: Sequence[object]) -> list[str]:
     """Predicates that cover every row once: below, between and above the keys.
 
+    ``first_keys`` come in the database's order, which need not be Python's.
     Rows with a null in ``column`` go with the first range.
     """
-    cuts = sorted(dict.fromkeys(k for k in first_keys if k is not None))[1:]
-    text = [quote_literal(k) if isinstance(k, str) else str(k) for k in cuts]
+    cuts = list(dict.fromkeys(k for k in first_keys if k is not None))[1:]
+    text = [_literal(k) for k in cuts]
     if not text:
         return ["1 = 1"]
     middle = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(text, text[1:])]
@@ -126,9 +141,10 @@ def count_query(query: str) -> str:
 class DatabaseTables:
     """The tenants' tables of a database, one frame per table name.
 
-    Every tenant is a partition of the read. ``splits`` lists, per table and
-    tenant, the first keys of the ranges a large tenant is read in (see
-    :func:`split_query`), so that no task has to read such a tenant whole.
+    Small tenants are read ``batch`` at a time by one query, a partition of the
+    read. ``splits`` lists, per table and tenant, the first keys of the ranges a
+    large tenant is read in (see :func:`find_splits`); each range is a query of
+    its own. So the database reads every row once, and no task a large tenant whole.
     Needs the JDBC connector, which takes one predicate per partition.
     """
 
@@ -137,34 +153,26 @@ class DatabaseTables:
     split_columns: Mapping[str, str] = field(default_factory=dict)
     splits: Mapping[tuple[str, str], Sequence[object]] = field(default_factory=dict)
     batch: int = TENANT_BATCH
-    # A partition holds rows of one tenant only.
-    by_tenant: bool = True
+    # A partition may hold rows of several tenants.
+    by_tenant: bool = False
     #: How the database spells checksums, and the decimals of fractions that count; without it none are compared.
     dialect: Dialect | None = None
     digits: int = 6
 
-    def predicates(self, table: str, tenants: Iterable[str]) -> list[str]:
-        found = []
-        for tenant in tenants:
-            mine = f"{TENANT} = {quote_literal(tenant)}"
-            keys = self.splits.get((table, tenant))
-            if keys is None:
-                found.append(mine)
-            else:
-                ranges = range_predicates(self.split_columns[table], keys)
-                found.extend(f"{mine} AND {cut}" for cut in ranges)
-        return found
-
     def reads(self, table: str, tenants: DataFrame) -> Iterator[tuple[str, list[str]]]:
-        """SQL text and partition predicates, for one batch of tenants at a time."""
-        names: list[str] = []
+        """SQL text, and a predicate for each partition that it is read in."""
+        small: list[str] = []
         for row in tenants.select(TENANT).distinct().toLocalIterator():
-            names.append(row[TENANT])
-            if len(names) == self.batch:
-                yield tenants_query(self.conn, table, names), self.predicates(table, names)
-                names = []
-        if names:
-            yield tenants_query(self.conn, table, names), self.predicates(table, names)
+            name = row[TENANT]
+            if keys := self.splits.get((table, name)):
+                yield tenants_query(self.conn, table, [name]), range_predicates(self.split_columns[table], keys)
+                continue
+            small.append(name)
+            if len(small) == self.batch:
+                yield tenants_query(self.conn, table, small), ["1 = 1"]
+                small = []
+        if small:
+            yield tenants_query(self.conn, table, small), ["1 = 1"]
 
     def table(self, name: str, tenants: DataFrame) -> DataFrame:
         """All rows of the table ``name`` of the given tenants."""

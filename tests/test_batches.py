@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from tablesync.operators import batches as b
 
 
@@ -35,3 +37,21 @@ def test_members_and_initials(spark):
     assert b.batch_members(index, tenants).count() == 2
     assert [r.schema_name for r in b.initial_filter(index).collect()] == ["Pat"]
     assert b.initial_filter(index, ["x"]).count() == 1
+
+
+def test_runs_of_the_same_weight(spark):
+    rng = random.Random(3)
+    weights = {f"app{i}": rng.choice([0, 1, 5, 30, 200]) for i in range(300)} | {"giant": 90_000, None: 17}
+    rows = [(n, w // 2) for n, w in weights.items()] + [(n, w - w // 2) for n, w in weights.items()]
+    df = spark.createDataFrame(rows, "schema_name string, weight long").repartition(5)
+    found = b.batch_by_weight(df, 7).collect()
+    total, pieces, runs = sum(weights.values()), {}, {}
+    for r in found:
+        pieces[r.schema_name] = pieces.get(r.schema_name, 0) + r.weight
+        runs[r.batch_id] = runs.get(r.batch_id, 0) + r.weight
+    assert pieces == weights and set(runs) == set(range(7))
+    assert max(runs.values()) <= total / 7 * 9 / 8 + 1
+    giant = [r for r in found if r.schema_name == "giant"]
+    assert len(giant) == giant[0].n_pieces > 40 and len({r.batch_id for r in giant}) > 5
+    assert b.batch_by_weight(df.limit(0), 3).count() == 0
+    assert {r.batch_id for r in b.batch_by_weight(df.withColumn("weight", F.lit(0)), 3).collect()} == {0}

@@ -1,5 +1,7 @@
 """No database is started: SQL text runs in DuckDB, option setting on a stand-in."""
 
+from datetime import date, datetime
+
 import duckdb
 import pytest
 
@@ -80,32 +82,49 @@ def duck():
     return con
 
 
-def test_tenant_reads_cover_every_row_once(spark, duck):
-    keys = [r[1] for r in sorted(duck.sql(d.split_query("app1.t", "seq", 6)).fetchall())]
-    tables = d.DatabaseTables(
-        spark, CONN, split_columns={"t": "seq"}, splits={("t", "app1"): keys}, batch=1
-    )
-    tenants = spark.createDataFrame([("app1",), ("o'x",), ("app1",)], "schema_name string")
+def asking(duck, seen):
+    def ask(spark, conn, query):
+        seen.append(query)
+        rows = duck.sql(query).fetchall()
+        return spark.createDataFrame(rows, "FIRST_KEY long")
+
+    return ask
+
+
+def test_tenant_reads_cover_every_row_once(spark, duck, monkeypatch):
+    seen = []
+    monkeypatch.setattr(d, "read_query", asking(duck, seen))
+    splits = d.find_splits(spark, CONN, "t", "seq", ["app1"], 150)
+    keys = splits["t", "app1"]
+    # A third of all rows has one key; the others are in ranges of 150.
+    assert keys[0] == 2 and len(keys) in (4, 5) and len(seen) == len(keys) + 1
+    assert not any("OVER" in q or "GROUP" in q for q in seen)
+    tables = d.DatabaseTables(spark, CONN, split_columns={"t": "seq"}, splits=splits, batch=2)
+    duck.execute("create schema app3; create table app3.t as select 1 as seq, 1 as n")
+    tenants = spark.createDataFrame([("app1",), ("o'x",), ("app1",), ("app3",)], "schema_name string")
     reads = list(tables.reads("t", tenants))
-    assert len(reads) == 2
+    # The large tenant alone, in its ranges; the small ones together, once.
+    assert sorted(len(predicates) for _, predicates in reads) == [1, len(keys)]
+    assert all(("UNION ALL" in query) == (predicates == ["1 = 1"]) for query, predicates in reads)
     found = []
     for query, predicates in reads:
         for predicate in predicates:
-            sql = f"select schema_name, n from ({query}) x where {predicate}"
-            found += duck.sql(sql).fetchall()
-    assert len(found) == len(set(found)) == 907
-    assert {t for t, _ in found} == {"app1", "o'x"}
+            found.append(duck.sql(f"select schema_name, n from ({query}) x where {predicate}").fetchall())
+    assert max(map(len, found)) < 300 + 2 * 150
+    rows = [row for part in found for row in part]
+    assert len(rows) == len(set(rows)) == 908
     counts = dict(row for query, _ in reads for row in duck.sql(d.count_query(query)).fetchall())
-    assert counts == {"app1": 900, "o'x": 7}
+    assert counts == {"app1": 900, "o'x": 7, "app3": 1}
 
 
-def test_splits_follow_the_rows(spark, duck, monkeypatch):
-    def ask(spark, conn, query):
-        return spark.createDataFrame(duck.sql(query).fetchall(), "PART long, FIRST_KEY long")
-
-    monkeypatch.setattr(d, "read_query", ask)
-    found = d.find_splits(spark, CONN, "t", "seq", {"app1": 4})
-    assert list(found) == [("t", "app1")] and len(found["t", "app1"]) == 4
+def test_ranges_follow_the_order_of_the_database(duck):
+    duck.execute("create table words as select unnest(['b', 'A', 'a', 'C', 'c', 'B', null]) as k")
+    found, keys = [], []
+    while row := duck.sql(d.probe_query("words", "k COLLATE NOCASE", keys[-1] if keys else None, 1 if keys else 0)).fetchall():
+        keys.append(row[0][0])
+    for predicate in d.range_predicates("k COLLATE NOCASE", keys):
+        found += duck.sql(f"select k from words where {predicate}").fetchall()
+    assert sorted(str(k) for k, in found) == sorted(["b", "A", "a", "C", "c", "B", "None"])
 
 
 def test_ranges():
@@ -113,6 +132,8 @@ def test_ranges():
     assert d.range_predicates("k", ["a", "m", "t"]) == [
         "(k < 'm' OR k IS NULL)", "k >= 'm' AND k < 't'", "k >= 't'",
     ]
+    days = [datetime(2024, 1, 1), datetime(2024, 2, 1, 3), date(2024, 3, 1)]
+    assert d.range_predicates("k", days)[1] == "k >= TIMESTAMP '2024-02-01 03:00:00.000000' AND k < DATE '2024-03-01'"
 
 
 def test_checksums_of_tenants(spark, monkeypatch):
