@@ -333,6 +333,7 @@ STATEMENTS["merge_table"] = f"""
 select concat('app', cast(id % 5 as varchar)) as schema_name, id, amount, last_type
 from ({STATEMENTS["apply_changes"]}) r
 """
+STATEMENTS["split_buckets"] = STATEMENTS["merge_table"]
 STATEMENTS["stream_changes"] = f"""
 select concat('schema_name=app', cast(id % 5 as varchar)) as schema_name, id, amount, last_type
 from ({STATEMENTS["apply_changes"]}) r

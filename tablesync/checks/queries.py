@@ -204,6 +204,20 @@ def merge_table(spark: SparkSession, sf: str) -> DataFrame:
     return target.current(spark).select("schema_name", "id", "amount", "last_type")
 
 
+def split_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored table whose tenants get more buckets between two merges, the second by a job with other counts."""
+    target = _changed_table(spark, scratch_path(spark, "buckets"))
+    first = v.target_snapshot(spark, sf).withColumn("schema_name", _tenant())
+    target.load(first, first.select("schema_name"))
+    rows = v.changes(spark, sf).withColumn("schema_name", _tenant())
+    late = F.dayofmonth("ts") < 20
+    target.merge(rows.where(~late), op_col="op")
+    target.split(spark, "app1", 2)
+    target.split(spark, "app3")
+    replace(target, buckets=7, tenant_buckets={}).merge(rows.where(late), op_col="op")
+    return target.current(spark).select("schema_name", "id", "amount", "last_type")
+
+
 def partial_changes(spark: SparkSession, sf: str) -> DataFrame:
     """Changes without ``last_type`` on a stored table: its values stay."""
     target = _changed_table(spark, scratch_path(spark, "partial"))
@@ -607,6 +621,7 @@ QUERIES: dict[str, Query] = {
     "apply_changes": apply_changes,
     "late_changes": late_changes,
     "merge_table": merge_table,
+    "split_buckets": split_buckets,
     "stream_changes": stream_changes,
     "partial_changes": partial_changes,
     "tied_changes": tied_changes,

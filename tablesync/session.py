@@ -95,6 +95,34 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     system.delete(folder, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that is there whole or not at all; one of that name is not replaced."""
+    system, target = _folder(spark, path)
+    new = _folder(spark, f"{path}.{uuid.uuid4().hex}.new")[1]
+    out = system.create(new)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if system.exists(target) or not system.rename(new, target):
+        system.delete(new, False)
+        raise OSError(f"{path} is there already")
+
+
+def read_last_text(spark: SparkSession, folder: str, suffix: str) -> tuple[str, str] | None:
+    """Name and text of the small file that comes last by name."""
+    system, place = _folder(spark, folder)
+    if not system.exists(place):
+        return None
+    found = [entry for entry in system.listStatus(place) if entry.getPath().getName().endswith(suffix)]
+    if not found:
+        return None
+    last = max(found, key=lambda entry: entry.getPath().getName())
+    source = system.open(last.getPath())
+    try:
+        return last.getPath().getName(), bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
 def move_file(spark: SparkSession, path: str, to: str) -> None:
     """Move a file, into folders that are made if they are not there."""
     system, source = _folder(spark, path)

@@ -20,6 +20,7 @@ from tablesync.operators.cdc import (
 )
 from tablesync.operators.keys import KeyList, row_bytes
 from tablesync.session import folder_exists, staged, wide_shuffle
+from tablesync.sinks.layout import CLEAN, COPY, Layout, bucket_number, parted_bucket, stored_layout
 
 BUCKET = "key_bucket"
 
@@ -40,8 +41,9 @@ class TargetTable:
 
     A tenant's rows lie in ``buckets`` partitions by a hash of the merge keys,
     so a few changes do not rewrite the whole tenant; ``tenant_buckets`` gives
-    large tenants more. Both are part of the layout and must not change while
-    the table has rows. Stored besides the data are the order columns and the
+    large tenants more. Both are what a new table starts with: its layout is
+    stored with it, and :meth:`split` adds buckets to a tenant that has grown.
+    Stored besides the data are the order columns and the
     flag ``deleted``: deleted rows stay as tombstones, so an older change that
     arrives late cannot bring them back. Tenant names are stored in lower case,
     since the same tenant is spelled differently in catalogs and file paths.
@@ -64,11 +66,17 @@ class TargetTable:
     def partitions(self) -> list[str]:
         return [self.tenant, BUCKET]
 
-    def n_buckets(self) -> Column:
-        count = F.lit(self.buckets)
-        for name, own in self.tenant_buckets.items():
-            count = F.when(F.col(self.tenant) == name.lower(), F.lit(own)).otherwise(count)
-        return count
+    def layout(self, spark: SparkSession) -> Layout:
+        """The stored bucket counts, or those a new table starts with."""
+        own = {name.lower(): count for name, count in self.tenant_buckets.items()}
+        return stored_layout(spark, self.path) or Layout(self.buckets, own)
+
+    def _settled_layout(self, spark: SparkSession) -> Layout:
+        """The layout, after what a broken :meth:`split` has left is done."""
+        layout = self.layout(spark)
+        for tenant in sorted(layout.moving):
+            layout = self._finish_split(spark, layout, tenant)
+        return layout
 
     def _own_names(self, df: DataFrame) -> DataFrame:
         """Tenant names in lower case; an empty one would be stored as null, and is refused."""
@@ -77,16 +85,57 @@ class TargetTable:
             self.tenant, F.when(F.col(self.tenant) == "", empty).otherwise(F.lower(self.tenant))
         )
 
-    def with_bucket(self, df: DataFrame) -> DataFrame:
-        hashed = F.xxhash64(*[F.col(f"`{k}`") for k in self.keys])
-        return df.withColumn(BUCKET, F.pmod(hashed, self.n_buckets()).cast("int"))
+    def _hash(self) -> Column:
+        return F.xxhash64(*[F.col(f"`{k}`") for k in self.keys])
+
+    def with_bucket(self, df: DataFrame, layout: Layout) -> DataFrame:
+        return df.withColumn(BUCKET, layout.number(self.tenant, self._hash()))
 
     def read(self, spark: SparkSession) -> DataFrame:
         """All stored rows, tombstones included."""
         schema = self.stored_schema(spark)
         if not folder_exists(spark, self.path):
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(self.path)
+        rows, layout = spark.read.schema(schema).parquet(self.path), self.layout(spark)
+        if layout.moving:
+            settled = ~F.col(self.tenant).isin(sorted(layout.moving))
+            rows = rows.where(settled | (F.col(BUCKET) == layout.number(self.tenant, self._hash())))
+        return rows
+
+    def split(self, spark: SparkSession, tenant: str, times: int = 1) -> None:
+        """Add buckets to a tenant that has grown; each step rewrites one of its buckets.
+
+        Readers see every row once at any time. If the job ends in between, the
+        next one that writes the table goes on where it ended.
+        """
+        name = tenant.lower()
+        layout = self._settled_layout(spark)
+        for _ in range(times):
+            layout = layout.changed(name, layout.of(name), COPY).store(spark, self.path)
+            layout = self._finish_split(spark, layout, name)
+
+    def _finish_split(self, spark: SparkSession, layout: Layout, name: str) -> Layout:
+        """Part a bucket: rows that move are copied, then the layout is changed, then they go from where they were."""
+        schema = self.stored_schema(spark)
+
+        def write(source: int, number: int, count: int) -> None:
+            """Rows of the bucket ``source`` that belong to ``number`` among ``count``, as that bucket."""
+            mine = (F.col(self.tenant) == name) & (F.col(BUCKET) == source)
+            rows = spark.read.schema(schema).parquet(self.path).where(mine).withColumn(BUCKET, bucket_number(self._hash(), count))
+            # A hidden row has the partition written even if nothing is in it.
+            hidden = spark.range(1).select(
+                F.lit(name).alias(self.tenant), F.lit(number).alias(BUCKET), F.lit(True).alias(DELETED)
+            )
+            with staged(rows.where(F.col(BUCKET) == number).unionByName(hidden, allowMissingColumns=True), "split") as kept:
+                self._write(kept)
+
+        if layout.moving[name] == COPY:
+            added = layout.of(name)
+            write(parted_bucket(added), added, added + 1)
+            layout = layout.changed(name, added + 1, CLEAN).store(spark, self.path)
+        count = layout.of(name)
+        write(parted_bucket(count - 1), parted_bucket(count - 1), count)
+        return layout.changed(name, count, None).store(spark, self.path)
 
     def tenants(self, spark: SparkSession) -> DataFrame:
         """The distinct tenants that have the table, with or without rows."""
@@ -156,17 +205,21 @@ class TargetTable:
             rows = align(rows, T.StructType.fromDDL(self.schema), ("table_name",))
         elif not set(self.order) <= set(rows.columns):
             raise ValueError("rows without order columns need a target with a declared schema")
-        full = self.with_bucket(self._own_names(rows).withColumn(DELETED, F.lit(False)))
+        spark = rows.sparkSession
+        layout = self._settled_layout(spark)
+        full = self.with_bucket(self._own_names(rows).withColumn(DELETED, F.lit(False)), layout)
         hidden = (
             self._own_names(tenants.select(self.tenant))
             .distinct()
-            .withColumn(BUCKET, F.explode(F.sequence(F.lit(0), self.n_buckets() - 1)))
+            .withColumn(BUCKET, F.explode(F.sequence(F.lit(0), layout.count(self.tenant) - 1)))
             .withColumn(DELETED, F.lit(True))
         )
         everything = full.unionByName(hidden, allowMissingColumns=True)
         if not by_tenant:
             everything = everything.hint("rebalance", *self.partitions)
         self._write(everything)
+        if layout.version < 0:
+            layout.store(spark, self.path)
 
     def merge(
         self,
@@ -188,6 +241,7 @@ class TargetTable:
         if not self.keys or not self.order:
             raise ValueError("merging needs keys and order columns")
         spark = changes.sparkSession
+        layout = self._settled_layout(spark)
         stored = self.read(spark)
         wanted = T.StructType([f for f in stored.schema.fields if f.name not in (DELETED, BUCKET)])
         operation = [] if op_col is None else [T.StructField(op_col, T.StringType())]
@@ -200,7 +254,7 @@ class TargetTable:
         newest = latest_change(with_deleted(data.drop(*kept), op_col, delete_code), self.row_key, self.order)
         ties = tie_columns(newest.schema, stored.schema, self.row_key, self.order)
         newest = newest.withColumns({n: F.lit(None).cast(wanted[n].dataType) for n in kept})
-        ready = self.with_bucket(newest.select(*wanted.fieldNames(), DELETED))
+        ready = self.with_bucket(newest.select(*wanted.fieldNames(), DELETED), layout)
         with staged(ready, "changes") as change:
             touched = self._touched(change)
             if touched.partitions == 0:
@@ -214,6 +268,8 @@ class TargetTable:
             merged = self._merged(base, change, small, crowded, ties, kept)
             with wide_shuffle(spark, size + touched.bytes):
                 self._write(merged)
+            if layout.version < 0:
+                layout.store(spark, self.path)
 
     def _touched(self, change: DataFrame) -> Touched:
         """Size and partitions of the changes, counted in one pass."""
