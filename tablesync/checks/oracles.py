@@ -325,6 +325,12 @@ select app_id, table_name, status, concat('run', cast(9 - n as varchar)) as run,
 from (select *, row_number() over (partition by app_id, table_name order by n desc) as rn from logs) r where rn = 1
 """
 
+STATEMENTS["declared_types"] = """
+select concat('schema_name=app', cast(id % 3 as varchar)) as schema_name, id,
+       cast(cast(case when id % 3 = 1 then cast(amount as decimal(12,3)) else trunc(amount) end as decimal(22,3)) as varchar) as total
+from (select *, row_number() over (partition by id order by seq desc) as rn from changes) c where rn = 1
+"""
+
 # Other ways to the result of a statement above.
 STATEMENTS["ledger_changes"] = STATEMENTS["routed_changes"]
 STATEMENTS["late_changes"] = STATEMENTS["apply_changes"]

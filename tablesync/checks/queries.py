@@ -18,6 +18,7 @@ from tablesync.functions.names import (
     timestamp_text,
 )
 from tablesync.operators import batches, catalog, cdc, checksums, control, reconcile
+from tablesync.plans.catalogs import Shape
 from tablesync.plans.changes import Route, apply_new
 from tablesync.plans.increments import pull_increment
 from tablesync.plans.loads import full_load, load_missing
@@ -370,6 +371,34 @@ def routed_changes(spark: SparkSession, sf: str) -> DataFrame:
     return _routed_rows(spark, routes)
 
 
+def declared_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes of tenants whose columns have different types, in targets the column catalog declares."""
+    folder = scratch_path(spark, "declared")
+    kinds = {"app0": ("int", None), "app1": ("number", 12), "app2": ("bigint", None)}
+    rows = [
+        row
+        for tenant, (kind, digits) in kinds.items()
+        for row in [
+            (f"schema_name={tenant}", "table_name=sums", "id", "bigint", None, None),
+            (f"schema_name={tenant}", "table_name=sums", "total", kind, digits, digits and 3),
+        ]
+    ]
+    columns = spark.createDataFrame(
+        rows,
+        "table_schema string, table_name string, column_name string, data_type string, "
+        "numeric_precision int, numeric_scale int",
+    )
+    changes = v.changes(spark, sf).withColumn("schema_name", F.concat(F.lit("app"), (F.col("id") % 3).cast("string")))
+    for tenant, kind in (("app0", "int"), ("app1", "decimal(12,3)"), ("app2", "bigint")):
+        lot = changes.where(F.col("schema_name") == tenant).select("id", F.col("amount").cast(kind).alias("total"), "seq")
+        lot.write.json(f"{folder}/landing/schema_name={tenant}/table_name=sums")
+    shape = Shape(f"{folder}/tables", ("seq",), "seq bigint", keys={"table_name=sums": ["id"]})
+    routes = {"table_name=sums": shape.route(columns, "table_name=sums", "json")}
+    apply_new(spark, f"{folder}/landing", routes, FileLedger(f"{folder}/ledger"))
+    found = routes["table_name=sums"].target.current(spark)
+    return found.select("schema_name", "id", F.col("total").cast("string").alias("total"))
+
+
 # Control table and loads ------------------------------------------------------
 
 
@@ -628,6 +657,7 @@ QUERIES: dict[str, Query] = {
     "quarantine_rows": quarantine_rows,
     "ledger_changes": ledger_changes,
     "routed_changes": routed_changes,
+    "declared_types": declared_types,
     "insert_if_absent": insert_if_absent,
     "control_rewrite": control_rewrite,
     "fullload_plan": full_load_plan,

@@ -75,6 +75,12 @@ TOO_LONG_MESSAGE = "is too long and would be truncated"
 # Spark types for the data types a warehouse's column catalog names. Numbers
 # follow their precision and scale; without these they stay text.
 DATA_TYPES = {
+    "smallint": "smallint",
+    "int": "int",
+    "integer": "int",
+    "bigint": "bigint",
+    "double": "double",
+    "datetime": "timestamp_ntz",
     "float": "double",
     "boolean": "boolean",
     "text": "string",

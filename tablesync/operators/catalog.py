@@ -18,6 +18,7 @@ from tablesync.config import (
 )
 from tablesync.functions.names import lower_columns, lower_values, qualified, same_name, stamped
 from tablesync.operators.keys import KeyList
+from tablesync.operators.widening import wider_type
 
 
 def catalog_snapshot(
@@ -86,37 +87,32 @@ def column_catalog(
 def declared_schema(columns: DataFrame, table_name: str) -> T.StructType:
     """The columns a table name has in a column catalog, for :func:`cdc.align`.
 
-    A column of unknown type, or of different types in different tenants,
-    becomes a string, which loses nothing. So does a number whose scale the
-    catalog does not tell, or that needs more than 38 digits to hold all tenants'.
+    A column that has different types in different tenants gets the narrowest that holds all of them
+    exactly (see :func:`widening.wider`); one of unknown type becomes a string, which loses nothing. So
+    does a number whose scale the catalog does not tell.
     """
-    mine = columns.where(same_name("table_name") == table_name.upper())
-    kind = F.lower("data_type")
-    precision, scale = (
+    sizes = [
         F.col(name).cast("int") if name in columns.columns else F.lit(None).cast("int") for name in SIZE_COLUMNS
-    )
-    # One row per column name of one table.
+    ]
+    # A few rows per column of one table: as many as it has types.
     found = (
-        mine.groupBy(F.lower("column_name").alias("name"))
-        .agg(
-            F.min(kind).alias("first"),
-            F.max(kind).alias("last"),
-            F.max(precision - scale).alias("whole"),
-            F.max(scale).alias("scale"),
-            F.count_if((precision - scale).isNull()).alias("unsized"),
-        )
-        .orderBy("name")
+        columns.where(same_name("table_name") == table_name.upper())
+        .select(F.lower("column_name").alias("name"), F.lower("data_type").alias("kind"), *[
+            size.alias(name) for size, name in zip(sizes, ("precision", "scale"))
+        ])
+        .distinct()
         .collect()
     )
-    fields = []
+    kinds: dict[str, list[T.DataType]] = {}
     for row in found:
-        declared = "string"
-        if row["first"] == row["last"]:
-            declared = DATA_TYPES.get(row["first"], "string")
-            if row["first"] in NUMBER_TYPES and not row["unsized"] and row["whole"] + row["scale"] <= 38:
-                declared = f"decimal({row['whole'] + row['scale']},{row['scale']})"
-        fields.append(f"`{row['name']}` {declared}")
-    return T.StructType.fromDDL(", ".join(fields)) if fields else T.StructType([])
+        kinds.setdefault(row["name"], []).append(_declared_type(row["kind"], row["precision"], row["scale"]))
+    return T.StructType([T.StructField(name, wider_type(kinds[name])) for name in sorted(kinds)])
+
+
+def _declared_type(kind: str, precision: int | None, scale: int | None) -> T.DataType:
+    if kind in NUMBER_TYPES and precision is not None and scale is not None and precision <= 38:
+        return T.DecimalType(precision, scale)
+    return T.StructType.fromDDL(f"x {DATA_TYPES.get(kind, 'string')}")["x"].dataType
 
 
 def available_tables(columns: DataFrame) -> DataFrame:

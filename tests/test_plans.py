@@ -15,6 +15,7 @@ WRITING = {
     "control_rewrite",
     "ledger_changes",
     "routed_changes",
+    "declared_types",
     "split_buckets",
     "run_history",
     "bookmark_reads",
