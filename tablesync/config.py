@@ -110,5 +110,8 @@ MAX_SHUFFLE_PARTITIONS = 100_000
 # Touched partitions are put into a static partition filter up to this many.
 MAX_PARTITION_LIST = 10_000
 
+# Up to this many, their folders are looked up one by one, and the table's others are not listed.
+MAX_FOLDER_LIST = 1_000
+
 # Landing files one run of a batch job applies; their names pass through the driver.
 MAX_RUN_FILES = 10_000

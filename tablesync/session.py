@@ -89,6 +89,21 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in system.listStatus(folder) if entry.isDirectory()]
 
 
+def partition_folder(spark: SparkSession, **values: object) -> str:
+    """The folder of a partition, as Spark names it below a table's own."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return "/".join(f"{name}={escape(str(value))}" for name, value in values.items())
+
+
+def folder_files(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """Number and bytes of the data files right in a folder; None if there is no such folder."""
+    system, folder = _folder(spark, path)
+    if not system.exists(folder):
+        return None
+    sizes = [e.getLen() for e in system.listStatus(folder) if e.isFile() and e.getPath().getName()[0] not in "._"]
+    return len(sizes), sum(sizes)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove ``path`` and what is below it."""
     system, folder = _folder(spark, path)

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tablesync.config import BROADCAST_BYTES, FILE_BYTES, MAX_PARTITION_LIST
+from tablesync.config import BROADCAST_BYTES, FILE_BYTES, MAX_FOLDER_LIST, MAX_PARTITION_LIST
 from tablesync.operators.cdc import (
     DELETE_CODE,
     DELETED,
@@ -19,7 +19,7 @@ from tablesync.operators.cdc import (
     with_deleted,
 )
 from tablesync.operators.keys import KeyList, row_bytes
-from tablesync.session import folder_exists, staged, wide_shuffle
+from tablesync.session import folder_exists, folder_files, partition_folder, staged, wide_shuffle
 from tablesync.sinks.layout import CLEAN, COPY, Layout, bucket_number, parted_bucket, stored_layout
 
 BUCKET = "key_bucket"
@@ -242,8 +242,8 @@ class TargetTable:
             raise ValueError("merging needs keys and order columns")
         spark = changes.sparkSession
         layout = self._settled_layout(spark)
-        stored = self.read(spark)
-        wanted = T.StructType([f for f in stored.schema.fields if f.name not in (DELETED, BUCKET)])
+        schema = self.stored_schema(spark)
+        wanted = T.StructType([f for f in schema.fields if f.name not in (DELETED, BUCKET)])
         operation = [] if op_col is None else [T.StructField(op_col, T.StringType())]
         present = {name.lower() for name in changes.columns}
         needed = {name.lower() for name in (*self.row_key, *self.order, *([op_col] if op_col else []))}
@@ -252,7 +252,7 @@ class TargetTable:
         kept = [f.name for f in wanted.fields if f.name.lower() not in present]
         data = self._own_names(align(changes, T.StructType([*wanted.fields, *operation]), ignored))
         newest = latest_change(with_deleted(data.drop(*kept), op_col, delete_code), self.row_key, self.order)
-        ties = tie_columns(newest.schema, stored.schema, self.row_key, self.order)
+        ties = tie_columns(newest.schema, schema, self.row_key, self.order)
         newest = newest.withColumns({n: F.lit(None).cast(wanted[n].dataType) for n in kept})
         ready = self.with_bucket(newest.select(*wanted.fieldNames(), DELETED), layout)
         with staged(ready, "changes") as change:
@@ -261,8 +261,11 @@ class TargetTable:
                 return
             if touched.without_key:
                 raise ValueError(f"{touched.without_key} changes without a value in {self.row_key}")
-            base = self._in_partitions(stored, change, [BUCKET, self.tenant], touched.spots)
-            files, size = self._layout(spark, change, touched)
+            if touched.spots is not None and len(touched.spots) <= MAX_FOLDER_LIST:
+                base, files, size = self._touched_folders(spark, schema, touched.spots)
+            else:
+                base = self._in_partitions(self.read(spark), change, [BUCKET, self.tenant], touched.spots)
+                files, size = self._touched_files(spark, change, touched)
             small = touched.bytes <= broadcast_bytes
             crowded = files > 2 * (touched.partitions + size / FILE_BYTES)
             merged = self._merged(base, change, small, crowded, ties, kept)
@@ -294,7 +297,20 @@ class TargetTable:
         # Only partition columns: decides which folders are read.
         return stored.where(F.concat_ws("/", *on).isin(spots))
 
-    def _layout(self, spark: SparkSession, change: DataFrame, touched: Touched) -> tuple[int, int]:
+    def _touched_folders(self, spark: SparkSession, schema: T.StructType, spots: list[str]) -> tuple[DataFrame, int, int]:
+        """Stored rows of a few partitions, and their files and bytes; the table's other folders are not listed."""
+        found = {}
+        for spot in spots:
+            number, name = spot.split("/", 1)
+            folder = f"{self.path}/{partition_folder(spark, **{self.tenant: name, BUCKET: number})}"
+            if (held := folder_files(spark, folder)) is not None:
+                found[folder] = held
+        if not found:
+            return spark.createDataFrame([], schema), 0, 0
+        rows = spark.read.schema(schema).option("basePath", self.path).parquet(*found)
+        return rows, sum(n for n, _ in found.values()), sum(size for _, size in found.values())
+
+    def _touched_files(self, spark: SparkSession, change: DataFrame, touched: Touched) -> tuple[int, int]:
         """Files and bytes of the touched partitions; contents are not read."""
         mine = self._in_partitions(
             self._files(spark), change, [BUCKET, self.tenant], touched.spots

@@ -205,3 +205,21 @@ def test_empty_tenants_are_refused(spark, tmp_path):
     with pytest.raises(Exception, match="empty schema_name"):
         target.load(rows, rows.select("schema_name"))
     assert live(spark, target) == [("a", 1, "x")]
+
+
+@pytest.mark.parametrize("listed", [1000, 0])
+def test_a_merge_lists_only_the_folders_it_touches(spark, tmp_path, monkeypatch, listed):
+    from tablesync.sinks import target as t
+
+    odd = "a b=c/d%e[1]"
+    target = loaded(spark, tmp_path, [(n, i, "x") for n in ("app1", "app2", odd) for i in range(6)], buckets=2)
+    monkeypatch.setattr(t, "MAX_FOLDER_LIST", listed)
+    whole = []
+    read = t.TargetTable.read
+    monkeypatch.setattr(t.TargetTable, "read", lambda self, s: whole.append(1) or read(self, s))
+    changes = [(odd, 3, "y", 1, "U"), ("new one", 1, "z", 1, "U"), ("app2", 2, None, 1, "D")]
+    target.merge(spark.createDataFrame(changes, CHANGE), op_col="op")
+    assert bool(whole) == (listed == 0)
+    monkeypatch.undo()
+    rows = live(spark, target)
+    assert len(rows) == 18 and (odd, 3, "y") in rows and ("new one", 1, "z") in rows and ("app2", 2, "x") not in rows
