@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import written
+from tablesync.llm.common import discard, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -35,9 +35,12 @@ def components(links: DataFrame) -> DataFrame:
             least.select(F.col("m").alias("a"), F.col("n").alias("b"))
         )
         small = written(_ordered(small), "links")
+        discard(large)
         if _same(now, small):
+            discard(now)
             members = small.select(F.col("b").alias("id"), F.col("a").alias("component"))
             return members.union(small.select("a", F.col("a").alias("component")).distinct())
+        discard(now)
         now = small
 
 

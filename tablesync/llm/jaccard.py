@@ -1,34 +1,35 @@
 """Similarity join of shingle sets by parity sketches.
 
-A sketch has words; each shingle is XORed into one of them by its hash. Two
-sets' sketches differ in no more words than the sets have shingles that only
-one of them has. At a similarity of 0.75 that is a seventh of both sizes
-together, so with one word more than this bound (over a band of sizes) at
-least one word is the same in both: sets are joined on equal words, and what
-meets is compared exactly.
-
-Sizes fall into bands of ratio 4/3, so the larger of two similar sets is in the
-band of the smaller or the next; each set has a sketch for its own band and for
-the one below. Sketches of large sets have more words than are joined
-(``JOINED``), small ones are repeated with other hashes up to that number.
-Words without a shingle are left out. At a similarity of exactly 0.75 each
-joined word is the same and not empty with a chance of a third or more, so all
-64 differ with one of about 1e-11, and for more similar sets far less; what two
-sets share decides nothing else.
-
-Sets are first compared with the first set of their words, where they share
-several words with it (``SEVERAL``), and what links is one component. A word
-whose sets are all in one component is done. The sets of all other words get a
-second sketch of fewer, fuller words, of which 224 are joined: similar sets
-share some twenty of them, sets that have a passage in common hardly any. There
-the same is done again; what is still open is compared by signatures of least
-hashes where it meets, and pairs of other components that may be similar go on.
-What links is decided by exact comparison alone.
+A sketch has buckets; each shingle is XORed into one of them by its hash. Two
+sets' sketches differ in no more buckets than the sets have shingles that only
+one of them has, and at a similarity of 0.75 that is a seventh of both sizes
+together. Sketches are used twice:
+
+* *Words.* Buckets of 64 bits are joined on equality. Sizes fall into bands of
+  ratio 4/3, so the larger of two similar sets is in the band of the smaller or
+  the next; each set has words for its own band and for the one below. With one
+  word more than the bound, a word would have to be the same in both sets. Only
+  some are joined (``JOINED``; at 0.75 each is the same, and not empty, with a
+  chance of a third or more): they find nearly all links at little cost, and
+  what they find is settled with the first set of each word.
+* *Bits.* The parity of each bucket is one bit. Sets whose bits differ in more
+  places than the bound are not similar. This is exact; with bits enough, few
+  pairs but similar ones are left to be compared. Of equal sets that one task
+  reads, one takes part.
+
+What the words may have missed is found exactly. Shingles have one order, common
+ones last (by a bounded sample, which bears on the cost and not on the result),
+and similar sets share one among the first quarter of each. Sets that meet there
+and are of different components are held against each other by size and bits: by
+few bits first, to leave out sets without any similar one, then by more. A pair
+goes on at the first shingle both have, and sets are compared whole before they
+link. Shingles that many sets share are dealt out as pairs of blocks.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -36,19 +37,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import map_rows, mix64, pa_schema, written
+from tablesync.llm.common import discard, map_rows, mix64, pa_schema, written
 from tablesync.llm.components import components
 from tablesync.llm.substrings import byte_chunks
 from tablesync.llm.words import run_hashes, word_hashes
 
 SHINGLE = 5
-#: For each sketch: shingles of the larger set to a word, and words that are joined.
-SKETCHES = ((3, 64), (8, 224))
-#: Permutations of a signature, and in how many of them sets must agree to be compared. Sets of a
-#: similarity of 0.75 agree in 96, with a deviation of 5; that they fall short has a chance below 1e-6.
-LEAST, AGREE = 128, 72
+#: Shingles of the larger set to a word, and words of a sketch that are joined.
+FILL, JOINED = 3, 24
 #: Words that a set must share with the first set of a word to be compared before all others.
-SEVERAL = 4
+SEVERAL = 3
+#: Least bits for a shingle of the two bit sketches.
+COARSE, FINE = 1, 8
+#: Documents in the sample of common shingles, how many of them must have one, and how many shingles are kept.
+SAMPLE, COMMON, KEPT_COMMON = 8192, 4, 200_000
+#: First shingles that a set carries along, to tell where a pair meets first.
+FIRST = 4
+#: Sets of a shingle that are held against each other in one group.
+BLOCK = 1024
+#: Digests a task remembers, to tell equal sets; beyond it all are forgotten, and equal sets only cost more.
+KEPT_DIGESTS = 500_000
 
 
 def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -69,9 +77,8 @@ def bands(limit: int = 1 << 40) -> np.ndarray:
     return np.array(found, np.int64)
 
 
-def sketch_keys(hashes: np.ndarray, level: int = 0) -> np.ndarray:
+def sketch_keys(hashes: np.ndarray) -> np.ndarray:
     """A 64-bit key for each joined, not empty word of a set's sketches for its two bands."""
-    fill, joined = SKETCHES[level]
     own = int(np.searchsorted(bands(), len(hashes), side="right")) - 1
     found = []
     for band in (own - 1, own):
@@ -80,142 +87,275 @@ def sketch_keys(hashes: np.ndarray, level: int = 0) -> np.ndarray:
         largest = int(bands()[band + 1]) - 1
         if largest < 3:
             continue  # sets of this size are equal or not similar
-        words = max(2, largest // fill + 1)
-        repeats = -(-joined // words)
-        salts = mix64(np.arange(1, repeats + 1, dtype=np.uint64) + np.uint64(1_000_003 * (2 * band + level + 2)))
+        words = max(2, largest // FILL + 1)
+        repeats = -(-JOINED // words)
+        salts = mix64(np.arange(1, repeats + 1, dtype=np.uint64) + np.uint64(1_000_003 * (2 * band + 2)))
         mixed = mix64(hashes[None, :] ^ salts[:, None])
         word = ((mixed >> np.uint64(32)) * np.uint64(words) >> np.uint64(32)).astype(np.int64)
         word += np.arange(repeats)[:, None] * words
         mixed, word = mixed.ravel(), word.ravel()
         if repeats == 1:
-            mixed, word = mixed[word < joined], word[word < joined]
+            mixed, word = mixed[word < JOINED], word[word < JOINED]
         if not len(word):
             continue
         order = np.argsort(word)
         word, mixed = word[order], mixed[order]
         begins = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
         parity = np.bitwise_xor.reduceat(mix64(mixed), begins)
-        place = word[begins].astype(np.uint64) + np.uint64((2 * band + level + 2) << 20)
+        place = word[begins].astype(np.uint64) + np.uint64((2 * band + 2) << 20)
         found.append(mix64(parity ^ mix64(place)))
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, digest, keys`` of each text."""
+def bit_sketch(hashes: np.ndarray, bits: int) -> bytes:
+    """Parities of a set's buckets: a power of two of them, ``bits`` or more for a shingle."""
+    size = 1 << max(6, (bits * len(hashes) - 1).bit_length())
+    at = (mix64(hashes) & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=size).astype(np.uint8) & 1, bitorder="little").tobytes()
 
-    def rows(batches):
-        for ids, texts in byte_chunks(batches):
-            texts = [(t or b"").lower() for t in texts]
-            for key, words in zip(ids, word_hashes(texts)):
-                held = shingles(words)
-                digest = hashlib.blake2b(held.tobytes(), digest_size=16).hexdigest() if len(held) else None
-                yield key, len(held), digest, sketch_keys(held).view(np.int64)
 
-    return map_rows(docs, "doc_id long, n_shingles long, digest string, keys array<long>", rows, 512)
+def folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """Sketches, as rows of 64-bit words, of ``size`` words: buckets that fall together are added."""
+    while sketch.shape[-1] > size:
+        half = sketch.shape[-1] // 2
+        sketch = sketch[..., :half] ^ sketch[..., half:]
+    return sketch
+
+
+def most_apart(n, m, percent: int):
+    """How many shingles may be in only one of two similar sets of these sizes."""
+    return (100 - percent) * (n + m) // (100 + percent)
+
+
+def first_shingles(hashes: np.ndarray, common: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """The first shingles of a set in order, of which similar sets share one.
+
+    Also how many of them are enough if the other set is not smaller.
+    """
+    n = len(hashes)
+    at = np.searchsorted(common, hashes)
+    late = common[np.minimum(at, len(common) - 1)] == hashes if len(common) else np.zeros(n, bool)
+    ordered = np.concatenate([hashes[~late], hashes[late]])
+    return ordered[: n + 1 - -(-percent * n // 100)], n + 1 - -(-2 * percent * n // (100 + percent))
+
+
+def _lowered(batches: Iterator[list]) -> Iterator[tuple]:
+    """Ids and word hashes of texts in lower case."""
+    for ids, texts in byte_chunks(batches):
+        yield from zip(ids, word_hashes([(t or b"").lower() for t in texts]))
+
+
+def common_shingles(source: DataFrame) -> np.ndarray:
+    """Shingles that many documents of a sample have; only the order of shingles depends on them."""
+    rate = min(1.0, SAMPLE / max(source.count(), 1))
+    some = source.filter(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1_000_000)) < int(rate * 1_000_000))
+
+    def run(batches):
+        for _, words in _lowered([c.to_pylist() for c in b.columns] for b in batches if b.num_rows):
+            yield pa.record_batch([pa.array(shingles(words).view(np.int64))], names=["shingle"])
+
+    counted = some.mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    found = counted.filter(F.col("n") >= COMMON).orderBy(F.desc("n"), "shingle").limit(KEPT_COMMON).collect()
+    return np.sort(np.array([r["shingle"] for r in found], np.int64).view(np.uint64))
+
+
+def _sets(docs: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
+    """``doc_id, n, digest, keys, firsts, own, coarse, fine`` of each text.
+
+    ``firsts`` are the first shingles; ``own`` of them count towards sets that
+    are not smaller. Keys, firsts and sketches are null in copies of an earlier row of the same task.
+    """
+
+    def rows(batches):
+        seen: set[bytes] = set()
+        for key, words in _lowered(batches):
+            held = shingles(words)
+            if not len(held):
+                yield key, 0, None, None, None, 0, None, None
+                continue
+            digest = hashlib.blake2b(held.tobytes(), digest_size=16).digest()
+            if key is None or digest in seen:
+                yield key, len(held), digest, None, None, 0, None, None
+                continue
+            if len(seen) >= KEPT_DIGESTS:
+                seen.clear()
+            seen.add(digest)
+            firsts, own = first_shingles(held, common, percent)
+            sketches = [bit_sketch(held, bits) for bits in (COARSE, FINE)]
+            yield key, len(held), digest, sketch_keys(held).view(np.int64), firsts.view(np.int64), own, *sketches
+
+    schema = (
+        "doc_id long, n long, digest binary, keys array<long>, firsts array<long>, own int, coarse binary, fine binary"
+    )
+    return map_rows(docs, schema, rows, 512)
 
 
 def _shared(keys: DataFrame) -> DataFrame:
-    """Rows of ``keys (key, id)`` whose key has two or more ids, and the first id of the key.
+    """Rows of ``keys (key, id, mark)`` whose key has two or more ids, and the first id of the key.
 
     Sorted rows are streamed; only one row is held over between batches.
     """
-    schema = pa_schema(keys.sparkSession, "key long, id long, first long")
+    names = "key long, id long, mark boolean, first long"
+    schema = pa_schema(keys.sparkSession, names)
+
+    def batch(key, ids, mark, first):
+        return pa.record_batch([pa.array(c) for c in (key, ids, mark, first)], schema=schema)
 
     def run(batches):
-        held = None  # the last row and whether it shares its key with the one before, and the key's first id
-        for batch in batches:
-            key, ids = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        held = None  # the last row, the key's first id, and whether the row shares its key with the one before
+        for columns in batches:
+            key, ids, mark = (c.to_numpy(zero_copy_only=False) for c in columns.columns)
             if not len(key):
                 continue
             begins = np.concatenate([[True], key[1:] != key[:-1]])
             if held is not None and held[0] == key[0]:
                 begins[0] = False
             origin = np.maximum.accumulate(np.where(begins, np.arange(len(key)), -1))
-            first = np.where(origin >= 0, ids[np.maximum(origin, 0)], held[2] if held is not None else 0)
+            first = np.where(origin >= 0, ids[np.maximum(origin, 0)], held[3] if held is not None else 0)
             shares = ~begins
             shares[:-1] |= ~begins[1:]
-            if held is not None and (held[3] or not begins[0]):
-                yield pa.record_batch([pa.array([held[0]]), pa.array([held[1]]), pa.array([held[2]])], schema=schema)
+            if held is not None and (held[4] or not begins[0]):
+                yield batch(*[[v] for v in held[:4]])
             out = shares.copy()
             out[-1] = False
             if out.any():
-                yield pa.record_batch([pa.array(key[out]), pa.array(ids[out]), pa.array(first[out])], schema=schema)
-            held = (int(key[-1]), int(ids[-1]), int(first[-1]), bool(~begins[-1]))
-        if held is not None and held[3]:
-            yield pa.record_batch([pa.array([held[0]]), pa.array([held[1]]), pa.array([held[2]])], schema=schema)
-
-    return keys.repartition("key").sortWithinPartitions("key", "id").mapInArrow(run, "key long, id long, first long")
-
+                yield batch(key[out], ids[out], mark[out], first[out])
+            held = (int(key[-1]), int(ids[-1]), bool(mark[-1]), int(first[-1]), bool(~begins[-1]))
+        if held is not None and held[4]:
+            yield batch(*[[v] for v in held[:4]])
 
-def signature(hashes: np.ndarray) -> bytes:
-    """The low bytes of a set's least hashes under ``LEAST`` permutations."""
-    least = [mix64(hashes ^ salt).min() for salt in _salts()]
-    return np.array(least, np.uint64).astype(np.uint8).tobytes()
+    return keys.select("key", "id", "mark").repartition("key").sortWithinPartitions("key", "id").mapInArrow(run, names)
 
 
-@lru_cache(maxsize=1)
-def _salts() -> np.ndarray:
-    return mix64(np.arange(1, LEAST + 1, dtype=np.uint64) << np.uint64(40))
+def _best(shared: DataFrame) -> DataFrame:
+    """Each id with that first id of its keys with which it shares most of them."""
+    counted = shared.filter("id <> first").groupBy("id", "first").agg(F.count(F.lit(1)).alias("n"))
+    counted = counted.filter(F.col("n") >= SEVERAL)
+    best = counted.groupBy("id").agg(F.max(F.struct("n", (-F.col("first")).alias("less"))).alias("best"))
+    return best.select((-F.col("best.less")).alias("a"), F.col("id").alias("b"))
 
 
 class _Run:
-    """Sets that share a key, met one after another; holds the signature of each."""
-
-    def __init__(self):
-        self.ids, self.of = np.zeros(64, np.int64), np.zeros(64, np.int64)
-        self.signs = np.zeros((64, LEAST), np.uint8)
-        self.n = 0
-
-    def add(self, one: int, of: int, sign: bytes) -> np.ndarray:
-        """Earlier ids of other components with a signature near this one's."""
-        if self.n == len(self.ids):
-            self.ids, self.of = np.concatenate([self.ids, self.ids]), np.concatenate([self.of, self.of])
-            self.signs = np.concatenate([self.signs, self.signs])
-        own = np.frombuffer(sign, np.uint8)
-        other = np.flatnonzero(self.of[: self.n] != of)
-        near = other[(self.signs[other] == own).sum(1) >= AGREE]
-        found = self.ids[near]
-        self.ids[self.n], self.of[self.n], self.signs[self.n] = one, of, own
-        self.n += 1
+    """Sets that share a shingle, met one after another, smaller ones first."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+        self.rows: list[tuple] = []
+        self.numbers = np.zeros((3, 64), np.int64)  # sizes, components, blocks
+        # By the length of sketches: the place of the first one, how many there are, and the sketches.
+        self.held: dict[int, list] = {}
+
+    def add(self, row: tuple, across: bool) -> list[int]:
+        """Places of earlier sets that may be similar, and are of another component.
+
+        ``across`` leaves out those of the same block.
+        """
+        _, n, component, block, own, bits, _ = row
+        sketch = np.frombuffer(bits, np.uint64)
+        sizes, components_, blocks = self.numbers
+        low = int(np.searchsorted(sizes[: len(self.rows)], -(-self.percent * n // 100)))
+        found: list[int] = []
+        for size, (begins, count, sketches) in self.held.items():
+            places = np.arange(max(low, begins), begins + count)
+            near = components_[places] != component
+            if across:
+                near &= blocks[places] != block
+            places = places[near]
+            if not len(places):
+                continue
+            least = min(size, len(sketch))
+            apart = folded(sketches[places - begins], least) ^ folded(sketch, least)
+            near = np.bitwise_count(apart).sum(axis=1) <= most_apart(n, sizes[places], self.percent)
+            # The smaller of two similar sets has the shingle among those that count for it.
+            found += [p for p in places[near].tolist() if self.rows[p][4] or (own and sizes[p] == n)]
+        self._keep(row, sketch)
         return found
 
+    def picked(self, key: int, places: set[int]) -> Iterator[tuple]:
+        """Rows at some places, without their sketches."""
+        for place in sorted(places):
+            one, _, component, _, own, _, _ = self.rows[place]
+            yield key, one, own, component
 
-def _pairs_across(rows: DataFrame) -> DataFrame:
-    """Pairs of ids that share two keys or more, are of different components, and agree in their signatures.
+    def _keep(self, row: tuple, sketch: np.ndarray) -> None:
+        at = len(self.rows)
+        if at == self.numbers.shape[1]:
+            self.numbers = np.concatenate([self.numbers, self.numbers], axis=1)
+        self.numbers[:, at] = row[1:4]
+        self.rows.append(row)
+        held = self.held.setdefault(len(sketch), [at, 0, np.zeros((16, len(sketch)), np.uint64)])
+        if held[1] == len(held[2]):
+            held[2] = np.concatenate([held[2], held[2]])
+        held[2][held[1]] = sketch
+        held[1] += 1
 
-    Sets are compared by signature where they meet, and only pairs that may be
-    similar are put out. Similar sets share some twenty words of the fuller
-    sketch; that they share less than two has a chance below 1e-8.
+
+def _met_before(key: int, one: list[int], two: list[int]) -> bool:
+    """Whether two sets are known to share a shingle that comes before ``key``."""
+    before = one[: one.index(key)] if key in one else one
+    return any(x in two for x in before)
+
+
+def _groups(rows: DataFrame, carried: DataFrame) -> DataFrame:
+    """Rows of ``key, id, own, component`` dealt out, with ``its, n, bits, firsts`` of their sets, and sorted.
+
+    A group is the sets of two blocks of a key; a key with few sets has one block.
+    Each set meets every block of its key.
     """
+    counted = rows.groupBy(F.col("key").alias("counted")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    many = counted.filter("blocks > 1")
+    dealt = rows.join(many, F.col("key") == F.col("counted"), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    group = [F.col("key"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")]
+    met = dealt.select(*group, "id", "component", "block", "own").join(carried, F.col("id") == F.col("its"))
+    met = met.select("key", "low", "high", "id", "n", "component", "block", "own", "bits", "firsts")
+    return met.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "n", "id")
+
+
+def _with_partners(rows: DataFrame, carried: DataFrame, percent: int) -> DataFrame:
+    """``key, id, own, component`` of the rows that some other set of their key may be similar to."""
 
     def run(batches):
-        key, met = None, _Run()
+        met, now, near = None, None, set()
         for columns in batches:
-            for k, one, of, sign in zip(*columns):
-                if k != key:
-                    key, met = k, _Run()
-                for other in met.add(one, of, sign).tolist():
-                    yield (other, one) if other < one else (one, other)
+            for key, low, high, *row in zip(*columns):
+                if (key, low, high) != now:
+                    if met is not None:
+                        yield from met.picked(now[0], near)
+                    now, met, near = (key, low, high), _Run(percent), set()
+                if places := met.add(tuple(row), low < high):
+                    near.update(places)
+                    near.add(len(met.rows) - 1)
+        if met is not None:
+            yield from met.picked(now[0], near)
 
-    ordered = rows.select("key", "id", "component", "sign").repartition("key").sortWithinPartitions("key", "id")
-    found = map_rows(ordered, "a long, b long", run, 65_536).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-    return found.filter("n > 1").drop("n")
+    return map_rows(_groups(rows, carried), "key long, id long, own boolean, component long", run, 65_536).distinct()
 
 
-def _best(shared: DataFrame) -> DataFrame:
-    """Each id with that first id of its keys with which it shares most of them."""
-    counted = shared.filter("id > first").groupBy("id", "first").agg(F.count(F.lit(1)).alias("n"))
-    counted = counted.filter(F.col("n") >= SEVERAL)
-    best = counted.groupBy("id").agg(F.max(F.struct("n", (-F.col("first")).alias("less"))).alias("best"))
-    return best.select((-F.col("best.less")).alias("a"), F.col("id").alias("b"))
+def _pairs(rows: DataFrame, carried: DataFrame, percent: int) -> DataFrame:
+    """Pairs of ids that may be similar, each at the first shingle both have."""
+
+    def run(batches):
+        met, now = None, None
+        for columns in batches:
+            for key, low, high, *row in zip(*columns):
+                if (key, low, high) != now:
+                    now, met = (key, low, high), _Run(percent)
+                for place in met.add(tuple(row), low < high):
+                    other = met.rows[place]
+                    if not _met_before(key, row[6], other[6]):
+                        yield (other[0], row[0]) if other[0] < row[0] else (row[0], other[0])
+
+    return map_rows(_groups(rows, carried), "a long, b long", run, 65_536).distinct()
 
 
 class _Join:
     """The steps of one join, over tables in the shared folder."""
 
-    def __init__(self, source: DataFrame, percent: int):
+    def __init__(self, source: DataFrame, links: DataFrame, percent: int):
         self.source, self.percent = source, percent
-        self.links: DataFrame | None = None
+        self.links = links
         self.labels: DataFrame | None = None
 
     def verify(self, pairs: DataFrame) -> None:
@@ -225,9 +365,8 @@ class _Join:
         percent = self.percent
 
         def sets(batches):
-            for ids, texts in byte_chunks(batches):
-                for key, words in zip(ids, word_hashes([(t or b"").lower() for t in texts])):
-                    yield key, shingles(words).tobytes()
+            for key, words in _lowered(batches):
+                yield key, shingles(words).tobytes()
 
         held = self.source.join(wanted, F.col("doc_id") == F.col("its")).select("doc_id", "text")
         held = written(map_rows(held, "id long, hashes binary", sets, 512), "sets")
@@ -244,9 +383,10 @@ class _Join:
                         yield i, j
 
         found = map_rows(met.select("a", "b", "a_set", "b_set"), "a long, b long", linked)
-        found = written(found if self.links is None else found.union(self.links), "found")
-        self.links = found
-        self.labels = components(found)
+        before = self.links
+        self.links = written(found.union(before), "found")
+        discard(pairs, held, before)
+        self.labels = components(self.links)
 
     def labelled(self, rows: DataFrame) -> DataFrame:
         """``rows`` with the component of their ``id``."""
@@ -255,13 +395,17 @@ class _Join:
         return joined.withColumn("component", F.coalesce("component", "id"))
 
     def open_rows(self, shared: DataFrame) -> DataFrame:
-        """Rows of keys whose ids are still in several components, and how many ids the key has."""
-        rows = written(self.labelled(shared.select("key", "id")), "labelled")
+        """Rows of keys whose ids are still in several components."""
+        rows = written(self.labelled(shared.select("key", "id", "mark")), "labelled")
         keys = rows.groupBy("key").agg(
-            F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("n")
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
+            F.max("mark").alias("any"),
         )
-        keys = keys.filter("least < most").select(F.col("key").alias("open"), "n")
-        return written(rows.join(keys, F.col("key") == F.col("open")).drop("open"), "open")
+        keys = keys.filter("least < most and any").select(F.col("key").alias("open"))
+        left = written(rows.join(keys, F.col("key") == F.col("open")).drop("open"), "open")
+        discard(rows)
+        return left
 
 
 def link_similar(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -277,37 +421,42 @@ def link_similar(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", tex
     if percent < 75:
         raise ValueError("sketches are made for a similarity of 0.75 or more")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    ids = written(_sets(source), "shingle-sets")
-    whole = ids.filter("doc_id is not null and digest is not null")
+    ids = written(_sets(source, common_shingles(source), percent), "shingle-sets")
+    holds = F.col("fine").isNotNull().alias("holds")
+    whole = ids.filter("doc_id is not null and digest is not null").select("doc_id", "digest", holds)
+    # Of equal sets that hold their sketches, the first stands for all.
     firsts = whole.groupBy(F.col("digest").alias("same")).agg(
-        F.min("doc_id").alias("first"), F.max("doc_id").alias("final")
+        F.min(F.when(F.col("holds"), F.col("doc_id"))).alias("first"), F.count(F.lit(1)).alias("n")
     )
-    copies = whole.select("doc_id", "digest").join(firsts.filter("first < final"), F.col("digest") == F.col("same"))
-    copies = written(copies.filter("doc_id > first").select(F.col("doc_id").alias("copy"), "first", "same"), "copies")
-    own = whole.join(copies, (F.col("doc_id") == F.col("copy")) & (F.col("digest") == F.col("same")), "left_anti")
-    keys = own.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
-    shared = written(_shared(keys), "shared")
+    copies = whole.join(firsts.filter("n > 1"), F.col("digest") == F.col("same")).filter("doc_id <> first")
+    copies = written(copies.select(F.col("first").alias("a"), F.col("doc_id").alias("b")), "copies")
 
-    join = _Join(source, percent)
-    join.verify(_best(shared))
-    left = join.open_rows(shared)
-    open_ids = left.select(F.col("id").alias("its")).distinct()
+    # A copy has nothing to add, unless its id has another text as well.
+    several = whole.groupBy(F.col("doc_id").alias("again")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    known = written(copies.select("b").join(several, F.col("b") == F.col("again"), "left_anti").distinct(), "known")
 
-    def fuller(batches):
-        for ids, texts in byte_chunks(batches):
-            for key, words in zip(ids, word_hashes([(t or b"").lower() for t in texts])):
-                held = shingles(words)
-                yield key, sketch_keys(held, 1).view(np.int64), signature(held)
+    def shared_by(keys: DataFrame) -> DataFrame:
+        return written(_shared(keys).join(known, F.col("id") == F.col("b"), "left_anti"), "shared")
 
-    texts = source.join(open_ids, F.col("doc_id") == F.col("its")).select("doc_id", "text")
-    second = written(map_rows(texts, "id long, keys array<long>, sign binary", fuller, 512), "fuller")
-    shared = written(_shared(second.select(F.explode("keys").alias("key"), "id").distinct()), "shared")
+    join = _Join(source, copies, percent)
+    sets = ids.filter("fine is not null").withColumnRenamed("doc_id", "id")
+    shared = shared_by(sets.select(F.explode("keys").alias("key"), "id", F.lit(True).alias("mark")))
     join.verify(_best(shared))
-    signs = second.select(F.col("id").alias("its"), "sign")
-    left = join.open_rows(shared)
-    join.verify(_pairs_across(left.join(signs, F.col("id") == F.col("its"))))
+    discard(shared)
 
-    links = join.links.union(copies.select(F.col("first").alias("a"), F.col("copy").alias("b")))
-    labels = components(links).select(F.col("id").alias("labelled"), "component")
-    done = ids.join(labels, F.col("doc_id") == F.col("labelled"), "left")
-    return done.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    keys = sets.select(F.posexplode("firsts").alias("at", "key"), "id", "own")
+    shared = shared_by(keys.select("key", "id", (F.col("at") < F.col("own")).alias("mark")))
+    left = join.open_rows(shared)
+    its = F.col("id").alias("its")
+    coarse = sets.select(its, "n", F.col("coarse").alias("bits"), F.lit(None).cast("array<long>").alias("firsts"))
+    near = written(_with_partners(left.withColumnRenamed("mark", "own"), coarse, percent), "near")
+    fine = sets.select(its, "n", F.col("fine").alias("bits"), F.slice("firsts", 1, FIRST).alias("firsts"))
+    wanted = near.select(F.col("id").alias("wanted")).distinct()
+    fine = written(fine.join(wanted, F.col("its") == F.col("wanted"), "left_semi"), "fine")
+    join.verify(_pairs(near, fine, percent))
+    discard(shared, left, near, fine, known)
+
+    labels = written(join.labels.select(F.col("id").alias("labelled"), "component"), "labels")
+    discard(join.links)
+    done = ids.select("doc_id", "n").join(labels, F.col("doc_id") == F.col("labelled"), "left")
+    return done.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))

@@ -176,6 +176,23 @@ select conv_id, count(*) as n_turns,
            as formatted_chars,
        false as rewrites
 from e group by conv_id
+""",
+    "op5_jaccard_join": r"""
+with recursive d as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') as w from documents),
+s as (
+    select distinct doc_id, md5(array_to_string(w[i:i + 4], ' ')) as k
+    from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+met as (select a.doc_id as a, b.doc_id as b, count(*) as common from s a join s b on a.k = b.k and a.doc_id < b.doc_id group by 1, 2),
+link as (
+    select a, b from met join n x on x.doc_id = a join n y on y.doc_id = b
+    where 100 * common >= 75 * (x.n + y.n - common)),
+near as (select a, b from link union all select b, a from link),
+reach as (select doc_id as a, doc_id as b from documents union select r.a, near.b from reach r join near on near.a = r.b)
+select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, component_id
+from d join (select a, min(b) as component_id from reach group by a) c on c.a = d.doc_id left join n on n.doc_id = d.doc_id
 """,
     "op7_substring_dedup": r"""
 with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),

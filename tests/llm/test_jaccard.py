@@ -32,7 +32,11 @@ def brute(rows):
     return sorted((str(i), len(s), str(None if i is None else joined(parents, i))) for i, s in sets)
 
 
-def test_components_are_those_of_brute_force(spark, docs_of):
+@pytest.mark.parametrize("joined, block, common", [(24, 1024, 4), (1, 7, 2), (2, 3, 10**9)])
+def test_components_are_those_of_brute_force(spark, docs_of, monkeypatch, joined, block, common):
+    """Also with hardly any words joined, so that nearly all links are left to the first shingles, and in small blocks."""
+    for name, value in (("JOINED", joined), ("BLOCK", block), ("COMMON", common)):
+        monkeypatch.setattr(J, name, value)
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(500)]
     some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
@@ -45,25 +49,56 @@ def test_components_are_those_of_brute_force(spark, docs_of):
                 words[rng.randrange(len(words))] = rng.choice(vocabulary)
             rows.append((len(rows) * 7 % 1009, " ".join(words)))
             base = words if rng.random() < 0.5 else base
+    # Sets that have a passage in common, and a family whose members are at 0.6 to 0.8.
     rows += [(2000 + i, " ".join(common + some(rng.choice([5, 12, 30])))) for i in range(60)]
-    rows += [(3000, None), (3001, ""), (3002, "One two"), (3003, "one TWO"), (3004, "two one"), (None, "one two"), (3002, "One two")]
+    base = some(200)
+    for i in range(40):
+        words = list(base)
+        for _ in range(rng.randrange(3, 7)):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        rows.append((2500 + i, " ".join(words)))
+    rows += [(3000, None), (3001, ""), (3002, "One two"), (3003, "one TWO"), (3004, "two one"), (None, "one two"), (3002, "One two"), (3006, rows[3][1]), (3006, rows[60][1]), (3007, rows[-1][1])]
     rows.append((3005, " ".join(some(30_000))))
     found = J.link_similar(docs_of(rows).withColumnRenamed("lang", "component_id")).collect()
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in found) == brute(rows)
-    assert J.link_similar(docs_of(rows).limit(0)).count() == 0
+    if joined == 24:
+        assert J.link_similar(docs_of(rows).limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("size", [3, 4, 8, 20, 64, 300, 2000])
-@pytest.mark.parametrize("level", [0, 1])
-def test_sets_at_the_limit_share_words(size, level):
+def bits_apart(*sketches):
+    one, two = (np.frombuffer(s, np.uint64) for s in sketches)
+    size = min(len(one), len(two))
+    return int(np.bitwise_count(J.folded(one, size) ^ J.folded(two, size)).sum())
+
+
+def at_the_limit(rng, size):
+    """Two sets of a similarity of 0.75 or just above."""
+    both = rng.integers(1, 1 << 63, size, dtype=np.uint64)
+    more = rng.integers(1, 1 << 63, size // 3, dtype=np.uint64)
+    half = rng.integers(0, len(more) + 1)
+    return [np.unique(np.concatenate([both, part])) for part in (more[:half], more[half:])]
+
+
+@pytest.mark.parametrize("size", [1, 3, 4, 8, 20, 64, 300, 2000])
+def test_sets_at_the_limit_meet(size):
     rng = np.random.default_rng(size)
     for _ in range(30):
-        both = rng.integers(1, 1 << 63, size, dtype=np.uint64)
-        more = rng.integers(1, 1 << 63, size // 3, dtype=np.uint64)
-        half = len(more) // 2
-        one, two = np.unique(np.concatenate([both, more[:half]])), np.unique(np.concatenate([both, more[half:]]))
-        shared = np.intersect1d(J.sketch_keys(one, level), J.sketch_keys(two, level))
-        assert len(shared) >= 3
+        one, two = sorted(at_the_limit(rng, size), key=len)
+        if size > 20:
+            assert len(np.intersect1d(J.sketch_keys(one), J.sketch_keys(two)))
+        common = np.sort(rng.choice(np.union1d(one, two), size // 3, replace=False))
+        (first, own), (other, _) = (J.first_shingles(x, common, 75) for x in (one, two))
+        assert len(np.intersect1d(first[:own], other))
+        for bits in (J.COARSE, J.FINE):
+            apart = bits_apart(J.bit_sketch(one, bits), J.bit_sketch(two, bits))
+            assert apart <= len(np.setxor1d(one, two)) <= J.most_apart(len(one), len(two), 75)
+
+
+def test_bits_turn_away_what_is_not_similar():
+    rng = np.random.default_rng(1)
+    both, more = (rng.integers(1, 1 << 63, n, dtype=np.uint64) for n in (700, 300))
+    one, two = np.concatenate([both, more[:150]]), np.concatenate([both, more[150:]])
+    assert bits_apart(J.bit_sketch(one, J.FINE), J.bit_sketch(two, J.FINE)) > J.most_apart(850, 850, 75)
 
 
 def test_components_of_a_long_chain_and_a_star(spark):

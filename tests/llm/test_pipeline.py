@@ -62,3 +62,13 @@ def test_rows_go_by_their_own_text(spark, tmp_path):
     # Of three similar texts of id 7 one stays; which of them is open.
     own = [(i, copied if t.startswith(copied) else t) for i, t in found if i is not None or len(t.split()) in (50, 60)]
     assert sorted(map(str, own)) == sorted(map(str, clean))
+
+
+def test_near_duplicates_without_ids_and_clashing_names(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(None, text, 1), (5, text + " more", 2), (None, text + " again", 3), (None, "", 4), (None, None, 5), (6, "", 6), (6, None, 7), (None, "other words here", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row long")
+    kept = corpus_pipeline.one_of_each(spark, docs, "")
+    assert kept.columns == docs.columns
+    found = sorted(r.row for r in kept.collect())
+    assert found in ([2, 4, 5, 6, 8], [2, 4, 5, 7, 8])
