@@ -156,13 +156,16 @@ def _move(a: str, b: str) -> tuple | None:
     return None
 
 
-def base_spans(text: str) -> list[tuple[int, int, str]]:
-    """Start, end and kind of what the base patterns find; failing matches count as passed over."""
+def base_spans(text: str, whole: bool = False) -> list[tuple[int, int, str]]:
+    """Start, end and kind of what the base patterns find; failing matches count as passed over.
+
+    Of ``assign``, the span of the value, or with ``whole`` that of the whole match.
+    """
     found = []
     for kind, pattern, group, least in BASE:
         for m in pattern.finditer(text):
             if m.end(group) - m.start(group) >= least:
-                found.append((*m.span(group), kind))
+                found.append((*m.span(0 if whole else group), kind))
     return found
 
 
@@ -173,8 +176,8 @@ def may_hold(text: str) -> tuple[bool, bool, bool]:
     return any(hint in low for hint in HINTS), "AKIA" in text, runs
 
 
-def find_spans(text: str, words: dict[str, float], limit: float = LIMIT) -> list[tuple[int, int, str]]:
-    """All spans, by start and then kind: base ones, and values that are hard to guess."""
+def find_spans(text: str, words: dict[str, float], limit: float = LIMIT, whole: bool = False) -> list[tuple[int, int, str]]:
+    """All spans, by start and then kind: base ones (``whole`` as there), and values that are hard to guess."""
     named, access, runs = may_hold(text)
     if not (named or access or runs):
         return []
@@ -187,6 +190,8 @@ def find_spans(text: str, words: dict[str, float], limit: float = LIMIT) -> list
                 continue
             if guess_cost(text[begin:end], words) >= limit:
                 found.append((begin, end, "guess"))
+    if whole:  # which values are guessed at does not depend on it
+        found = base_spans(text, True) + [s for s in found if s[2] == "guess"]
     return sorted(found, key=lambda x: (x[0], ORDER[x[2]], x[1]))
 
 
@@ -194,12 +199,20 @@ def _listed(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{a}:{b}" for a, b, kind in spans)
 
 
-def find_secrets(docs: DataFrame, words_path: str, limit: float = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_secrets(
+    docs: DataFrame,
+    words_path: str,
+    limit: float = LIMIT,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    whole: bool = False,
+) -> DataFrame:
     """Secrets of every whole text.
 
     Columns: ``doc_id, n_assign, n_access, n_hex, n_guess, base_sha256, spans``;
     spans are ``kind:start:end`` in code points, by start and then kind. For
-    ``assign`` the span is the value's. ``words_path`` is a tokenizer file whose
+    ``assign`` the span is the value's, or with ``whole`` that of the whole match,
+    from the name on. ``words_path`` is a tokenizer file whose
     vocabulary ranks the words. One row out per row in; a null text counts as
     empty; null ids stay null; other columns are not read.
     """
@@ -209,7 +222,7 @@ def find_secrets(docs: DataFrame, words_path: str, limit: float = LIMIT, id_col:
         words = word_costs(words_path)
         for ids, texts in batches:
             for key, text in zip(ids, texts):
-                spans = find_spans(text or "", words, limit)
+                spans = find_spans(text or "", words, limit, whole)
                 kinds = [s[2] for s in spans]
                 base = _listed([s for s in spans if s[2] != "guess"])
                 yield key, *(kinds.count(k) for k in ORDER), hashlib.sha256(base.encode()).hexdigest(), _listed(spans)
