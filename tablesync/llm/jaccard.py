@@ -21,7 +21,10 @@ What the words may have missed is found exactly. Shingles have one order, common
 ones last (by a bounded sample, which bears on the cost and not on the result),
 and similar sets share one among the first quarter of each. Sets that meet there
 and are of different components are held against each other by size and bits: by
-few bits first, to leave out sets without any similar one, then by more. A pair
+few bits first, to leave out sets without any similar one. Each set is compared
+with the nearest one by these bits, so a large group of similar sets becomes one
+component by as many pairs as it has sets. All pairs of what is then still in
+different components are held against each other by more bits. A pair
 goes on at the first shingle both have, and sets are compared whole before they
 link. Shingles that many sets share are dealt out as pairs of blocks.
 """
@@ -245,8 +248,8 @@ class _Run:
         # By the length of sketches: the place of the first one, how many there are, and the sketches.
         self.held: dict[int, list] = {}
 
-    def add(self, row: tuple, across: bool) -> list[int]:
-        """Places of earlier sets that may be similar, and are of another component.
+    def add(self, row: tuple, across: bool) -> list[tuple[int, int]]:
+        """Earlier sets that may be similar, and are of another component: places that differ, and place.
 
         ``across`` leaves out those of the same block.
         """
@@ -254,7 +257,7 @@ class _Run:
         sketch = np.frombuffer(bits, np.uint64)
         sizes, components_, blocks = self.numbers
         low = int(np.searchsorted(sizes[: len(self.rows)], -(-self.percent * n // 100)))
-        found: list[int] = []
+        found: list[tuple[int, int]] = []
         for size, (begins, count, sketches) in self.held.items():
             places = np.arange(max(low, begins), begins + count)
             near = components_[places] != component
@@ -265,17 +268,19 @@ class _Run:
                 continue
             least = min(size, len(sketch))
             apart = folded(sketches[places - begins], least) ^ folded(sketch, least)
-            near = np.bitwise_count(apart).sum(axis=1) <= most_apart(n, sizes[places], self.percent)
+            apart = np.bitwise_count(apart).sum(axis=1)
+            near = apart <= most_apart(n, sizes[places], self.percent)
             # The smaller of two similar sets has the shingle among those that count for it.
-            found += [p for p in places[near].tolist() if self.rows[p][4] or (own and sizes[p] == n)]
+            both = zip(apart[near].tolist(), places[near].tolist())
+            found += [x for x in both if self.rows[x[1]][4] or (own and sizes[x[1]] == n)]
         self._keep(row, sketch)
         return found
 
-    def picked(self, key: int, places: set[int]) -> Iterator[tuple]:
-        """Rows at some places, without their sketches."""
+    def picked(self, key: int, places: dict[int, tuple]) -> Iterator[tuple]:
+        """Rows at some places, without their sketches, and what is held of each place."""
         for place in sorted(places):
             one, _, component, _, own, _, _ = self.rows[place]
-            yield key, one, own, component
+            yield key, one, own, component, *places[place]
 
     def _keep(self, row: tuple, sketch: np.ndarray) -> None:
         at = len(self.rows)
@@ -314,23 +319,37 @@ def _groups(rows: DataFrame, carried: DataFrame) -> DataFrame:
 
 
 def _with_partners(rows: DataFrame, carried: DataFrame, percent: int) -> DataFrame:
-    """``key, id, own, component`` of the rows that some other set of their key may be similar to."""
+    """``key, id, own, component, best`` of the rows that some other set of their key may be similar to.
+
+    ``best (apart, other)`` is the earlier one of these sets whose bits are nearest, if there is one.
+    """
 
     def run(batches):
-        met, now, near = None, None, set()
+        met, now, near = None, None, {}
         for columns in batches:
             for key, low, high, *row in zip(*columns):
                 if (key, low, high) != now:
                     if met is not None:
                         yield from met.picked(now[0], near)
-                    now, met, near = (key, low, high), _Run(percent), set()
-                if places := met.add(tuple(row), low < high):
-                    near.update(places)
-                    near.add(len(met.rows) - 1)
+                    now, met, near = (key, low, high), _Run(percent), {}
+                if found := met.add(tuple(row), low < high):
+                    for _, place in found:
+                        near.setdefault(place, (None, None))
+                    apart, place = min(found)
+                    near[len(met.rows) - 1] = apart, met.rows[place][0]
         if met is not None:
             yield from met.picked(now[0], near)
 
-    return map_rows(_groups(rows, carried), "key long, id long, own boolean, component long", run, 65_536).distinct()
+    schema = "key long, id long, own boolean, component long, apart long, other long"
+    found = map_rows(_groups(rows, carried), schema, run, 65_536)
+    best = F.min(F.when(F.col("other").isNotNull(), F.struct("apart", "other"))).alias("best")
+    return found.groupBy("key", "id", "own", "component").agg(best)
+
+
+def _nearest(rows: DataFrame) -> DataFrame:
+    """Each id with the one other set that is nearest to it at any of its keys: no more pairs than ids."""
+    best = rows.groupBy("id").agg(F.min("best").alias("best")).filter("best is not null")
+    return best.select(F.col("best.other").alias("a"), F.col("id").alias("b"))
 
 
 def _pairs(rows: DataFrame, carried: DataFrame, percent: int) -> DataFrame:
@@ -342,7 +361,7 @@ def _pairs(rows: DataFrame, carried: DataFrame, percent: int) -> DataFrame:
             for key, low, high, *row in zip(*columns):
                 if (key, low, high) != now:
                     now, met = (key, low, high), _Run(percent)
-                for place in met.add(tuple(row), low < high):
+                for _, place in met.add(tuple(row), low < high):
                     other = met.rows[place]
                     if not _met_before(key, row[6], other[6]):
                         yield (other[0], row[0]) if other[0] < row[0] else (row[0], other[0])
@@ -451,10 +470,12 @@ def link_similar(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", tex
     coarse = sets.select(its, "n", F.col("coarse").alias("bits"), F.lit(None).cast("array<long>").alias("firsts"))
     near = written(_with_partners(left.withColumnRenamed("mark", "own"), coarse, percent), "near")
     fine = sets.select(its, "n", F.col("fine").alias("bits"), F.slice("firsts", 1, FIRST).alias("firsts"))
-    wanted = near.select(F.col("id").alias("wanted")).distinct()
+    join.verify(_nearest(near))
+    still = join.open_rows(near.withColumnRenamed("own", "mark"))
+    wanted = still.select(F.col("id").alias("wanted")).distinct()
     fine = written(fine.join(wanted, F.col("its") == F.col("wanted"), "left_semi"), "fine")
-    join.verify(_pairs(near, fine, percent))
-    discard(shared, left, near, fine, known)
+    join.verify(_pairs(still.withColumnRenamed("mark", "own"), fine, percent))
+    discard(shared, left, near, still, fine, known)
 
     labels = written(join.labels.select(F.col("id").alias("labelled"), "component"), "labels")
     discard(join.links)

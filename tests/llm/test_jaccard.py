@@ -107,3 +107,27 @@ def test_components_of_a_long_chain_and_a_star(spark):
     want = {i: 0 for i in range(61)} | {100 + i: 100 for i in range(50)} | {500: 500, 501: 500}
     assert found == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_group_of_near_copies_takes_few_pairs(spark, docs_of, monkeypatch):
+    """Without any pairs by words, all is linked by each set's nearest one, not by all pairs of the group."""
+    monkeypatch.setattr(J, "SEVERAL", 10**9)
+    counted, pairs = [], J._pairs
+
+    def counting(*args):
+        found = pairs(*args)
+        counted.append(found.count())
+        return found
+
+    monkeypatch.setattr(J, "_pairs", counting)
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(900)}" for _ in range(150)]
+    rows = []
+    for i in range(80):
+        words = list(base)
+        for at in rng.sample(range(5, 145), 2):
+            words[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(words)))
+    found = J.link_similar(docs_of(rows)).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in found) == brute(rows)
+    assert {r.component_id for r in found} == {0} and sum(counted) < len(rows)
