@@ -21,7 +21,9 @@ What the words may have missed is found exactly. Shingles have one order, common
 ones last (by a bounded sample, which bears on the cost and not on the result),
 and similar sets share one among the first quarter of each. Sets that meet there
 and are of different components are held against each other by size and bits: by
-few bits first, to leave out sets without any similar one. Each set is compared
+few bits first, to leave out sets without any similar one. Of shingles that the
+same sets of like size share, the first in order stands for all, before anything
+else is joined to their rows. Each set is compared
 with the nearest one by these bits, so a large group of similar sets becomes one
 component by as many pairs as it has sets. All pairs of what is then still in
 different components are held against each other by more bits. A pair
@@ -58,6 +60,8 @@ SAMPLE, COMMON, KEPT_COMMON = 8192, 4, 200_000
 FIRST = 4
 #: Sets of a shingle that are held against each other in one group.
 BLOCK = 1024
+#: Sets of like size at a shingle that are held in one row; of more, no equal groups are looked for.
+LONG = 10_000
 #: Digests a task remembers, to tell equal sets; beyond it all are forgotten, and equal sets only cost more.
 KEPT_DIGESTS = 500_000
 
@@ -130,14 +134,19 @@ def most_apart(n, m, percent: int):
     return (100 - percent) * (n + m) // (100 + percent)
 
 
+def are_common(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Which shingles are among the common ones, which come last."""
+    if not len(common):
+        return np.zeros(len(hashes), bool)
+    return common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] == hashes
+
+
 def first_shingles(hashes: np.ndarray, common: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
     """The first shingles of a set in order, of which similar sets share one.
 
     Also how many of them are enough if the other set is not smaller.
     """
-    n = len(hashes)
-    at = np.searchsorted(common, hashes)
-    late = common[np.minimum(at, len(common) - 1)] == hashes if len(common) else np.zeros(n, bool)
+    n, late = len(hashes), are_common(hashes, common)
     ordered = np.concatenate([hashes[~late], hashes[late]])
     return ordered[: n + 1 - -(-percent * n // 100)], n + 1 - -(-2 * percent * n // (100 + percent))
 
@@ -163,10 +172,10 @@ def common_shingles(source: DataFrame) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
-    """``doc_id, n, digest, keys, firsts, own, coarse, fine`` of each text.
+    """``doc_id, n, digest, keys, firsts, own, early, coarse, fine`` of each text.
 
     ``firsts`` are the first shingles; ``own`` of them count towards sets that
-    are not smaller. Keys, firsts and sketches are null in copies of an earlier row of the same task.
+    are not smaller, and ``early`` of them are not common. Keys, firsts and sketches are null in copies of an earlier row of the same task.
     """
 
     def rows(batches):
@@ -174,60 +183,136 @@ def _sets(docs: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
         for key, words in _lowered(batches):
             held = shingles(words)
             if not len(held):
-                yield key, 0, None, None, None, 0, None, None
+                yield key, 0, None, None, None, 0, 0, None, None
                 continue
             digest = hashlib.blake2b(held.tobytes(), digest_size=16).digest()
             if key is None or digest in seen:
-                yield key, len(held), digest, None, None, 0, None, None
+                yield key, len(held), digest, None, None, 0, 0, None, None
                 continue
             if len(seen) >= KEPT_DIGESTS:
                 seen.clear()
             seen.add(digest)
             firsts, own = first_shingles(held, common, percent)
+            early = int(np.count_nonzero(~are_common(firsts, common)))
             sketches = [bit_sketch(held, bits) for bits in (COARSE, FINE)]
-            yield key, len(held), digest, sketch_keys(held).view(np.int64), firsts.view(np.int64), own, *sketches
+            yield key, len(held), digest, sketch_keys(held).view(np.int64), firsts.view(np.int64), own, early, *sketches
 
     schema = (
-        "doc_id long, n long, digest binary, keys array<long>, firsts array<long>, own int, coarse binary, fine binary"
+        "doc_id long, n long, digest binary, keys array<long>, firsts array<long>, own int, early int, "
+        "coarse binary, fine binary"
     )
     return map_rows(docs, schema, rows, 512)
 
 
 def _shared(keys: DataFrame) -> DataFrame:
-    """Rows of ``keys (key, id, mark)`` whose key has two or more ids, and the first id of the key.
+    """Rows of ``keys (key, id)`` whose key has two or more ids, and the first id of the key.
 
     Sorted rows are streamed; only one row is held over between batches.
     """
-    names = "key long, id long, mark boolean, first long"
+    names = "key long, id long, first long"
     schema = pa_schema(keys.sparkSession, names)
 
-    def batch(key, ids, mark, first):
-        return pa.record_batch([pa.array(c) for c in (key, ids, mark, first)], schema=schema)
+    def batch(key, ids, first):
+        return pa.record_batch([pa.array(c) for c in (key, ids, first)], schema=schema)
 
     def run(batches):
         held = None  # the last row, the key's first id, and whether the row shares its key with the one before
         for columns in batches:
-            key, ids, mark = (c.to_numpy(zero_copy_only=False) for c in columns.columns)
+            key, ids = (c.to_numpy(zero_copy_only=False) for c in columns.columns)
             if not len(key):
                 continue
             begins = np.concatenate([[True], key[1:] != key[:-1]])
             if held is not None and held[0] == key[0]:
                 begins[0] = False
             origin = np.maximum.accumulate(np.where(begins, np.arange(len(key)), -1))
-            first = np.where(origin >= 0, ids[np.maximum(origin, 0)], held[3] if held is not None else 0)
+            first = np.where(origin >= 0, ids[np.maximum(origin, 0)], held[2] if held is not None else 0)
             shares = ~begins
             shares[:-1] |= ~begins[1:]
-            if held is not None and (held[4] or not begins[0]):
-                yield batch(*[[v] for v in held[:4]])
+            if held is not None and (held[3] or not begins[0]):
+                yield batch(*[[v] for v in held[:3]])
             out = shares.copy()
             out[-1] = False
             if out.any():
-                yield batch(key[out], ids[out], mark[out], first[out])
-            held = (int(key[-1]), int(ids[-1]), bool(mark[-1]), int(first[-1]), bool(~begins[-1]))
-        if held is not None and held[4]:
-            yield batch(*[[v] for v in held[:4]])
+                yield batch(key[out], ids[out], first[out])
+            held = (int(key[-1]), int(ids[-1]), int(first[-1]), bool(~begins[-1]))
+        if held is not None and held[3]:
+            yield batch(*[[v] for v in held[:3]])
+
+    return keys.select("key", "id").repartition("key").sortWithinPartitions("key", "id").mapInArrow(run, names)
+
+
+def _placed(sets: DataFrame, several: DataFrame) -> DataFrame:
+    """``key, id, place`` of all first shingles: in ``place``, the size of the set above three bits.
+
+    They tell whether the id has more than one row, whether the shingle is common, and whether it counts
+    towards sets that are not smaller.
+    """
+    marked = sets.join(several, F.col("id") == F.col("again"), "left").withColumn("twice", F.col("again").isNotNull())
+    keys = marked.select(F.posexplode("firsts").alias("at", "key"), "id", "n", "twice", "early", "own")
+    bits = [F.col("twice"), F.col("at") >= F.col("early"), F.col("at") < F.col("own")]
+    place = F.col("n") * 8 + sum(b.cast("long") * v for b, v in zip(bits, (4, 2, 1)))
+    return keys.select("key", "id", place.alias("place"))
+
 
-    return keys.select("key", "id", "mark").repartition("key").sortWithinPartitions("key", "id").mapInArrow(run, names)
+def _runs(keys: DataFrame, percent: int) -> DataFrame:
+    """Rows ``key, id, mark`` of the sets that may meet a similar one at a key of ``keys (key, id, place)``.
+
+    A key's sets by size are cut where the next one is too large to be similar to any before. A run needs two
+    sets, and a shingle that counts. Of keys with the same run, the first in the order of shingles stands for
+    all: all its sets have it, so a pair's first shingle is never left out for another one. Runs with an id of
+    several rows are left as they are, since its texts differ; so are runs of more than ``LONG``, in pieces.
+    """
+    names = "one long, two long, late boolean, turned long, ids array<long>, marks array<boolean>"
+    schema = pa_schema(keys.sparkSession, names)
+
+    def batch(key, ids, place, begins, piece):
+        counts = np.diff(np.concatenate([begins, [len(key)]]))
+        mark, twice = (place & 1).astype(bool), np.logical_or.reduceat((place & 4) > 0, begins)
+        some = (counts > 1) & np.logical_or.reduceat(mark, begins)
+        mixed = mix64((ids.view(np.uint64) << np.uint64(1)) ^ mix64((place & 1).view(np.uint64) + np.uint64(7)))
+        mixed ^= mix64(ids.view(np.uint64))
+        one, two = (np.add.reduceat(x, begins).view(np.int64) for x in (mix64(mixed), mix64(~mixed)))
+        first, late = key[begins], (place[begins] & 2) > 0
+        # What is not to be put together goes by its own key, size, and piece of a run.
+        one, two = np.where(twice, first, one), np.where(twice, place[begins], two)
+        if piece:
+            some[0], one[0], two[0] = True, first[0], -piece
+        kept = np.repeat(some, counts)
+        ends = pa.array(np.concatenate([[0], np.cumsum(counts[some])]), pa.int32())
+        lists = [
+            pa.ListArray.from_arrays(ends, pa.array(values[kept]), type=schema.field(name).type)
+            for name, values in (("ids", ids), ("marks", mark))
+        ]
+        turned = first ^ np.int64(-(1 << 63))
+        columns = [pa.array(c[some]) for c in (one, two, late, turned)]
+        return pa.RecordBatch.from_arrays(columns + lists, schema=schema)
+
+    def run(batches):
+        held, piece = None, 0  # rows of the last run, and how many pieces of it are gone
+        for columns in batches:
+            if not columns.num_rows:
+                continue
+            new = [c.to_numpy(zero_copy_only=False) for c in columns.columns]
+            held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
+            key, n = held[0], held[2] >> 3
+            apart = (key[1:] != key[:-1]) | (100 * n[:-1] < percent * n[1:])
+            begins = np.concatenate([[0], np.flatnonzero(apart) + 1])
+            if last := int(begins[-1]):
+                yield batch(*[x[:last] for x in held], begins[:-1], piece and piece + 1)
+                held, piece = [x[last:] for x in held], 0
+            if len(held[0]) > LONG:
+                piece += 1
+                yield batch(*[x[:-1] for x in held], np.zeros(1, np.int64), piece)
+                held = [x[-1:] for x in held]
+        if held is not None:
+            yield batch(*held, np.zeros(1, np.int64), piece and piece + 1)
+
+    sorted_keys = keys.repartition("key").sortWithinPartitions("key", "place", "id")
+    runs = sorted_keys.mapInArrow(run, names).groupBy("one", "two")
+    first = runs.agg(F.min(F.struct("late", "turned", "ids", "marks")).alias("first")).select("first.*")
+    key = F.col("turned").bitwiseXOR(F.lit(-(1 << 63))).alias("key")
+    met = first.select(key, F.explode(F.arrays_zip("ids", "marks")).alias("met"))
+    return met.select("key", F.col("met.ids").alias("id"), F.col("met.marks").alias("mark"))
 
 
 def _best(shared: DataFrame) -> DataFrame:
@@ -302,14 +387,12 @@ def _met_before(key: int, one: list[int], two: list[int]) -> bool:
 
 
 def _groups(rows: DataFrame, carried: DataFrame) -> DataFrame:
-    """Rows of ``key, id, own, component`` dealt out, with ``its, n, bits, firsts`` of their sets, and sorted.
+    """Rows of ``key, id, own, component, size`` dealt out, with ``its, n, bits, firsts`` of their sets, and sorted.
 
-    A group is the sets of two blocks of a key; a key with few sets has one block.
+    A group is the sets of two blocks of a key; a key of small ``size`` (its number of rows) has one block.
     Each set meets every block of its key.
     """
-    counted = rows.groupBy(F.col("key").alias("counted")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    many = counted.filter("blocks > 1")
-    dealt = rows.join(many, F.col("key") == F.col("counted"), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     group = [F.col("key"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")]
@@ -414,14 +497,15 @@ class _Join:
         return joined.withColumn("component", F.coalesce("component", "id"))
 
     def open_rows(self, shared: DataFrame) -> DataFrame:
-        """Rows of keys whose ids are still in several components."""
+        """Rows of keys whose ids are still in several components, with the ``size`` of their key in rows."""
         rows = written(self.labelled(shared.select("key", "id", "mark")), "labelled")
         keys = rows.groupBy("key").agg(
             F.min("component").alias("least"),
             F.max("component").alias("most"),
             F.max("mark").alias("any"),
+            F.count(F.lit(1)).alias("size"),
         )
-        keys = keys.filter("least < most and any").select(F.col("key").alias("open"))
+        keys = keys.filter("least < most and any").select(F.col("key").alias("open"), "size")
         left = written(rows.join(keys, F.col("key") == F.col("open")).drop("open"), "open")
         discard(rows)
         return left
@@ -452,19 +536,19 @@ def link_similar(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", tex
 
     # A copy has nothing to add, unless its id has another text as well.
     several = whole.groupBy(F.col("doc_id").alias("again")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    several = written(several.select("again"), "several")
     known = written(copies.select("b").join(several, F.col("b") == F.col("again"), "left_anti").distinct(), "known")
 
-    def shared_by(keys: DataFrame) -> DataFrame:
-        return written(_shared(keys).join(known, F.col("id") == F.col("b"), "left_anti"), "shared")
+    def without_known(rows: DataFrame) -> DataFrame:
+        return written(rows.join(known, F.col("id") == F.col("b"), "left_anti"), "shared")
 
     join = _Join(source, copies, percent)
     sets = ids.filter("fine is not null").withColumnRenamed("doc_id", "id")
-    shared = shared_by(sets.select(F.explode("keys").alias("key"), "id", F.lit(True).alias("mark")))
+    shared = without_known(_shared(sets.select(F.explode("keys").alias("key"), "id")))
     join.verify(_best(shared))
     discard(shared)
 
-    keys = sets.select(F.posexplode("firsts").alias("at", "key"), "id", "own")
-    shared = shared_by(keys.select("key", "id", (F.col("at") < F.col("own")).alias("mark")))
+    shared = without_known(_runs(_placed(sets, several), percent))
     left = join.open_rows(shared)
     its = F.col("id").alias("its")
     coarse = sets.select(its, "n", F.col("coarse").alias("bits"), F.lit(None).cast("array<long>").alias("firsts"))
@@ -472,10 +556,11 @@ def link_similar(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", tex
     fine = sets.select(its, "n", F.col("fine").alias("bits"), F.slice("firsts", 1, FIRST).alias("firsts"))
     join.verify(_nearest(near))
     still = join.open_rows(near.withColumnRenamed("own", "mark"))
-    wanted = still.select(F.col("id").alias("wanted")).distinct()
+    # Written first, so that its size is known: sketches of all sets are shuffled only if many are wanted.
+    wanted = written(still.select(F.col("id").alias("wanted")).distinct(), "wanted")
     fine = written(fine.join(wanted, F.col("its") == F.col("wanted"), "left_semi"), "fine")
     join.verify(_pairs(still.withColumnRenamed("mark", "own"), fine, percent))
-    discard(shared, left, near, still, fine, known)
+    discard(shared, left, near, still, wanted, fine, several, known)
 
     labels = written(join.labels.select(F.col("id").alias("labelled"), "component"), "labels")
     discard(join.links)

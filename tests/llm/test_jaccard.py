@@ -131,3 +131,75 @@ def test_a_group_of_near_copies_takes_few_pairs(spark, docs_of, monkeypatch):
     found = J.link_similar(docs_of(rows)).collect()
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in found) == brute(rows)
     assert {r.component_id for r in found} == {0} and sum(counted) < len(rows)
+
+
+def sharing(rng, group, passages=3):
+    """Texts that have a passage in common and are of any size, some with near copies."""
+    rows = []
+    for _ in range(passages):
+        passage = [f"p{rng.randrange(10**6)}" for _ in range(30)]
+        for _ in range(group):
+            words = passage + [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([4, 10, 25, 60, 90, 200]))]
+            for _ in range(rng.choice([1, 1, 3])):
+                rows.append((len(rows), " ".join(words)))
+                words = [*words[:-1], f"x{rng.randrange(10**6)}"]
+    return rows
+
+
+def test_a_common_passage_is_one_group_of_sets(spark, docs_of, monkeypatch):
+    """All shingles of a passage lead to the same sets, of which only those of like size may be similar."""
+    met, partners = [], J._with_partners
+
+    def counting(rows, *args):
+        met.append(rows.count())
+        return partners(rows, *args)
+
+    monkeypatch.setattr(J, "SEVERAL", 10**9)
+    monkeypatch.setattr(J, "_with_partners", counting)
+    rows = sharing(random.Random(8), 20)
+    found = J.link_similar(docs_of(rows)).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in found) == brute(rows)
+    assert len({r.component_id for r in found}) < len(rows)
+    assert met[0] < 4 * len(rows)
+
+
+@pytest.mark.parametrize("longest, common", [(10_000, 10**9), (2, 4)])
+def test_runs_in_pieces_and_ids_of_several_texts(spark, docs_of, monkeypatch, longest, common):
+    """Two texts of an id may lead to the same ids by different shingles; nothing is left out for that."""
+    for name, value in (("LONG", longest), ("COMMON", common), ("SEVERAL", 10**9)):
+        monkeypatch.setattr(J, name, value)
+    rng = random.Random(9)
+    rows = sharing(rng, 6)
+    rows += [(i, rows[-1 - i][1]) for i in range(12)] + [(200 + i, rows[i][1]) for i in range(6)]
+    for i in range(300, 340, 2):
+        words = [f"z{rng.randrange(10**6)}" for _ in range(40)]
+        near = [*words[:-1], "end"]
+        rows += [(i, " ".join(words)), (i + 1, " ".join(near))]
+        # The id's other text shares shingles with the same one, but is not similar to it.
+        rows.append((i, " ".join(words[:14] + [f"q{rng.randrange(10**6)}" for _ in range(26)])))
+    found = J.link_similar(docs_of(rows)).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in found) == brute(rows)
+
+
+def test_runs_are_cut_by_size_and_stand_for_equal_ones(spark, monkeypatch):
+    place = lambda n, mark, late=0, twice=0: n * 8 + twice * 4 + late * 2 + mark
+    rows = [(7, 1, place(100, 1)), (7, 2, place(130, 0)), (7, 3, place(300, 1))]  # 3 is too large for both
+    rows += [(9, i, p) for _, i, p in rows[:2]]  # as 7, and comes after it
+    rows += [(-5, i, p) for _, i, p in rows[:2]]  # so does this one, unsigned
+    rows += [(2, i, p + 2) for _, i, p in rows[:2]]  # common ones come last
+    rows += [(11, 1, place(100, 0)), (11, 2, place(130, 1))]  # other marks
+    rows += [(12, 1, place(100, 0)), (12, 2, place(130, 0))]  # no shingle counts
+    rows += [(k, i, place(50, 1, twice=i == 4)) for k in (20, 21) for i in (4, 5)]  # an id of several rows
+    keys = spark.createDataFrame(rows, "key long, id long, place long")
+    want = [(7, 1, True), (7, 2, False), (11, 1, False), (11, 2, True)]
+    want += [(k, i, True) for k in (20, 21) for i in (4, 5)]
+    assert sorted(map(tuple, J._runs(keys, 75).collect())) == sorted(want)
+    monkeypatch.setattr(J, "LONG", 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        rows = [(k, i, place(100 + i, 1)) for k in (1, 2, 3) for i in range(3 + 20 * (k > 1))]
+        keys = spark.createDataFrame(rows, "key long, id long, place long")
+        found = sorted(map(tuple, J._runs(keys, 75).collect()))
+        assert found == sorted((k, i, True) for k, i, _ in rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
